@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.llm.bpe import digests, encode_documents
 from lectern.llm.licenses import scan_licenses
 from lectern.llm.line_dedup import dedup_lines
 from lectern.llm.mixing import mix
+from lectern.llm.quality import quality_rules
+from lectern.llm.simhash import near_duplicates
+from lectern.llm.token_files import read_tokens, write_tokens
 from lectern.llm.warc import read_index, write_archive
 from lectern.session import ship
 
@@ -22,6 +26,17 @@ def op1_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(F.col("source_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_documents(docs, tokenizer_path("word_bpe_49k.json"), digests, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_length=1)
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -31,11 +46,26 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = write_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("byte_bpe_50k.json"))
+    return read_tokens(spark, path)
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return done.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_words_removed", "kept")
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_archive, op4_line_dedup, op5_source_mix, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_warc_archive, op3_bpe_codec, op4_line_dedup, op5_source_mix, op6_simhash, op8_token_files, op9_quality_rules, op10_license_scan)}
 
 ORACLE_SQL = {
     "op1_warc_archive": """
