@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import ASCII_SPACE, materialise, replacing
+from lectern.llm.common import ASCII_SPACE, materialise, replacing, row_keys
 
 SYMBOLS = "#*$%&|<>"
 _STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -106,6 +106,25 @@ def quality_rules(docs: DataFrame, min_words: int = 50, max_repeat_percent: int
     return both.select(*columns)
 
 
+def base_failure(text: str, min_words: int = 50, max_repeat_percent: int = 50):
+    def own(texts: pd.Series) -> pd.Series:
+        found = [statistics(t or "") for t in texts]
+        return pd.Series([s[0] < min_words or 100 * s[4] > max_repeat_percent * s[0] for s in found], dtype=bool)
+
+    return F.pandas_udf(own, "boolean")(F.col(f"`{text}`"))
+
+
+def quality_filter(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
+    """The documents that ``quality_rules`` keeps, whole and with all their columns.
+
+    The base rules are applied where a text is read; what remains to be joined is the list of
+    depleted documents, which Spark broadcasts where its size allows."""
+    judged = quality_rules(docs.select(*row_keys(id, text), F.col(f"`{text}`").alias("text"), F.col(f"`{host}`").alias("source")), text="text", host="source")
+    depleted = materialise(judged.filter("not kept and not base_failed").select("_k1", "_k2").distinct(), "quality-depleted")
+    passed = docs.filter(~base_failure(text))
+    return passed.select("*", *row_keys(id, text)).join(depleted, ["_k1", "_k2"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def without_lines():
     def cut(texts: pd.Series, gone: pd.Series) -> pd.Series:
         out = []

@@ -9,7 +9,9 @@ from lectern.llm.bpe import digests, encode_documents
 from lectern.llm.licenses import scan_licenses
 from lectern.llm.line_dedup import dedup_lines
 from lectern.llm.mixing import mix
+from lectern.llm.neighbours import nearest
 from lectern.llm.quality import quality_rules
+from lectern.llm.repeats import remove_repeats
 from lectern.llm.simhash import near_duplicates
 from lectern.llm.token_files import read_tokens, write_tokens
 from lectern.llm.warc import read_index, write_archive
@@ -26,6 +28,10 @@ def op1_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(F.col("source_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
+def op2_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), k=20, is_query=F.col("vec_id") % 20 == 0)
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -51,6 +57,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_bytes", "n_removed", F.size("span_starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = write_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("byte_bpe_50k.json"))
     return read_tokens(spark, path)
@@ -65,7 +76,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_archive, op3_bpe_codec, op4_line_dedup, op5_source_mix, op6_simhash, op8_token_files, op9_quality_rules, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_warc_archive, op2_learned_partitions, op3_bpe_codec, op4_line_dedup, op5_source_mix, op6_simhash, op7_repeats, op8_token_files, op9_quality_rules, op10_license_scan)}
 
 ORACLE_SQL = {
     "op1_warc_archive": """
