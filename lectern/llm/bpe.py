@@ -10,40 +10,49 @@ agrees leaves the whole text to be encoded in one go.
 from __future__ import annotations
 
 import os
-import re
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.common import replacing
 
-#: White space in which every tokenizer here breaks words; the characters of Unicode's White_Space.
-SPACE = " \\t\\n\\x0b\\x0c\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: A word with the space before it. No token crosses from a word into the space behind it.
-PIECE = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+#: The characters of Unicode's White_Space, in which every tokenizer here breaks words.
+SPACE = r"[ \t\n\x0b\x0c\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: Marks a piece that has no space before it.
+MARK = "\x01"
 CHUNK_MASK = 127
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 4_000_000
 
 
 class Memo:
     """A bounded cache in two generations: what isn't used in one generation goes."""
 
-    def __init__(self, limit: int):
-        self.limit, self.new, self.old, self.weight = limit, {}, {}, 0
+    def __init__(self, limit: int, longest: int = 256):
+        self.limit, self.longest, self.new, self.old = limit, longest, {}, {}
 
-    def get(self, key):
-        if (got := self.new.get(key)) is None and (got := self.old.get(key)) is not None:
-            self.put(key, got)
-        return got
+    def fill(self, keys: list, make) -> None:
+        """Sees to it that ``new`` has all the keys; ``make(keys)`` gives values for those unknown."""
+        missing = []
+        for k in set(keys) - self.new.keys():
+            if (got := self.old.get(k)) is None:
+                missing.append(k)
+            else:
+                self.new[k] = got
+        self.new.update(zip(missing, make(missing), strict=True))
 
-    def put(self, key, value) -> None:
-        if self.weight > self.limit:
-            self.old, self.new, self.weight = self.new, {}, 0
-        self.new[key] = value
-        self.weight += len(key) + len(value) + 150
+    def tidy(self, keys: list) -> None:
+        """Called after use: long keys aren't kept, and a full generation becomes the old one."""
+        for k in keys:
+            if len(k) > self.longest:
+                self.new.pop(k, None)
+        if len(self.new) > self.limit:
+            self.old, self.new = self.new, {}
 
 
 class Encoder:
@@ -58,57 +67,102 @@ class Encoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 65536 else "<u4")
-        self.pieces, self.chunks = Memo(48_000_000), Memo(24_000_000)
+        self.pieces, self.chunks = Memo(400_000, 64), Memo(20_000, 4096)
+        #: What stands between pieces that are encoded in one go, and its one id.
+        self.between = next((x for x in ("\n", "\n~\n", "\n_\n") if len(self.whole([x])[0]) == self.dtype.itemsize), None)
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        code = "H" if self.dtype.itemsize == 2 else "I"
+        return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def each(self, pieces: list[str], together: int = 256) -> list[bytes]:
+        """As whole, for short pieces: many are encoded as one text and told apart by the id between
+        them. Where that id is met more often than it was put in, they are encoded one by one."""
+        if self.between is None:
+            return self.whole(pieces)
+        groups = [pieces[i : i + together] for i in range(0, len(pieces), together)]
+        mark, size, out = np.frombuffer(self.whole([self.between])[0], self.dtype)[0], self.dtype.itemsize, []
+        for group, joined in zip(groups, self.whole([self.between.join(g) for g in groups]), strict=True):
+            at = np.flatnonzero(np.frombuffer(joined, self.dtype) == mark) * size
+            if len(at) == len(group) - 1:
+                out += [joined[a:z] for a, z in zip([0, *(at + size).tolist()], [*at.tolist(), len(joined)], strict=True)]
+            else:
+                out += self.whole(group)
+        return out
 
     def by_pieces(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids, every distinct word being encoded once."""
-        split = [PIECE.findall(t) for t in texts]
-        known: dict[str, bytes] = {}
-        missing = []
-        for p in set().union(*split):
-            if (got := self.pieces.get(p)) is None:
-                missing.append(p)
-            else:
-                known[p] = got
-        for p, ids in zip(missing, self.whole(missing), strict=True):
-            known[p] = ids
-            if len(p) < 256:
-                self.pieces.put(p, ids)
-        get = known.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        """Each text's ids, every distinct piece being encoded once.
+
+        A piece is a word with the one space before it, a line end with the word after it, or the
+        punctuation that follows a plain letter. No token crosses from one piece into the next, and
+        none depends on the pieces around it, as long as white space stands one by one; texts in
+        which it doesn't are encoded whole."""
+        out: list[bytes] = [b""] * len(texts)
+        col = pa.array(texts, pa.large_string())
+        odd = pc.match_substring_regex(col, f"{SPACE}{SPACE}|{MARK}").to_numpy(zero_copy_only=False)
+        for i, ids in zip(np.flatnonzero(odd), self.whole([texts[i] for i in np.flatnonzero(odd)]), strict=True):
+            out[i] = ids
+        plain = np.flatnonzero(~odd)
+        if not len(plain):
+            return out
+        col = pc.binary_join_element_wise(pa.scalar(MARK, pa.large_string()), col.take(pa.array(plain)), pa.scalar("", pa.large_string()))
+        col = pc.replace_substring(col, "\n", f" {MARK}\n")
+        col = pc.replace_substring_regex(col, "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([-,.!?;:*#$%&)])", f"\\1 {MARK}\\2")
+        split = pc.split_pattern(col, " ")
+        coded = split.flatten().dictionary_encode()
+        keys = coded.dictionary.to_pylist()
+        self.pieces.fill(keys, self.make)
+        held = list(map(self.pieces.new.__getitem__, keys))
+        self.pieces.tidy(keys)
+        lengths = np.fromiter(map(len, held), np.int64, len(held)) // self.dtype.itemsize
+        flat, first = np.frombuffer(b"".join(held), self.dtype), np.cumsum(lengths) - lengths
+        index = coded.indices.to_numpy()
+        n = lengths[index]
+        end = np.cumsum(n)
+        ids = flat[np.repeat(first[index] - (end - n), n) + np.arange(end[-1])]
+        stops = np.concatenate(([0], end))[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        for i, a, z in zip(plain.tolist(), stops[:-1].tolist(), stops[1:].tolist(), strict=True):
+            out[i] = ids[a:z].tobytes()
+        return out
+
+    def make(self, keys: list[str]) -> list[bytes]:
+        """Ids of pieces as marked. Those that hold white space after their start go one by one."""
+        pieces = [k[1:] if k[:1] == MARK else " " + k for k in keys]
+        plain = [i for i, p in enumerate(pieces) if len((p[1:] if p[:1] == " " else p).split()) == 1 and not p[-1:].isspace() and not p[:1] == "\n"]
+        out: list[bytes] = [b""] * len(pieces)
+        for i, ids in zip(plain, self.each([pieces[i] for i in plain]), strict=True):
+            out[i] = ids
+        rest = sorted(set(range(len(pieces))) - set(plain))
+        for i, ids in zip(rest, self.whole([pieces[i] for i in rest]), strict=True):
+            out[i] = ids
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids by chunks."""
         cut = [chunks_of(t) for t in texts]
-        known: dict[str, bytes] = {}
-        missing = []
-        for c in set().union(*cut):
-            if (got := self.chunks.get(c)) is None:
-                missing.append(c)
-            else:
-                known[c] = got
-        for c, ids in zip(missing, self.by_pieces(missing), strict=True):
-            known[c] = ids
-            self.chunks.put(c, ids)
+        keys = list(set().union(*cut))
+        self.chunks.fill(keys, self.by_pieces)
         bad = self.disagreeing(cut)
-        return [b"".join(map(known.__getitem__, c)) if i not in bad else self.whole([texts[i]])[0] for i, c in enumerate(cut)]
+        out = [b"".join(map(self.chunks.new.__getitem__, c)) if i not in bad else self.whole([texts[i]])[0] for i, c in enumerate(cut)]
+        self.chunks.tidy(keys)
+        return out
 
     def disagreeing(self, cut: list[list[str]]) -> set[int]:
         """Texts of which some join of chunks doesn't hold however many words are encoded together."""
         joins = [(i, k) for i, c in enumerate(cut) for k in range(1, len(c))]
-        n = 1
-        while joins:
-            ends = [("".join(PIECE.findall(cut[i][k - 1][-400 * n :])[-n:]), "".join(PIECE.findall(cut[i][k][: 400 * n])[:n])) for i, k in joins]
-            done = self.whole([a + b for a, b in ends])
-            halves = self.by_pieces([a for a, _ in ends]), self.by_pieces([b for _, b in ends])
-            joins = [j for j, both, a, b in zip(joins, done, *halves, strict=True) if both != a + b]
-            n *= 4
-            if n > 64:
-                return {i for i, _ in joins}
-        return set()
+        words = 1
+        while joins and words <= 64:
+            ends = [(last_words(cut[i][k - 1], words), first_words(cut[i][k], words)) for i, k in joins]
+            done, left, right = self.whole([a + b for a, b in ends]), self.whole_once([a for a, _ in ends]), self.whole_once([b for _, b in ends])
+            joins = [j for j, both, a, b in zip(joins, done, left, right, strict=True) if both != a + b]
+            words *= 4
+        return {i for i, _ in joins}
+
+    def whole_once(self, texts: list[str]) -> list[bytes]:
+        """As whole, equal texts being encoded once."""
+        known = dict.fromkeys(texts)
+        known = dict(zip(known, self.whole(list(known)), strict=True))
+        return [known[t] for t in texts]
 
     def decode(self, ids: bytes) -> str:
         return self.tokenizer.decode(np.frombuffer(ids, self.dtype).tolist(), skip_special_tokens=False)
@@ -135,6 +189,24 @@ def chunks_of(text: str) -> list[str]:
     return [raw[a:z].decode() for a, z in zip(edges, edges[1:], strict=False)]
 
 
+def last_words(text: str, n: int) -> str:
+    at = len(text)
+    for _ in range(n):
+        if at <= 0 or (at := max(text.rfind(" ", 0, at), text.rfind("\n", 0, at))) < 0:
+            return text
+    return text[at:]
+
+
+def first_words(text: str, n: int) -> str:
+    at = 0
+    for _ in range(n):
+        found = [x for x in (text.find(" ", at + 1), text.find("\n", at + 1)) if x > 0]
+        if not found:
+            return text
+        at = min(found)
+    return text[:at]
+
+
 _encoders: dict[str, Encoder] = {}
 
 
