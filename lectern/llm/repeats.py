@@ -83,27 +83,48 @@ def find_triggers(text: str) -> Column:
     return F.pandas_udf(own, "at array<int>, hash array<long>")(F.col(f"`{text}`"))
 
 
-def packed(text: str) -> Column:
+def text_dictionary(docs: DataFrame, text: str, sample_docs: int = 1000, sample_chars: int = 16_384, size: int = 112_640) -> bytes:
+    """A zstandard dictionary from a bounded sample of texts, chosen by hash; it just makes the texts
+    that travel smaller, and is empty where there's too little to train on."""
+    short = docs.filter(F.char_length(f"`{text}`") <= sample_chars).select(F.xxhash64(f"`{text}`").alias("h"), F.col(f"`{text}`").alias("t"))
+    chosen = [r["h"] for r in short.select("h").distinct().orderBy("h").limit(sample_docs).collect()]
+    if not chosen:
+        return b""
+    texts = [r["t"].encode() for r in short.filter(F.col("h").isin(chosen)).groupBy("h").agg(F.first("t").alias("t")).orderBy("h").collect()]
+    try:
+        return zstandard.train_dictionary(size, texts).as_bytes()
+    except (zstandard.ZstdError, ValueError, MemoryError):
+        return b""
+
+
+def unpacker(dictionary: bytes) -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
+
+
+def packed(text: str, dictionary: bytes) -> Column:
     """Texts as they travel: compressed."""
 
     def own(texts: pd.Series) -> pd.Series:
-        press = zstandard.ZstdCompressor(level=6)
+        shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+        if shared:
+            shared.precompute_compress(level=6)
+        press = zstandard.ZstdCompressor(level=6, dict_data=shared)
         return pd.Series([press.compress((t or "").encode()) for t in texts], dtype=object)
 
     return F.pandas_udf(own, "binary")(F.col(f"`{text}`"))
 
 
-def contexts() -> Column:
+def contexts(dictionary: bytes) -> Column:
     """For given triggers of a text: the offsets at which windows have it as their least trigger
     (bytes of the window before it, from ``low`` to ``high``), and the bytes before (backwards) and
     after it that these windows hold."""
 
     def own(texts: pd.Series, places: pd.Series) -> pd.DataFrame:
-        unpress, rows = zstandard.ZstdDecompressor(), []
+        unpress, rows = unpacker(dictionary), []
         for t, at in zip(texts, places, strict=True):
             raw = unpress.decompress(t)
             at = np.unique(np.asarray(at, np.int64))
-            h, least = trigger_hashes(raw), None
+            h = trigger_hashes(raw)
             least = sliding(h, SIDE + 1, np.minimum, 2**64 - 1)
             first = at[:, None] + np.arange(-SIDE, 1)
             inside = (first >= 0) & (first < len(least))
@@ -165,7 +186,7 @@ def find_spans(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         row, first = np.nonzero(edge == 1)
         _, last = np.nonzero(edge == -1)
         at = f["at"].to_numpy(np.int64)[row]
-        return pd.DataFrame({"_k1": f["_k1"].to_numpy()[row], "_k2": f["_k2"].to_numpy()[row], "first": at - (last - 1), "last": at - first + LENGTH})
+        return pd.DataFrame({"doc": f["doc"].to_numpy()[row], "first": at - (last - 1), "last": at - first + LENGTH})
 
     held: list[pd.DataFrame] = []
     for f in frames:
@@ -181,9 +202,9 @@ def find_spans(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield done(pd.concat(held, ignore_index=True))
 
 
-def cut_spans() -> Column:
+def cut_spans(dictionary: bytes) -> Column:
     def own(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
-        unpress, rows = zstandard.ZstdDecompressor(), []
+        unpress, rows = unpacker(dictionary), []
         for t, found in zip(texts, spans, strict=True):
             raw = unpress.decompress(t)
             if found is None or not len(found):
@@ -223,13 +244,15 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     places = parsed.select("doc", F.explode(F.arrays_zip("at", "hash")).alias("x")).select("doc", "x.at", "x.hash")
     twice = places.groupBy("hash").count().filter("count > 1").select("hash")
     left = places.join(twice, "hash", "left_semi").groupBy("doc").agg(F.collect_list("at").alias("places"))
-    left = left.join(parsed.select("doc", "_k1", "_k2"), "doc").groupBy("_k1", "_k2").agg(F.first("places").alias("places"))
-    travelling = docs.select(*row_keys(id, text), packed(text).alias("t"))
-    around = travelling.join(left, ["_k1", "_k2"]).select("_k1", "_k2", contexts().alias("x"))
-    around = around.select("_k1", "_k2", F.explode(F.arrays_zip("x.hash", "x.at", "x.low", "x.high", "x.before", "x.after")).alias("y"))
-    around = around.select("_k1", "_k2", *[F.col(f"y.{c}").alias(c) for c in ("hash", "at", "low", "high", "before", "after")])
-    spans = around.repartition("hash").sortWithinPartitions("hash").mapInPandas(find_spans, "_k1 long, _k2 long, first long, last long")
-    spans = spans.groupBy("_k1", "_k2").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
-    final = docs.select(*rest, *row_keys(id, text), packed(text).alias("t")).join(spans, ["_k1", "_k2"], "left")
-    cut = final.select(*rest, cut_spans().alias("_cut"))
+    keys = parsed.groupBy("_k1", "_k2").agg(F.min("doc").alias("doc"))  # equal rows share their places
+    left = left.join(keys, "doc")
+    dictionary = text_dictionary(docs, text)
+    travelling = docs.select(*row_keys(id, text), packed(text, dictionary).alias("t"))
+    around = travelling.join(left, ["_k1", "_k2"]).select("doc", contexts(dictionary).alias("x"))
+    around = around.select("doc", F.explode(F.arrays_zip("x.hash", "x.at", "x.low", "x.high", "x.before", "x.after")).alias("y"))
+    around = around.select("doc", *[F.col(f"y.{c}").alias(c) for c in ("hash", "at", "low", "high", "before", "after")])
+    spans = around.repartition("hash").sortWithinPartitions("hash").mapInPandas(find_spans, "doc long, first long, last long")
+    spans = spans.groupBy("doc").agg(F.collect_set(F.struct("first", "last")).alias("spans")).join(keys, "doc").drop("doc")
+    final = docs.select(*rest, *row_keys(id, text), packed(text, dictionary).alias("t")).join(spans, ["_k1", "_k2"], "left")
+    cut = final.select(*rest, cut_spans(dictionary).alias("_cut"))
     return cut.select(*rest, *[F.col(f"_cut.{c}") for c in ("n_bytes", "n_removed", "span_starts", "span_ends", "kept")])

@@ -32,9 +32,10 @@ _BLOCK = "shard int, block int, base long, first_id long, last_id long, dictiona
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, sample_docs: int = 1000, sample_chars: int = 16_384, size: int = 32_768) -> bytes:
     """A dictionary from the ids of ``sample_docs`` documents of up to ``sample_chars`` characters,
     chosen by hash. It bears on the compression alone; where there's too little to train on it is empty."""
-    chosen = docs.filter(F.char_length("text") <= sample_chars).orderBy(F.xxhash64("text"), "id").limit(sample_docs).select("text")
+    short = docs.filter(F.char_length("text") <= sample_chars).select(F.xxhash64("text").alias("h"), "text")
+    chosen = [r["h"] for r in short.select("h").distinct().orderBy("h").limit(sample_docs).collect()]
     own = encoder(tokenizer)
-    texts = [r["text"] for r in chosen.collect()]
+    texts = [r["text"] for r in short.filter(F.col("h").isin(chosen)).groupBy("h").agg(F.first("text").alias("text")).orderBy("h").collect()] if chosen else []
     serial = [ids + np.array([end_id], own.dtype).tobytes() for s in batches(texts) for ids in own.by_pieces(texts[s])]
     try:
         return zstandard.train_dictionary(size, serial).as_bytes()
@@ -59,7 +60,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, end_i
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = encoder(tokenizer)
         end = np.array([end_id], own.dtype).tobytes()
-        press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None, write_content_size=True)
+        shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+        if shared:
+            shared.precompute_compress(level=LEVEL)
+        press = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared, write_content_size=True)
         shard, block, base = TaskContext.get().partitionId(), 0, 0
         ids, counts, packed, held = [], [], [], 0
 
