@@ -1,4 +1,234 @@
-"""The registered queries over the driver's tables."""
+"""The registered queries over the driver's tables, each with SQL that gives the same rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lectern.functions import numeric as N
+from lectern.functions import predicates as P
+from lectern.functions import text as T
+from lectern.operators import audits, dedup, publish
 
 QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+NOW = "2024-01-31 00:00:00"
+WORDS = ["the", "and", "der", "que"]
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@query("""with w as (select lang, len(list_filter(string_split_regex(regexp_replace(text, '<[^>]+>', ' ', 'g'), '\\s+'), lambda x: x <> '')) n from documents)
+select lang, count(*) docs, count(*) filter (n < 300) thin, sum(n)::bigint words from w group by lang""")
+def thin_content(spark, d):
+    """F33, A04."""
+    own = table(spark, d, "documents").select("lang", T.word_count(F.col("text")).alias("n"))
+    return own.groupBy("lang").agg(F.count("*").alias("docs"), F.count_if(P.thin(F.col("n"))).alias("thin"), F.sum("n").alias("words"))
+
+
+@query("""select page_id, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', '', 'g'),
+'&amp;', '&'), '&quot;', '"'), '&apos;', ''''), '&#8217;', ''''), '&#8216;', ''''), '&#8220;', '"'), '&#8221;', '"'), '&#8211;', '–'), '&#8212;', '—'), '&nbsp;', ' '), '&[a-zA-Z]+;', ' ', 'g'), '[\\s\\x0B]+', ' ', 'g')) as text from pages""")
+def html_text(spark, d):
+    """F04."""
+    return table(spark, d, "pages").select("page_id", T.html_to_text(F.col("html")).alias("text"))
+
+
+@query("""select page_id, nullif(regexp_replace(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]+)', 1)), '^www\\.', ''), '') host from pages""")
+def publisher_hosts(spark, d):
+    """F22."""
+    return table(spark, d, "pages").select("page_id", T.publisher_host(F.col("url")).alias("host"))
+
+
+def _markers(k: str) -> str:
+    m = T.MARKERS[k].replace("'", "''")
+    return f"len(list_distinct(regexp_extract_all(lower(text), '\\b({m})\\b', 1)))"
+
+
+@query(f"""with s as (select doc_id, lang, {', '.join(f'{_markers(k)} {k}' for k in T.MARKERS)} from documents),
+m as (select *, greatest(en, de, fr, it) x from s)
+select doc_id, lang, case when en >= 2 and en = x then 'en' when de >= 2 and de = x then 'de' when fr >= 2 and fr = x then 'fr' else 'it' end guess from m""")
+def language_guess(spark, d):
+    """F31, A07."""
+    return table(spark, d, "documents").select("doc_id", "lang", T.detected_locale(F.col("text")).alias("guess"))
+
+
+@query("""with t as (select p_partkey id, list_distinct(list_transform(list_filter(regexp_extract_all(strip_accents(lower(p_name)), '[a-z0-9]+'), lambda x: len(x) >= 3), lambda x: x[1:6])) s from part),
+a as (select * from t where id % 20 = 0)
+select a.id left_id, b.id right_id, len(list_intersect(a.s, b.s))::double / (len(a.s) + len(b.s) - len(list_intersect(a.s, b.s))) jaccard
+from a join t b on len(a.s) > 0 and len(b.s) > 0 and len(list_intersect(a.s, b.s))::double / (len(a.s) + len(b.s) - len(list_intersect(a.s, b.s))) >= 0.7""")
+def similar_names(spark, d):
+    """Names divisible by 20 against all."""
+    sets = table(spark, d, "part").select(F.col("p_partkey").alias("id"), T.folded(T.similarity_tokens(F.col("p_name"))).alias("tokens"))
+    return dedup.similar_sets(sets.filter("id % 20 = 0"), sets, 0.7)
+
+
+@query()
+def document_terms(spark, d):
+    """Terms of each title line."""
+    titles = table(spark, d, "documents").select("doc_id", F.element_at(F.split("text", "\n"), 1).alias("title"))
+    titles = titles.withColumn("plain", T.marks_stripped("title"))
+    return titles.select("doc_id", T.terms(F.col("title"), F.col("plain")).alias("t")).select("doc_id", *[F.array_join(f"t.{c}", "|").alias(c) for c in ("unigrams", "bigrams", "trigrams", "properNouns", "stems")])
+
+
+@query("""with v as (select vec_id, embedding::double[] v from embeddings), s as (select q.vec_id query_id, o.vec_id other_id, round(list_dot_product(q.v, o.v), 6) cosine from v q, v o where q.vec_id % 20 = 0),
+r as (select *, row_number() over (partition by query_id order by cosine desc, other_id) k from s), t as (select *, row_number() over (partition by query_id order by k) n from r where k <= 5 and query_id <> other_id)
+select query_id, other_id, cosine, cosine >= 0.4 duplicate from t where n = 1""")
+def nearest_vector(spark, d):
+    """K is taken before the query's own row goes."""
+    v = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return dedup.nearest_other(v.filter("id % 20 = 0"), v, 5, 0.4)
+
+
+@query("""select doc_id, lang, source from (select *, row_number() over (partition by lower(substr(text, 1, 40)) order by doc_id) n from documents) where n = 1""")
+def keep_first_opening(spark, d):
+    """A08."""
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", F.substring("text", 1, 40).alias("opening"))
+    return dedup.keep_first(docs, F.lower("opening"), ["doc_id"]).select("doc_id", "lang", "source")
+
+
+@query(f"""select event_id, 1 + 0.3 * greatest(0.0, 1 - coalesce(greatest(0.0, (epoch_us(timestamp '{NOW}') - epoch_us(ts)) / 3.6e9), 48.0) / 48) fresh from events""")
+def event_freshness(spark, d):
+    """F48, F51."""
+    age = N.age_hours(F.col("ts").cast("string"), F.lit(NOW).cast("timestamp"))
+    return table(spark, d, "events").select("event_id", N.freshness(age).alias("fresh"))
+
+
+@query(f"""select doc_id, {' or '.join(f"contains(lower(coalesce(lang, '') || '  ' || text), '{w}')" for w in WORDS)} eligible from documents""")
+def topic_documents(spark, d):
+    """P01 without a date."""
+    e = P.news_eligible(F.col("lang"), F.col("text"), F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("array<string>"), F.lit(None).cast("string"), F.lit(NOW).cast("timestamp"), WORDS)
+    return table(spark, d, "documents").select("doc_id", e.alias("eligible"))
+
+
+@query("""select slot, count(*) n from (select case when (row_number() over (order by event_id) - 1) % 100 < 80 then 'proven' else 'discovery' end slot from events) group by slot""")
+def slot_decisions(spark, d):
+    """T01; the ordinal is the id, which the table deals from 0."""
+    return table(spark, d, "events").groupBy(N.slot(F.col("event_id"), F.lit(80)).alias("slot")).agg(F.count("*").alias("n"))
+
+
+_SCORE = """with p as (select c_mktsegment cluster, quantile_cont(c_acctbal, 0.5) p50 from customer group by 1),
+c as (select o_orderkey id, case o_orderkey % 4 when 0 then 'orphan' when 1 then 'suggest' when 2 then 'news' else 'trends' end source, o_totalprice imp, (o_orderkey % 60)::double age, (o_orderkey % 100)::double trend, p50
+from orders join customer on o_custkey = c_custkey join p on cluster = c_mktsegment)
+select id, source, round(case source when 'orphan' then imp / 90 * p50 / 400 when 'suggest' then p50 * 0.5 * 0.6 when 'news' then p50 * 0.7 * (1 + 0.3 * greatest(0.0, 1 - age / 48)) else greatest(trend, 0.4 * p50) * 0.8 * 1.15 end, 2) score from c"""
+
+
+@query(_SCORE)
+def candidate_scores(spark, d):
+    """Orders stand in for candidates, market segments for clusters."""
+    customers = table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    p50 = customers.groupBy("c_mktsegment").agg(F.percentile("c_acctbal", 0.5).alias("p50"))
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    rows = orders.join(customers.drop("c_acctbal"), F.col("o_custkey") == F.col("c_custkey")).join(p50, "c_mktsegment", "left")
+    source = F.element_at(F.array(*[F.lit(x) for x in ("orphan", "suggest", "news", "trends")]), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    s = N.discovery_score(source, F.col("o_totalprice"), F.lit(90), F.col("p50"), (F.col("o_orderkey") % 60).cast("double"), (F.col("o_orderkey") % 100).cast("double"), F.lit(True))
+    return rows.select(F.col("o_orderkey").alias("id"), source.alias("source"), F.round(s["finalScore"], 2).alias("score"))
+
+
+@query("""select c_custkey, substr(t, 1, 12) slug_plain, length(t) n from (select c_custkey, regexp_replace(lower(c_name), '[^a-z0-9]+', '-', 'g') t from customer)""")
+def customer_slugs(spark, d):
+    """F16 and F17 on plain names."""
+    slug = T.crossing_slug(F.col("c_name"))
+    return table(spark, d, "customer").select("c_custkey", F.substring(slug, 1, 12).alias("slug_plain"), F.char_length(slug).alias("n").cast("long"))
+
+
+@query("""select p_partkey, replace(replace(replace(replace(coalesce(p_name, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') xml, sha256(p_name) sha,
+list_reduce(list_prepend(2166136261::hugeint, list_transform(string_split(p_name, ''), lambda c: ascii(c)::hugeint)), lambda h, c: (xor(h, c) * 16777619) % 4294967296)::bigint fnv from part""")
+def escapes_and_hashes(spark, d):
+    """F11, F46, F57."""
+    n = F.col("p_name")
+    return table(spark, d, "part").select("p_partkey", T.xml_escaped(n).alias("xml"), F.sha2(n, 256).alias("sha"), N.fnv1a32(n).alias("fnv"))
+
+
+@query("""select source, count(distinct lang) langs, greatest(1, ceil(count(distinct doc_id) / 100.0))::bigint pages from documents group by source""")
+def archive_pages(spark, d):
+    """A01, U02."""
+    return table(spark, d, "documents").groupBy("source").agg(F.count_distinct("lang").alias("langs"), dedup.pages_needed(F.count_distinct("doc_id")).alias("pages"))
+
+
+@query("""select c_nationkey k from customer union select s_nationkey from supplier""")
+def union_keys(spark, d):
+    """U01."""
+    return table(spark, d, "customer").select(F.col("c_nationkey").alias("k")).union(table(spark, d, "supplier").select("s_nationkey")).distinct()
+
+
+@query("""select o_orderkey from orders except select l_orderkey from lineitem where l_quantity > 49""")
+def except_keys(spark, d):
+    """U06, J08."""
+    heavy = table(spark, d, "lineitem").filter("l_quantity > 49").select(F.col("l_orderkey").alias("o_orderkey"))
+    return table(spark, d, "orders").select("o_orderkey").join(heavy, "o_orderkey", "left_anti").distinct()
+
+
+@query("""select p_partkey, p_name from part where exists (select 1 from lineitem where l_partkey = p_partkey and l_quantity >= 50)""")
+def semi_parts(spark, d):
+    """J05."""
+    return table(spark, d, "part").join(table(spark, d, "lineitem").filter("l_quantity >= 50").select(F.col("l_partkey").alias("p_partkey")), "p_partkey", "left_semi").select("p_partkey", "p_name")
+
+
+@query("""select s_suppkey, round(2 * 6371 * asin(sqrt(pow(sin(radians(s_nationkey - 10) / 2), 2) + cos(radians(10)) * cos(radians(s_nationkey)) * pow(sin(radians(s_suppkey % 180 - 20) / 2), 2))), 6) km from supplier""")
+def distances(spark, d):
+    """F47."""
+    lat, lon = F.col("s_nationkey").cast("double"), (F.col("s_suppkey") % 180).cast("double")
+    return table(spark, d, "supplier").select("s_suppkey", F.round(N.haversine_km(F.lit(10.0), F.lit(20.0), lat, lon), 6).alias("km"))
+
+
+@query("""select source, lang, count(*) filter (strlen(text) > 1000) n_present, count(*) filter (not strlen(text) > 1000) n_absent from documents group by source, lang having count(*) filter (strlen(text) > 1000) > 0 and count(*) filter (not strlen(text) > 1000) > 0""")
+def locale_consistency(spark, d):
+    """A03."""
+    rows = table(spark, d, "documents").select("source", "lang", (F.octet_length("text") > 1000).alias("long"))
+    return audits.uneven_presence(rows, ["source", "lang"], "long")
+
+
+@query("""select event_type as name, count(*) n, avg(case when value > 50 then 1.0 else 0.0 end) rate from events group by 1""")
+def success_rates(spark, d):
+    """A13."""
+    return audits.success_ranking(table(spark, d, "events").select(F.col("event_type").alias("name"), (F.col("value") > 50).alias("ok")), "name", "ok")
+
+
+@query("""select 'doc/' || doc_id path, sha256(text) sha256, case when doc_id % 3 = 0 then 'new' else 'changed' end change from documents where doc_id % 3 = 0 or doc_id % 3 = 1""")
+def changed_documents(spark, d):
+    """A manifest that lacks each third document and has another hash for the next."""
+    docs = table(spark, d, "documents").select(F.concat(F.lit("doc/"), F.col("doc_id")).alias("path"), F.col("text").alias("content"), "doc_id")
+    old = docs.filter("doc_id % 3 <> 0").select("path", F.when(F.col("doc_id") % 3 == 1, "?").otherwise(F.sha2("content", 256)).alias("sha256"))
+    return publish.changed_files(docs.select("path", "content"), old)
+
+
+_PATHS = {"it": "/it/", "en": "/en/", "de": "/de/", "fr": "/fr/"}
+
+
+@query("""select p_partkey::varchar id, replace(p_brand, '#', '-') || '-' || p_partkey slug,
+concat_ws(chr(10), '  <url>', '    <loc>https://example.org/it/' || replace(p_brand, '#', '-') || '-' || p_partkey || '/</loc>', '    <image:image>', '      <image:loc>https://example.org/i.webp</image:loc>', '      <image:title>' || p_name || '</image:title>', '    </image:image>',
+'    <xhtml:link rel="alternate" hreflang="it" href="https://example.org/it/' || replace(p_brand, '#', '-') || '-' || p_partkey || '/" />',
+case when p_partkey % 2 = 0 then '    <xhtml:link rel="alternate" hreflang="de" href="https://example.org/de/' || p_partkey || '/" />' end,
+'    <xhtml:link rel="alternate" hreflang="x-default" href="https://example.org/it/' || replace(p_brand, '#', '-') || '-' || p_partkey || '/" />', '    <changefreq>monthly</changefreq>', '    <priority>0.7</priority>', '  </url>') xml
+from part where p_size > 10""")
+def sitemap(spark, d):
+    """Parts stand in for articles; small ones are shadowed."""
+    parts = table(spark, d, "part").withColumn("id", F.col("p_partkey").cast("string"))
+    slug = F.concat(F.replace("p_brand", F.lit("#"), F.lit("-")), F.lit("-"), F.col("id"))
+    slugs = parts.select("id", F.lit("it").alias("locale"), slug.alias("slug")).union(parts.filter("p_partkey % 2 = 0").select("id", F.lit("de"), "id"))
+    registry = parts.select("id", F.lit("/i.webp").alias("image"), F.lit(None).cast("string").alias("updatedAt"), F.lit(None).cast("string").alias("date"))
+    return publish.sitemap_rows(registry, slugs, parts.select("id", F.lit("title").alias("field"), F.col("p_name").alias("value")), parts.filter("p_size <= 10").select(slug.alias("slug")), "https://example.org", _PATHS)
+
+
+@query("""select a.l_suppkey a, b.l_suppkey b, list_sort(list(distinct a.l_partkey)) shared from lineitem a join lineitem b on a.l_partkey = b.l_partkey and a.l_suppkey <> b.l_suppkey where a.l_partkey % 50 = 0 group by 1, 2""")
+def collisions(spark, d):
+    """Suppliers that share a part, of each fiftieth part."""
+    return dedup.pairs_sharing(table(spark, d, "lineitem").filter("l_partkey % 50 = 0").select("l_suppkey", "l_partkey"), "l_suppkey", "l_partkey")
+
+
+@query("""select o_orderkey, o_orderdate from orders order by o_orderdate desc, o_orderkey limit 5""")
+def newest_orders(spark, d):
+    """O03."""
+    return publish.newest(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate", "o_orderkey")
