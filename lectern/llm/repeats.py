@@ -140,6 +140,26 @@ def contexts(dictionary: bytes) -> Column:
     return F.pandas_udf(own, "hash array<long>, at array<int>, low array<int>, high array<int>, before array<binary>, after array<binary>")("t", "places")
 
 
+def standing_twice(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of rows in order of hash, those that share it with the row before or after. Rows stream
+    through; of those before just the last is kept."""
+    last: pd.DataFrame | None = None  # a row that may still turn out to have a twin
+    matched = False  # whether it has been given out
+    for f in frames:
+        if last is not None:
+            f = pd.concat([last, f], ignore_index=True)
+        h = f["hash"].to_numpy()
+        same = h[1:] == h[:-1]
+        twice = np.zeros(len(h), bool)
+        twice[1:] |= same
+        twice[:-1] |= same
+        out = twice.copy()
+        if matched:
+            out[0] = False
+        last, matched = f.iloc[-1:], bool(twice[-1]) or (matched and len(h) == 1)
+        yield f.loc[out, ["doc", "at"]]
+
+
 def order_classes(groups: np.ndarray, strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The order of (group, string), and what each has in common with the one before it in that
     order: -1 in another group."""
@@ -235,15 +255,15 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
 
     What is exchanged: a hash and a place for each trigger; the surroundings of those triggers
     that stand twice or more; and the texts, compressed, once to look the surroundings up and once to
-    cut. A trigger's places with their surroundings are gathered in one task.
+    cut. The places of one trigger pass through one task in order; it holds those of a trigger at a
+    time, with their surroundings.
     """
     base = replacing(docs, "n_bytes", "n_removed", "span_starts", "span_ends", "kept", "_k1", "_k2", "t", "spans", "places")
     rest = [F.col(f"`{c}`") for c in base.columns if c != text]
     parsed = docs.select(*row_keys(id, text), find_triggers(text).alias("x")).select(F.monotonically_increasing_id().alias("doc"), "_k1", "_k2", "x.at", "x.hash")
     parsed = materialise(parsed.filter(F.size("at") > 0), "repeats-parse")
     places = parsed.select("doc", F.explode(F.arrays_zip("at", "hash")).alias("x")).select("doc", "x.at", "x.hash")
-    twice = places.groupBy("hash").count().filter("count > 1").select("hash")
-    left = places.join(twice, "hash", "left_semi").groupBy("doc").agg(F.collect_list("at").alias("places"))
+    left = places.repartition("hash").sortWithinPartitions("hash").mapInPandas(standing_twice, "doc long, at int").groupBy("doc").agg(F.collect_list("at").alias("places"))
     keys = parsed.groupBy("_k1", "_k2").agg(F.min("doc").alias("doc"))  # equal rows share their places
     left = left.join(keys, "doc")
     dictionary = text_dictionary(docs, text)
