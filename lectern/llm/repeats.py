@@ -116,8 +116,8 @@ def packed(text: str, dictionary: bytes) -> Column:
 
 def contexts(dictionary: bytes) -> Column:
     """For given triggers of a text: the offsets at which windows have it as their least trigger
-    (bytes of the window before it, from ``low`` to ``high``), and the bytes before (backwards) and
-    after it that these windows hold."""
+    (bytes of the window before it, from ``low`` to ``high``), packed with its position, and the
+    bytes before (backwards) and after it that these windows hold, end to end."""
 
     def own(texts: pd.Series, places: pd.Series) -> pd.DataFrame:
         unpress, rows = unpacker(dictionary), []
@@ -131,13 +131,12 @@ def contexts(dictionary: bytes) -> Column:
             own_window = inside & (least[np.clip(first, 0, len(least) - 1)] == h[at][:, None])
             high, low = SIDE - own_window.argmax(axis=1), own_window[:, ::-1].argmax(axis=1)
             rows.append((
-                h[at].view(np.int64), at.astype(np.int32), low.astype(np.int32), high.astype(np.int32),
-                [raw[p - n : p][::-1] for p, n in zip(at.tolist(), high.tolist(), strict=True)],
-                [raw[p + K : p + LENGTH - n] for p, n in zip(at.tolist(), low.tolist(), strict=True)],
+                h[at].view(np.int64), (at << 16) + (low << 8) + high,
+                [raw[p - n : p][::-1] + raw[p + K : p + LENGTH - m] for p, n, m in zip(at.tolist(), high.tolist(), low.tolist(), strict=True)],
             ))
-        return pd.DataFrame(rows, columns=["hash", "at", "low", "high", "before", "after"])
+        return pd.DataFrame(rows, columns=["hash", "place", "around"])
 
-    return F.pandas_udf(own, "hash array<long>, at array<int>, low array<int>, high array<int>, before array<binary>, after array<binary>")("t", "places")
+    return F.pandas_udf(own, "hash array<long>, place array<long>, around array<binary>")("t", "places")
 
 
 def standing_twice(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -201,11 +200,14 @@ def find_spans(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     def done(f: pd.DataFrame) -> pd.DataFrame:
         groups = f["hash"].to_numpy(np.int64)
-        twice = repeated_offsets(groups, f["low"].to_numpy(), f["high"].to_numpy(), f["before"].tolist(), f["after"].tolist())
+        place, around = f["place"].to_numpy(np.int64), f["around"].tolist()
+        low, high = place >> 8 & 255, place & 255
+        before, after = [a[:n] for a, n in zip(around, high.tolist(), strict=True)], [a[n:] for a, n in zip(around, high.tolist(), strict=True)]
+        twice = repeated_offsets(groups, low, high, before, after)
         edge = np.diff(np.pad(twice, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         row, first = np.nonzero(edge == 1)
         _, last = np.nonzero(edge == -1)
-        at = f["at"].to_numpy(np.int64)[row]
+        at = (place >> 16)[row]
         return pd.DataFrame({"doc": f["doc"].to_numpy()[row], "first": at - (last - 1), "last": at - first + LENGTH})
 
     held: list[pd.DataFrame] = []
@@ -269,8 +271,8 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     dictionary = text_dictionary(docs, text)
     travelling = docs.select(*row_keys(id, text), packed(text, dictionary).alias("t"))
     around = travelling.join(left, ["_k1", "_k2"]).select("doc", contexts(dictionary).alias("x"))
-    around = around.select("doc", F.explode(F.arrays_zip("x.hash", "x.at", "x.low", "x.high", "x.before", "x.after")).alias("y"))
-    around = around.select("doc", *[F.col(f"y.{c}").alias(c) for c in ("hash", "at", "low", "high", "before", "after")])
+    around = around.select("doc", F.explode(F.arrays_zip("x.hash", "x.place", "x.around")).alias("y"))
+    around = around.select("doc", *[F.col(f"y.{c}").alias(c) for c in ("hash", "place", "around")])
     spans = around.repartition("hash").sortWithinPartitions("hash").mapInPandas(find_spans, "doc long, first long, last long")
     spans = spans.groupBy("doc").agg(F.collect_set(F.struct("first", "last")).alias("spans")).join(keys, "doc").drop("doc")
     final = docs.select(*rest, *row_keys(id, text), packed(text, dictionary).alias("t")).join(spans, ["_k1", "_k2"], "left")
