@@ -143,7 +143,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
 def read_document(spark: SparkSession, path: str, doc_id: int) -> list[int] | None:
     """One document's ids. The blocks' id ranges leave one block to read, and the offset index one frame."""
     unpack = _unpacker(*dictionary_of(spark, path))
-    near = spark.read.parquet(f"{path}/blocks").filter((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id))
+    near = spark.read.parquet(f"{path}/blocks").filter((F.col("first_id").isNull() | (F.col("first_id") <= doc_id)) & (F.col("last_id") >= doc_id))
     for row in near.collect():
         if doc_id in row["ids"]:
             return unpack(row, row["ids"].index(doc_id)).tolist()
