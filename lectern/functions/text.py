@@ -249,8 +249,15 @@ def proper_nouns(raw: Column, normal: Column) -> Column:
 def terms(c: Column, plain: Column) -> Column:
     """unigrams, bigrams, trigrams, properNouns and stems, each distinct and in order. ``plain`` is
     the text with marks stripped, in a column of its own."""
-    raw = tokens_of(c)
-    normal = F.transform(tokens_of(plain), F.lower)
+
+    def of(s):
+        return _terms(s["raw"], s["normal"])
+
+    both = F.struct(tokens_of(c).alias("raw"), F.transform(tokens_of(plain), F.lower).alias("normal"))
+    return F.get(F.transform(F.array(both), of), 0)
+
+
+def _terms(raw: Column, normal: Column) -> Column:
     uni = F.filter(normal, lambda t: (F.char_length(t) >= 3) & ~t.isin(STOPWORDS))
     return F.struct(
         F.array_distinct(uni).alias("unigrams"), ngrams(normal, 2).alias("bigrams"), ngrams(normal, 3).alias("trigrams"), proper_nouns(raw, normal).alias("properNouns"),
@@ -260,14 +267,19 @@ def terms(c: Column, plain: Column) -> Column:
 
 def marker_count(c: Column, locale: str) -> Column:
     """Distinct markers of a language, with ASCII word edges."""
-    return F.size(F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(f"{_EDGE}({MARKERS[locale]}){_EDGE}"), F.lit(1))))
+    return F.size(F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(f"{_WORD_START}({MARKERS[locale]}){_EDGE}"), F.lit(1))))
 
 
 def detected_locale(c: Column) -> Column:
     """two markers at least and no language with more; en, de, fr in this order, else it."""
-    n = {k: marker_count(c, k) for k in MARKERS}
-    most = F.greatest(*n.values())
-    return F.when(F.coalesce(c, F.lit("")) == "", "it").when((n["en"] >= 2) & (n["en"] == most), "en").when((n["de"] >= 2) & (n["de"] == most), "de").when((n["fr"] >= 2) & (n["fr"] == most), "fr").otherwise("it")
+
+    def pick(n):
+        most = F.greatest(*[n[k] for k in MARKERS])
+        first = F.when((n["en"] >= 2) & (n["en"] == most), "en").when((n["de"] >= 2) & (n["de"] == most), "de")
+        return first.when((n["fr"] >= 2) & (n["fr"] == most), "fr").otherwise("it")
+
+    counts = F.struct(*[marker_count(F.coalesce(c, F.lit("")), k).alias(k) for k in MARKERS])
+    return F.get(F.transform(F.array(counts), pick), 0)  # bound once, as each count is used several times
 
 
 def word_count(c: Column) -> Column:
