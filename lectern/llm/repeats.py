@@ -196,7 +196,11 @@ def repeated_offsets(groups: np.ndarray, low: np.ndarray, high: np.ndarray, befo
 
 
 def find_spans(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of one trigger stand together. Gives the byte spans that repeated windows cover."""
+    """Rows of one trigger stand together, and of those the rows with equal surroundings. Gives the
+    byte spans that repeated windows cover.
+
+    Rows with equal surroundings repeat each other in all their windows, so their spans are given as
+    they stream by; just the first stays, to be compared with other surroundings of its trigger."""
 
     def done(f: pd.DataFrame) -> pd.DataFrame:
         groups = f["hash"].to_numpy(np.int64)
@@ -211,8 +215,25 @@ def find_spans(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return pd.DataFrame({"doc": f["doc"].to_numpy()[row], "first": at - (last - 1), "last": at - first + LENGTH})
 
     held: list[pd.DataFrame] = []
+    last: pd.DataFrame | None = None  # a row whose like may still come
+    matched = False  # whether its span has been given out
     for f in frames:
-        held.append(f)
+        carried = last is not None
+        if carried:
+            f = pd.concat([last, f], ignore_index=True)
+        h, place, around = f["hash"].to_numpy(), f["place"].to_numpy(np.int64), f["around"].to_numpy()
+        same = (h[1:] == h[:-1]) & ((place[1:] & 0xFFFF) == (place[:-1] & 0xFFFF)) & (around[1:] == around[:-1]).astype(bool)
+        twice, fresh = np.zeros(len(f), bool), np.ones(len(f), bool)
+        twice[1:] |= same
+        twice[:-1] |= same
+        fresh[1:] = ~same
+        fresh[0] = not carried
+        last, matched, given = f.iloc[-1:], bool(twice[-1]) or (matched and len(f) == 1), matched
+        if given:
+            twice[0] = False
+        at = place[twice] >> 16
+        yield pd.DataFrame({"doc": f["doc"].to_numpy()[twice], "first": at - (place[twice] & 255), "last": at - (place[twice] >> 8 & 255) + LENGTH})
+        held.append(f[fresh])
         if sum(map(len, held)) >= CHUNK_ROWS:
             whole = pd.concat(held, ignore_index=True)
             h = whole["hash"].to_numpy()
@@ -257,8 +278,8 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
 
     What is exchanged: a hash and a place for each trigger; the surroundings of those triggers
     that stand twice or more; and the texts, compressed, once to look the surroundings up and once to
-    cut. The places of one trigger pass through one task in order; it holds those of a trigger at a
-    time, with their surroundings.
+    cut. The places of one trigger pass through one task in order; it holds the distinct surroundings
+    of a trigger at a time, however many copies there are of each.
     """
     base = replacing(docs, "n_bytes", "n_removed", "span_starts", "span_ends", "kept", "_k1", "_k2", "t", "spans", "places")
     rest = [F.col(f"`{c}`") for c in base.columns if c != text]
@@ -273,7 +294,8 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     around = travelling.join(left, ["_k1", "_k2"]).select("doc", contexts(dictionary).alias("x"))
     around = around.select("doc", F.explode(F.arrays_zip("x.hash", "x.place", "x.around")).alias("y"))
     around = around.select("doc", *[F.col(f"y.{c}").alias(c) for c in ("hash", "place", "around")])
-    spans = around.repartition("hash").sortWithinPartitions("hash").mapInPandas(find_spans, "doc long, first long, last long")
+    ordered = around.repartition("hash").sortWithinPartitions("hash", F.col("place").bitwiseAND(F.lit(0xFFFF)), "around")
+    spans = ordered.mapInPandas(find_spans, "doc long, first long, last long")
     spans = spans.groupBy("doc").agg(F.collect_set(F.struct("first", "last")).alias("spans")).join(keys, "doc").drop("doc")
     final = docs.select(*rest, *row_keys(id, text), packed(text, dictionary).alias("t")).join(spans, ["_k1", "_k2"], "left")
     cut = final.select(*rest, cut_spans(dictionary).alias("_cut"))

@@ -243,3 +243,26 @@ def test_pipeline_stages(spark, docs, tmp_path):
         out.write.parquet(str(tmp_path / name.replace(" ", "-")))
         out = spark.read.parquet(str(tmp_path / name.replace(" ", "-")))
     assert corpus_pipeline.STAGES[-1][1](spark, out, "").count() == out.count()
+
+
+@pytest.mark.parametrize("rows_a_frame", [1, 3, 7, 1000])
+def test_spans_of_a_trigger_with_many_copies(rows_a_frame):
+    import random
+
+    import pandas as pd
+
+    random.seed(5)
+    kinds = [(random.randint(1, 2), low, high, bytes(random.choice(b"ab") for _ in range(high)), bytes(random.choice(b"ab") for _ in range(repeats.SIDE - low))) for low, high in [(98, 100), (99, 100), (0, 2), (0, 1)] * 4]
+    rows = [(doc, h, (1000 + doc) << 16 | low << 8 | high, b + a, low, high, b, a) for doc, (h, low, high, b, a) in enumerate(random.choices(kinds, k=60) + kinds)]
+    want = set()
+    for doc, h, place, _, low, high, b, a in rows:
+        for o in range(low, high + 1):
+            if any(g == h and d2 != doc and l2 <= o <= h2 and b[:o] == b2[:o] and a[: repeats.SIDE - o] == a2[: repeats.SIDE - o] for d2, g, _, _, l2, h2, b2, a2 in rows):
+                want |= {(doc, x) for x in range((place >> 16) - o, (place >> 16) - o + repeats.LENGTH)}
+    rows.sort(key=lambda r: (r[1], r[2] & 0xFFFF, r[3]))
+    frames = [pd.DataFrame([r[:4] for r in rows[i : i + rows_a_frame]], columns=["doc", "hash", "place", "around"]) for i in range(0, len(rows), rows_a_frame)]
+    got = set()
+    for f in repeats.find_spans(iter(frames)):
+        for r in f.itertuples():
+            got |= {(r.doc, x) for x in range(r.first, r.last)}
+    assert want and got == want
