@@ -27,7 +27,7 @@ def freshness(age_hours: Column) -> Column:
 def age_hours(published: Column, now: Column) -> Column:
     """missing or bad gives 48, the future 0."""
     hours = (F.unix_micros(now) - F.unix_micros(F.try_to_timestamp(published))) / 3.6e9
-    return F.coalesce(F.greatest(F.lit(0.0), hours), F.lit(48.0))
+    return F.when(hours.isNull(), 48.0).otherwise(F.greatest(F.lit(0.0), hours))  # greatest skips nulls
 
 
 def trend_score(n: Column) -> Column:
@@ -41,8 +41,9 @@ def rounded(x: Column) -> Column:
 
 
 def minutes_since(then: Column, now: Column) -> Column:
-    """F52."""
-    return F.greatest(F.lit(0), rounded((F.unix_micros(now) - F.unix_micros(F.try_to_timestamp(then))) / 6e7))
+    """missing or bad gives null, the future 0."""
+    minutes = rounded((F.unix_micros(now) - F.unix_micros(F.try_to_timestamp(then))) / 6e7)
+    return F.when(minutes.isNotNull(), F.greatest(F.lit(0), minutes))
 
 
 def minutes_text(m: Column) -> Column:

@@ -171,7 +171,7 @@ def crossing_slug(c: Column, overrides: dict[str, str] | None = None) -> Column:
     return plain
 
 
-def heading_apart(h1: Column, title: Column, tag: Column | str = "guida frontaliere", brand: str = "Frontaliere Ticino") -> Column:
+def heading_apart(h1: Column, title: Column, tag: Column | str, brand: str) -> Column:
     """a heading equal to the title (brand suffix apart) gets a tag."""
     h, t = squashed(F.coalesce(h1, F.lit(""))), squashed(F.coalesce(title, F.lit("")))
     t = trimmed(F.regexp_replace(t, rf"(?i){WS}*[|·]{WS}*{brand}{WS}*$", ""))

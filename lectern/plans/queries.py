@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from lectern.functions import numeric as N
 from lectern.functions import predicates as P
+from lectern.functions import site as S
 from lectern.functions import text as T
-from lectern.operators import audits, dedup, publish
+from lectern.operators import audits, dedup, publish, upkeep
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -98,7 +99,7 @@ def keep_first_opening(spark, d):
     return dedup.keep_first(docs, F.lower("opening"), ["doc_id"]).select("doc_id", "lang", "source")
 
 
-@query(f"""select event_id, 1 + 0.3 * greatest(0.0, 1 - coalesce(greatest(0.0, (epoch_us(timestamp '{NOW}') - epoch_us(ts)) / 3.6e9), 48.0) / 48) fresh from events""")
+@query(f"""select event_id, 1 + 0.3 * greatest(0.0, 1 - case when ts is null then 48.0 else greatest(0.0, (epoch_us(timestamp '{NOW}') - epoch_us(ts)) / 3.6e9) end / 48) fresh from events""")
 def event_freshness(spark, d):
     """F48, F51."""
     age = N.age_hours(F.col("ts").cast("string"), F.lit(NOW).cast("timestamp"))
@@ -232,3 +233,60 @@ def collisions(spark, d):
 def newest_orders(spark, d):
     """O03."""
     return publish.newest(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate", "o_orderkey")
+
+
+@query("""select doc_id, regexp_matches(text, '(?i)\\b(grenzg|tass[ae]|pension|salar|euro|banc|italia|residen)') domain from documents""".replace("(grenzg|tass[ae]|pension|salar|euro|banc|italia|residen)", "(" + S.DOMAIN_TERMS + ")"))
+def domain_documents(spark, d):
+    """P05."""
+    return table(spark, d, "documents").select("doc_id", S.domain_term(F.col("text")).alias("domain"))
+
+
+def _first_anchor(c: str) -> str:
+    return "coalesce(" + ", ".join(f"nullif(regexp_extract({c}, '(?i){p}', 0), '')" for p in S.STRICT_ANCHORS) + ")"
+
+
+@query(f"select doc_id, {_first_anchor('text')} anchor from documents")
+def anchored_documents(spark, d):
+    """P03."""
+    return table(spark, d, "documents").select("doc_id", S.anchor(F.col("text")).alias("anchor"))
+
+
+@query("""select doc_id, len(regexp_extract_all(text, '\\t[0-9]|\\\\+t[0-9]')) n from documents""")
+def tab_markers(spark, d):
+    """F44."""
+    return table(spark, d, "documents").select("doc_id", S.tab_markers(F.col("text")).cast("long").alias("n"))
+
+
+@query("""with k as (select page_id, trim(url) headline, row_number() over (partition by lower(trim(url)) order by page_id) n from pages where trim(url) <> '')
+select headline, 48.0::double "ageHours" from k where n = 1""")
+def news_first(spark, d):
+    """Addresses stand in for headlines."""
+    none = F.lit(None).cast("string")
+    items = table(spark, d, "pages").select(F.col("page_id").alias("ordinal"), F.col("url").alias("keyword"), F.col("url").alias("link"), none.alias("source_name"), F.col("url").alias("source_url"), none.alias("published"), none.alias("seed"))
+    return upkeep.news_candidates(items, F.lit(NOW).cast("timestamp")).select("headline", "ageHours")
+
+
+@query("""with r as (select event_type, event_id, value > 20 failed, count(*) filter (not value > 20) over (partition by event_type order by event_id) run from events),
+n as (select event_type, run, count(*) n from r where failed group by all) select e.event_type, coalesce(max(n), 0) longest from (select distinct event_type from events) e left join n using (event_type) group by 1""")
+def failure_runs(spark, d):
+    """Events above a value stand in for failures."""
+    return upkeep.longest_runs(table(spark, d, "events").select("event_type", "event_id", (F.col("value") > 20).alias("failed")), "event_type", "event_id", "failed")
+
+
+@query("""select url, origin from pages, (values (null), ('https://a.example'), ('https://b.example')) o(origin)""")
+def purge_requests(spark, d):
+    """F63."""
+    return upkeep.purge_requests(table(spark, d, "pages").select("url"), ["https://a.example", "https://b.example"])
+
+
+@query("""with s as (select c_mktsegment, row_number() over (order by p50 desc, c_mktsegment) position from (select c_mktsegment, median(c_acctbal) p50 from customer group by 1)) select position::int as position, lower(c_mktsegment) seed from s where position <= 3""")
+def top_seeds(spark, d):
+    """Market segments stand in for clusters."""
+    own = table(spark, d, "customer").groupBy("c_mktsegment").agg(F.percentile("c_acctbal", 0.5).alias("p50")).select(F.col("c_mktsegment").alias("ordinal"), F.col("c_mktsegment").alias("cluster"), "p50")
+    return upkeep.cluster_seeds(own, own.select("cluster", F.lit(0).alias("place"), F.lower("cluster").alias("seed")), 3)
+
+
+@query("""select lang kind, count(*) files, sum(strlen(text))::bigint bytes, 'c' as "commit" from documents group by 1""")
+def document_manifest(spark, d):
+    """K03."""
+    return upkeep.manifest(table(spark, d, "documents").select(F.col("lang").alias("kind"), F.col("text").alias("content")), "c")

@@ -66,7 +66,7 @@ def usage_messages(spark: SparkSession, path: str) -> DataFrame:
 
 @F.pandas_udf(StructType([StructField("width", IntegerType()), StructField("height", IntegerType())]))
 def image_size(content: pd.Series) -> pd.DataFrame:
-    """from the headers of webp, png, jpeg and gif files; null where none is found."""
+    """from the headers of webp, png, jpeg, gif and avif files; null where none is found."""
 
     def of(b: bytes | None):
         if not b or len(b) < 10:
@@ -83,6 +83,8 @@ def image_size(content: pd.Series) -> pd.DataFrame:
                 size = (bits & 0x3FFF) + 1, (bits >> 14 & 0x3FFF) + 1
         elif b[:8] == b"\x89PNG\r\n\x1a\n" and len(b) >= 24:
             size = int.from_bytes(b[16:20], "big"), int.from_bytes(b[20:24], "big")
+        elif b[4:8] == b"ftyp" and (box := b.find(b"ispe")) >= 0 and len(b) >= box + 16:
+            size = int.from_bytes(b[box + 8 : box + 12], "big"), int.from_bytes(b[box + 12 : box + 16], "big")
         elif b[:4] == b"GIF8":
             size = int.from_bytes(b[6:8], "little"), int.from_bytes(b[8:10], "little")
         elif b[:2] == b"\xff\xd8":
