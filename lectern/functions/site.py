@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lectern.functions.predicates import first_match
-from lectern.functions.text import _EDGE, WS, meta_tags, scripts_removed, squashed, trimmed
+from lectern.functions.text import WS, meta_tags, scripts_removed, squashed, trimmed
 
 #: Topics of news, one a line by theme. The site's own name is the caller's to add.
 NEWS_TOPICS = """
@@ -45,14 +48,23 @@ ASSET_TYPES = "js|mjs|css|woff2?|ttf|otf|eot|png|jpe?g|webp|avif|gif|svg|ico|jso
 HASHED_NAME = r"^(.+)-([A-Za-z0-9_-]{8})\.(js|css)$"
 
 
+#: What a match of any anchor holds, one or another, in lower case.
+_ROOTS = "frontalier pendolar border grenzg permess ristorn imposta imposizion accordo salute lamal malati avs ahv lpp pilastro svizzer valico dogana ticines cambio chf contributi quadro".split()
+
+
 def _plain_edges(pattern: str) -> str:
-    """Word edges and white space that don't depend on the engine."""
-    return pattern.replace(r"\b", _EDGE).replace(r"\s", WS)
+    """Word edges and white space that don't depend on the engine; in all these patterns an edge is
+    the start of a word if a letter or group follows, else its end."""
+    starts = re.sub(r"\\b(?=[A-Za-z(])", "(?<![A-Za-z0-9_])", pattern)
+    return starts.replace(r"\b", "(?![A-Za-z0-9_])").replace(r"\s", WS)
 
 
 def anchor(c: Column, unambiguous: bool = False) -> Column:
-    """What the first anchor that matches has matched, else null."""
-    return first_match(c, [_plain_edges(p) for p in (UNAMBIGUOUS_ANCHORS if unambiguous else STRICT_ANCHORS)])
+    """What the first anchor that matches has matched, else null. Texts without any root are
+    not searched by pattern."""
+    low = F.lower(c)
+    found = first_match(c, [_plain_edges(p) for p in (UNAMBIGUOUS_ANCHORS if unambiguous else STRICT_ANCHORS)])
+    return F.when(reduce(lambda a, b: a | b, [F.contains(low, F.lit(r)) for r in _ROOTS]), found)
 
 
 def domain_term(c: Column) -> Column:
