@@ -39,18 +39,53 @@ def statistics(text: str) -> tuple[int, int, int, int, int]:
     return len(words), chars, sum(text.count(c) for c in SYMBOLS), len(lines) - len(set(lines)), repeated
 
 
-def line_table(text: str) -> tuple[list[int], list[int], list[int]]:
+def line_ends(key: bytes) -> tuple[int, int]:
+    """Hashes of the first and the last words of a normalised line, about half of it each, which tell
+    an edited copy of the line; 0 for a line of fewer than eight words."""
+    words = key.split()
+    if len(words) < 8:
+        return 0, 0
+    k = 1 << (len(words) // 2).bit_length() - 1
+    return tuple(np.uint64(xxhash.xxh64_intdigest(b" ".join(w), k)).astype(np.int64).item() for w in (words[:k], words[-k:]))
+
+
+def line_table(text: str) -> tuple[list[int], list[int], list[int], list[int]]:
     """Of the distinct normalised lines with a word: hashes, the words that each takes up in the
-    text, and a mark of the rest of the document (the hash of its longest other line)."""
+    text, and the hashes of its two ends."""
     words: dict[int, int] = {}
-    length: dict[int, int] = {}
+    ends: dict[int, tuple[int, int]] = {}
     for line in text.split("\n"):
         if h := line_hash(line):
             words[h] = words.get(h, 0) + len(line.encode().split())
-            length[h] = len(line)
-    top = sorted(((n, h) for h, n in length.items()), reverse=True)[:2]
-    first, second = (top[0][1] if top else 0), (top[1][1] if len(top) > 1 else 0)
-    return list(words), list(words.values()), [second if h == first else first for h in words]
+            if h not in ends:
+                ends[h] = line_ends(line.encode().lower())
+    return list(words), list(words.values()), [e[0] for e in ends.values()], [e[1] for e in ends.values()]
+
+
+def lines_above(lines: DataFrame, line_limit: int, min_spread: float) -> DataFrame:
+    """(h, line) above the limit, of ``lines`` (row, h, mark, line, first, last).
+
+    Often: lines of more than ``line_limit`` distinct texts of the host. What a text has besides often
+    lines and edited copies of them (which share an end) is its own part. Texts are grouped by the least
+    frequent of their often lines, which sets families of near copies apart from pages that share
+    boilerplate with them; a group counts as many documents as it has different own parts,
+    or as one if these are less than ``min_spread`` of its texts."""
+    texts = lines.select("h", "line", "first", "last", "mark").distinct()
+    often = materialise(texts.groupBy("h", "line").agg(F.count("*").alias("n"), F.min("first").alias("first"), F.min("last").alias("last")).filter(F.col("n") > line_limit), "quality-often")
+    flagged = lines.join(often.select("h", "line", "n"), ["h", "line"], "left")
+    for end in ("first", "last"):
+        flagged = flagged.join(often.filter(f"{end} <> 0").select("h", end, F.lit(True).alias(f"{end}_known")).distinct(), ["h", end], "left")
+    own = F.when(F.col("n").isNull() & F.col("first_known").isNull() & F.col("last_known").isNull(), F.col("line"))
+    seen = flagged.groupBy("row", "h", "mark").agg(
+        F.min(F.when(F.col("n").isNotNull(), F.struct("n", "line"))).alias("least"),
+        F.coalesce(F.bit_xor(own), F.lit(0)).alias("own"),
+        F.collect_list(F.when(F.col("n").isNotNull(), F.col("line"))).alias("held"),
+    )
+    each = seen.filter("least is not null").dropDuplicates(["h", "mark"]).select("h", F.col("least.line").alias("family"), "own", F.explode("held").alias("line"))
+    parts = each.groupBy("h", "line", "family", "own").agg(F.count("*").alias("texts"))
+    groups = parts.groupBy("h", "line", "family").agg(F.sum("texts").alias("texts"), F.count("*").alias("parts"))
+    distinct = F.when(F.col("parts") >= min_spread * F.col("texts"), F.col("parts")).otherwise(1)
+    return groups.groupBy("h", "line").agg(F.sum(distinct).alias("documents")).filter(F.col("documents") > line_limit).select("h", "line")
 
 
 def quality_rules(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, line_limit: int = 20, min_spread: float = 0.5, min_left: float = 0.3, with_text: bool = False, id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
@@ -59,10 +94,9 @@ def quality_rules(docs: DataFrame, min_words: int = 50, max_repeat_percent: int
     A document fails the base rules with fewer than ``min_words`` words or more than
     ``max_repeat_percent`` percent of them in repeated 3-word windows. A line (ASCII white space
     stripped, A-Z lower-cased, by 64-bit hash) is above the limit in a host if more than
-    ``line_limit`` distinct documents there hold it. Documents count as distinct by what else they
-    hold, the longest other line standing for it: copies count once, and near copies, which mostly
-    agree in it, hardly more; lines of which the distinct documents are less than ``min_spread`` of
-    the distinct texts mark a family of copies, which is left for deduplication. A document is
+    ``line_limit`` distinct documents there hold it. Documents count as distinct by all that they
+    hold besides the host's frequent lines (see ``lines_above``): copies count once, and a family of
+    near copies about once, so that it is left for deduplication. A document is
     depleted if the lines not above limits hold less than ``min_left`` of its words; it is rejected.
 
     Null texts are empty, null hosts are one host. A row is a document, so ids may be null or
@@ -81,21 +115,19 @@ def quality_rules(docs: DataFrame, min_words: int = 50, max_repeat_percent: int
         out = pd.DataFrame([statistics(t) for t in texts], columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
         lines = [line_table(t) for t in texts]
         out["mark"] = [np.uint64(xxhash.xxh64_intdigest(t.encode())).astype(np.int64).item() for t in texts]
-        for k, name in enumerate(("line", "words", "rest")):
+        for k, name in enumerate(("line", "words", "first", "last")):
             out[name] = [x[k] for x in lines]
         return out
 
-    read_all = F.pandas_udf(read, f"{_STATS}, mark long, line array<long>, words array<long>, rest array<long>")
+    read_all = F.pandas_udf(read, f"{_STATS}, mark long, line array<long>, words array<long>, first array<long>, last array<long>")
     stats = inner.select(F.monotonically_increasing_id().alias("row"), *own, read_all("t").alias("x")).select("row", *own, "x.*")
     stats = materialise(stats, "quality")
-    lines = stats.select("row", "h", "mark", F.explode(F.arrays_zip("line", "words", "rest")).alias("x")).select("row", "h", "mark", "x.line", "x.words", "x.rest")
-    texts = lines.select("h", "line", "rest", "mark").distinct()
-    spread = texts.groupBy("h", "line", "rest").agg(F.count("*").alias("texts")).groupBy("h", "line").agg(F.sum("texts").alias("texts"), F.count("*").alias("others"))
-    above = spread.filter((F.col("others") > line_limit) & (F.col("others") >= min_spread * F.col("texts"))).select("h", "line")
+    lines = stats.select("row", "h", "mark", F.explode(F.arrays_zip("line", "words", "first", "last")).alias("x")).select("row", "h", "mark", "x.*")
+    above = lines_above(lines.drop("words"), line_limit, min_spread)
     removed = lines.join(above, ["h", "line"]).groupBy("row").agg(F.sum("words").alias("n_words_removed"), F.collect_list("line").alias("gone"))
     if not with_text:
         removed = removed.drop("gone")
-    both = stats.drop("line", "words", "rest", "mark").join(removed, "row", "left")
+    both = stats.drop("line", "words", "first", "last", "mark").join(removed, "row", "left")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     gone = F.coalesce("n_words_removed", F.lit(0))
     depleted = (gone > 0) & (F.col("n_words") - gone < min_left * F.col("n_words"))
