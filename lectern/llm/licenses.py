@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ TEMPLATES = [
     ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "bsd"),
 ]
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+NOT_WORD_RE = re.compile(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
 def words_joined(text: Column) -> Column:
@@ -37,8 +39,6 @@ def spaces(c: Column) -> Column:
 
 
 def template_words(notice: str) -> list[str]:
-    import re
-
     return list(dict.fromkeys(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in notice))))
 
 
@@ -76,12 +76,44 @@ def matching_lines(docs: DataFrame, templates: list[tuple[str, str]], threshold:
     return found.filter(overlap >= F.col("o")).select("_k1", "_k2", "line_no", "notice", "label", (overlap / F.size("wanted")).alias("containment"))
 
 
+def matching_windows(docs: DataFrame, templates: list[tuple[str, str]], threshold: float, id: str, text: str) -> DataFrame:
+    """(_k1, _k2, notice, label, containment) for each window of words, across line ends, that holds at
+    least ``threshold`` of the distinct words of a notice; so wrapped notices are found, with comment
+    marks at the line starts too. A window is as long as the notice, and by 1 / threshold longer to make up for words put in.
+
+    Exact, by the filters of ``matching_lines``: only texts that hold enough of a notice's words at all are
+    looked at (length), and a window that reaches o = ceil(threshold * n) holds one of the notice's n - o + 1 rarest
+    words (prefix), so windows are looked for around these alone."""
+    spark = docs.sparkSession
+    sets = [(template_words(t), math.ceil(len(NOT_WORD_RE.sub(" ", t).split()) / threshold), label) for t, label in templates]
+    needed = [math.ceil(threshold * len(w) - 1e-9) for w, _, _ in sets]
+    vocabulary = sorted({w for words, _, _ in sets for w in words})
+    known = F.array(*[F.lit(w) for w in vocabulary])
+    texts = docs.select(*row_keys(id, text), F.split(F.btrim(words_joined(F.col(f"`{text}`"))), " ").alias("all"))
+    texts = texts.withColumn("own", F.array_intersect("all", known)).filter(F.size("own") >= min(needed))
+    enough = F.array_compact(F.array(*[F.when(F.size(F.array_intersect("own", F.array(*[F.lit(w) for w in words]))) >= o, F.lit(i)) for i, ((words, _, _), o) in enumerate(zip(sets, needed, strict=True))]))
+    texts = texts.withColumn("notices", enough).filter(F.size("notices") > 0).dropDuplicates(["_k1", "_k2"])
+    texts = materialise(texts.select("_k1", "_k2", "all", "own", "notices"), "license-texts")
+    counts = {r["w"]: r["n"] for r in texts.select(F.explode("own").alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}  # as many rows as the notices have words
+    rows = []
+    for i, ((words, length, label), o) in enumerate(zip(sets, needed, strict=True)):
+        rare = sorted(words, key=lambda w: (counts.get(w, 0), w))[: len(words) - o + 1]
+        rows.append((i, label, words, rare, length, o))
+    wanted = F.broadcast(spark.createDataFrame(rows, "notice int, label string, wanted array<string>, rare array<string>, n int, o int"))
+    each = texts.select("_k1", "_k2", "all", F.explode("notices").alias("notice")).join(wanted, "notice")
+    anchors = each.select("*", F.explode(F.filter(F.transform("all", lambda w, at: F.when(F.array_contains("rare", w), at)), lambda at: at.isNotNull())).alias("at"))
+    near = anchors.select("_k1", "_k2", "notice", "label", "wanted", "n", "o", F.slice("all", F.greatest(F.lit(1), F.col("at") + 2 - F.col("n")), F.col("n") + F.least(F.col("at"), F.col("n") - 1)).alias("around")).distinct()
+    near = near.filter(F.size(F.array_intersect("around", "wanted")) >= F.col("o"))
+    most = F.array_max(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("around") - F.col("n") + 1)), lambda s: F.size(F.array_intersect(F.slice("around", s, F.col("n")), "wanted"))))
+    return near.withColumn("most", most).filter(F.col("most") >= F.col("o")).select("_k1", "_k2", "notice", "label", (F.col("most") / F.size("wanted")).alias("containment"))
+
+
 def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None, templates: list[tuple[str, str]] | None = None, threshold: float = 0.9, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Labels the licenses that texts name.
 
     Base: places where the words of a phrase stand in a row (places may touch but a phrase must
-    not overlap itself). The method adds the label of each notice of which some line (a text block
-    here is a line) holds at least ``threshold`` of the distinct words. Null texts are empty. Rows
+    not overlap itself). The method adds the label of each notice of which some text block (a line, or a
+    window of words across line ends) holds at least ``threshold`` of the distinct words. Null texts are empty. Rows
     are documents: null and repeated ids stay apart, equal rows get equal results. Returns the
     columns of ``docs`` but the text (names below are replaced) and ``n_words``, ``n_base``,
     ``first_word``, ``last_word`` (null without a place), ``base_labels``, ``labels`` (sorted,
@@ -106,7 +138,8 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None, templa
         F.array_min(F.array(*firsts)).cast("long").alias("first_word"), F.array_max(F.array(*lasts)).cast("long").alias("last_word"),
         F.sort_array(F.array_distinct(F.array_compact(F.array(*labels)))).alias("_base"),
     )
-    more = matching_lines(docs, templates, threshold, id, text).groupBy("_k1", "_k2").agg(F.collect_set("label").alias("_more"), F.max("containment").alias("_score"))
+    found = [f(docs, templates, threshold, id, text).select("_k1", "_k2", "label", "containment") for f in (matching_lines, matching_windows)]
+    more = found[0].union(found[1]).groupBy("_k1", "_k2").agg(F.collect_set("label").alias("_more"), F.max("containment").alias("_score"))
     both = one.join(more, ["_k1", "_k2"], "left")
     every = F.sort_array(F.array_union("_base", F.coalesce("_more", F.array().cast("array<string>"))))
     return both.select(*[F.col(f"`{c}`") for c in rest], "n_words", "n_base", "first_word", "last_word", F.array_join("_base", ",").alias("base_labels"), F.array_join(every, ",").alias("labels"), F.coalesce("_score", F.lit(0.0)).alias("score"))
