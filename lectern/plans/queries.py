@@ -77,8 +77,8 @@ def similar_names(spark, d):
 
 @query()
 def document_terms(spark, d):
-    """Terms of each title line."""
-    titles = table(spark, d, "documents").select("doc_id", F.element_at(F.split("text", "\n"), 1).alias("title"))
+    """Terms of each whole text."""
+    titles = table(spark, d, "documents").select("doc_id", F.col("text").alias("title"))
     titles = titles.withColumn("plain", T.marks_stripped("title"))
     return titles.select("doc_id", T.terms(F.col("title"), F.col("plain")).alias("t")).select("doc_id", *[F.array_join(f"t.{c}", "|").alias(c) for c in ("unigrams", "bigrams", "trigrams", "properNouns", "stems")])
 
@@ -99,6 +99,13 @@ def keep_first_opening(spark, d):
     return dedup.keep_first(docs, F.lower("opening"), ["doc_id"]).select("doc_id", "lang", "source")
 
 
+@query("""select doc_id, lang, source from (select *, row_number() over (partition by lower(text) order by doc_id) n from documents) where n = 1""")
+def keep_first_text(spark, d):
+    """A08 on whole texts, which are hashed before they are dealt out."""
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", F.sha2(F.lower("text"), 256).alias("key"))
+    return dedup.keep_first(docs, F.col("key"), ["doc_id"]).select("doc_id", "lang", "source")
+
+
 @query(f"""select event_id, 1 + 0.3 * greatest(0.0, 1 - case when ts is null then 48.0 else greatest(0.0, (epoch_us(timestamp '{NOW}') - epoch_us(ts)) / 3.6e9) end / 48) fresh from events""")
 def event_freshness(spark, d):
     """F48, F51."""
