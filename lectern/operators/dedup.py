@@ -68,6 +68,13 @@ def pairs_sharing(df: DataFrame, item: str, key: str) -> DataFrame:
     return a.join(b, key).filter("a <> b").groupBy("a", "b").agg(F.sort_array(F.collect_set(key)).alias("shared"))
 
 
+def members_sharing(df: DataFrame, item: str, key: str) -> DataFrame:
+    """Each key that two items or more share, with its items and their number; a row for a group in place
+    of all its pairs."""
+    groups = df.select(item, key).distinct().groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("members"), F.count(item).alias("n"))
+    return groups.filter("n > 1")
+
+
 def pages_needed(n: Column, page_size: int = 100) -> Column:
     """A01."""
     return F.greatest(F.lit(1), F.ceil(n / page_size)).cast("long")

@@ -75,6 +75,13 @@ def similar_names(spark, d):
     return dedup.similar_sets(sets.filter("id % 20 = 0"), sets, 0.7)
 
 
+@query()
+def similar_names_all(spark, d):
+    """All names against all, themselves too."""
+    sets = table(spark, d, "part").select(F.col("p_partkey").alias("id"), T.folded(T.similarity_tokens(F.col("p_name"))).alias("tokens"))
+    return dedup.similar_sets(sets, sets, 0.7)
+
+
 @query()
 def document_terms(spark, d):
     """Terms of each whole text."""
@@ -236,6 +243,12 @@ def collisions(spark, d):
     return dedup.pairs_sharing(table(spark, d, "lineitem").filter("l_partkey % 50 = 0").select("l_suppkey", "l_partkey"), "l_suppkey", "l_partkey")
 
 
+@query()
+def shared_parts(spark, d):
+    """J12 over all parts: each part of two or more suppliers, with these."""
+    return dedup.members_sharing(table(spark, d, "lineitem"), "l_suppkey", "l_partkey")
+
+
 @query("""select o_orderkey, o_orderdate from orders order by o_orderdate desc, o_orderkey limit 5""")
 def newest_orders(spark, d):
     """O03."""
