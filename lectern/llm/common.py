@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,11 +15,14 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, else one made here."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, else the session's
+    checkpoint folder, else, with a local master alone, a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if re.match(r"local(\[|$)", spark.sparkContext.master) is None:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="lectern-")
         spark.sparkContext.setCheckpointDir(found)
         found = spark.sparkContext.getCheckpointDir()
@@ -55,13 +59,16 @@ def hash_pair(c: Column) -> tuple[Column, Column]:
     return F.xxhash64(c), F.xxhash64(F.lit(7), c)
 
 
-def with_column_names(df: DataFrame, **names: str) -> DataFrame:
-    """``df`` with just the named columns, under the operator's own names; extra columns, also those
-    whose names clash with working columns, go."""
-    return df.select([F.col(f"`{v}`").alias(k) for k, v in names.items()])
-
-
 def replacing(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns of these names, which an operator is about to add."""
     taken = {n.lower() for n in names}
     return df.select([F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+
+
+def set_aside(df: DataFrame, *skip: str, **named: str) -> tuple[list[Column], list[Column]]:
+    """The columns of ``df`` but ``skip`` under the names c0, c1, ..., which no working column has (or under
+    the working name that ``named`` gives, as in t="text"), and the columns that give them their
+    names back. An operator works between the two, so a caller's columns may have any name."""
+    own, known = [c for c in df.columns if c not in skip], {v: k for k, v in named.items()}
+    inner = [known.get(c, f"c{i}") for i, c in enumerate(own)]
+    return [F.col(f"`{c}`").alias(n) for c, n in zip(own, inner, strict=True)], [F.col(n).alias(c) for c, n in zip(own, inner, strict=True)]

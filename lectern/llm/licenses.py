@@ -8,7 +8,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import ascii_lower, materialise, replacing, row_keys
+from lectern.llm.common import ascii_lower, materialise, replacing, row_keys, set_aside
 
 #: Phrases and their labels.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -120,9 +120,8 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None, templa
     comma-joined, maybe empty), ``score`` (the largest containment found, 0 without).
     """
     phrases, templates = phrases or PHRASES, templates or TEMPLATES
-    base = replacing(docs, "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "_k1", "_k2", "_t")
-    rest = [c for c in base.columns if c != text]
-    one = docs.select(*[F.col(f"`{c}`") for c in rest], *row_keys(id, text), words_joined(F.col(f"`{text}`")).alias("_t"))
+    inner, named = set_aside(replacing(docs, *[n for n in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score") if n not in (id, text)]), text)
+    one = docs.select(*inner, *row_keys(id, text), words_joined(F.col(f"`{text}`")).alias("_t"))
     n_words = F.when(F.trim("_t") == "", 0).otherwise(spaces(F.col("_t")) - 1)
     places, firsts, lasts, labels = [], [], [], []
     for phrase, label in phrases.items():
@@ -134,7 +133,7 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None, templa
         lasts.append(F.when(there, n_words - spaces(F.substring(back, F.lit(1), F.locate(whole[::-1], back) - 1)) - len(phrase.split())))
         labels.append(F.when(there, F.lit(label)))
     one = one.select(
-        *[F.col(f"`{c}`") for c in [*rest, "_k1", "_k2"]], n_words.cast("long").alias("n_words"), sum(places, F.lit(0)).cast("long").alias("n_base"),
+        *[c for c in one.columns if c != "_t"], n_words.cast("long").alias("n_words"), sum(places, F.lit(0)).cast("long").alias("n_base"),
         F.array_min(F.array(*firsts)).cast("long").alias("first_word"), F.array_max(F.array(*lasts)).cast("long").alias("last_word"),
         F.sort_array(F.array_distinct(F.array_compact(F.array(*labels)))).alias("_base"),
     )
@@ -142,4 +141,4 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None, templa
     more = found[0].union(found[1]).groupBy("_k1", "_k2").agg(F.collect_set("label").alias("_more"), F.max("containment").alias("_score"))
     both = one.join(more, ["_k1", "_k2"], "left")
     every = F.sort_array(F.array_union("_base", F.coalesce("_more", F.array().cast("array<string>"))))
-    return both.select(*[F.col(f"`{c}`") for c in rest], "n_words", "n_base", "first_word", "last_word", F.array_join("_base", ",").alias("base_labels"), F.array_join(every, ",").alias("labels"), F.coalesce("_score", F.lit(0.0)).alias("score"))
+    return both.select(*named, "n_words", "n_base", "first_word", "last_word", F.array_join("_base", ",").alias("base_labels"), F.array_join(every, ",").alias("labels"), F.coalesce("_score", F.lit(0.0)).alias("score"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lectern.llm.common import WORD, materialise, replacing, row_keys
+from lectern.llm.common import WORD, materialise, replacing, row_keys, set_aside
 
 
 def water_fill(total: float, weights: np.ndarray, caps: np.ndarray) -> np.ndarray:
@@ -123,10 +123,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
 
 def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The mix itself: each document as often as its words are taken, rounded, so that texts stay
-    whole; a shard has two documents at most that its first and last block cut."""
+    whole; a shard has two documents at most that its first and last block cut. Texts without words
+    (null and empty ones too) are never taken; equal rows are taken alike, as often as the luckiest of
+    them; ids may be null or repeat. An empty table gives an empty one; columns keep any name."""
     keyed = docs.select(*row_keys(id, text), F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{source}`").alias("source"))
     taken = mix(keyed, id="id", text="text", source="source", **options)
     times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int")
-    times = taken.groupBy("_k1", "_k2").agg(F.max(times).alias("_times")).filter("_times > 0")
-    joined = docs.select("*", *row_keys(id, text)).join(times, ["_k1", "_k2"])
-    return joined.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    times = taken.groupBy("_k1", "_k2").agg(F.max(times).alias("times")).filter("times > 0")
+    inner, back = set_aside(docs)
+    joined = docs.select(*inner, *row_keys(id, text)).join(times, ["_k1", "_k2"])
+    return joined.withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*back)

@@ -7,10 +7,10 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import ASCII_SPACE, materialise, replacing, row_keys
+from lectern.llm.common import ASCII_SPACE, materialise, replacing, set_aside
 
 SYMBOLS = "#*$%&|<>"
 _STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -39,122 +39,81 @@ def statistics(text: str) -> tuple[int, int, int, int, int]:
     return len(words), chars, sum(text.count(c) for c in SYMBOLS), len(lines) - len(set(lines)), repeated
 
 
-def line_ends(key: bytes) -> tuple[int, int]:
-    """Hashes of the first and the last words of a normalised line, about half of it each, which tell
-    an edited copy of the line; 0 for a line of fewer than eight words."""
-    words = key.split()
-    if len(words) < 8:
-        return 0, 0
-    k = 1 << (len(words) // 2).bit_length() - 1
-    return tuple(np.uint64(xxhash.xxh64_intdigest(b" ".join(w), k)).astype(np.int64).item() for w in (words[:k], words[-k:]))
-
-
-def line_table(text: str) -> tuple[list[int], list[int], list[int], list[int]]:
-    """Of the distinct normalised lines with a word: hashes, the words that each takes up in the
-    text, and the hashes of its two ends."""
+def line_table(text: str) -> tuple[list[int], list[int]]:
+    """Of the distinct normalised lines with a word: hashes, and the words that each takes up in the text."""
     words: dict[int, int] = {}
-    ends: dict[int, tuple[int, int]] = {}
     for line in text.split("\n"):
         if h := line_hash(line):
             words[h] = words.get(h, 0) + len(line.encode().split())
-            if h not in ends:
-                ends[h] = line_ends(line.encode().lower())
-    return list(words), list(words.values()), [e[0] for e in ends.values()], [e[1] for e in ends.values()]
-
-
-def lines_above(lines: DataFrame, line_limit: int, min_spread: float) -> DataFrame:
-    """(h, line) above the limit, of ``lines`` (row, h, mark, line, first, last).
-
-    Often: lines of more than ``line_limit`` distinct texts of the host. What a text has besides often
-    lines and edited copies of them (which share an end) is its own part. Texts are grouped by the least
-    frequent of their often lines, which sets families of near copies apart from pages that share
-    boilerplate with them; a group counts as many documents as it has different own parts,
-    or as one if these are less than ``min_spread`` of its texts."""
-    texts = lines.select("h", "line", "first", "last", "mark").distinct()
-    often = materialise(texts.groupBy("h", "line").agg(F.count("*").alias("n"), F.min("first").alias("first"), F.min("last").alias("last")).filter(F.col("n") > line_limit), "quality-often")
-    flagged = lines.join(often.select("h", "line", "n"), ["h", "line"], "left")
-    for end in ("first", "last"):
-        flagged = flagged.join(often.filter(f"{end} <> 0").select("h", end, F.lit(True).alias(f"{end}_known")).distinct(), ["h", end], "left")
-    own = F.when(F.col("n").isNull() & F.col("first_known").isNull() & F.col("last_known").isNull(), F.col("line"))
-    seen = flagged.groupBy("row", "h", "mark").agg(
-        F.min(F.when(F.col("n").isNotNull(), F.struct("n", "line"))).alias("least"),
-        F.coalesce(F.bit_xor(own), F.lit(0)).alias("own"),
-        F.collect_list(F.when(F.col("n").isNotNull(), F.col("line"))).alias("held"),
-    )
-    each = seen.filter("least is not null").dropDuplicates(["h", "mark"]).select("h", F.col("least.line").alias("family"), "own", F.explode("held").alias("line"))
-    parts = each.groupBy("h", "line", "family", "own").agg(F.count("*").alias("texts"))
-    groups = parts.groupBy("h", "line", "family").agg(F.sum("texts").alias("texts"), F.count("*").alias("parts"))
-    distinct = F.when(F.col("parts") >= min_spread * F.col("texts"), F.col("parts")).otherwise(1)
-    return groups.groupBy("h", "line").agg(F.sum(distinct).alias("documents")).filter(F.col("documents") > line_limit).select("h", "line")
-
-
-def quality_rules(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, line_limit: int = 20, min_spread: float = 0.5, min_left: float = 0.3, with_text: bool = False, id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """Base rules for each text, then removal of lines that too many documents of a host share.
+    return list(words), list(words.values())
 
-    A document fails the base rules with fewer than ``min_words`` words or more than
-    ``max_repeat_percent`` percent of them in repeated 3-word windows. A line (ASCII white space
-    stripped, A-Z lower-cased, by 64-bit hash) is above the limit in a host if more than
-    ``line_limit`` distinct documents there hold it. Documents count as distinct by all that they
-    hold besides the host's frequent lines (see ``lines_above``): copies count once, and a family of
-    near copies about once, so that it is left for deduplication. A document is
-    depleted if the lines not above limits hold less than ``min_left`` of its words; it is rejected.
 
-    Null texts are empty, null hosts are one host. A row is a document, so ids may be null or
-    repeat. Returns the columns of ``docs`` but the text (names below are replaced) and
-    ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``,
-    ``base_failed``, ``n_words_removed``, ``kept``, and with ``with_text`` also ``text`` without
-    the lines above limits. Texts are read once and move only with ``with_text``.
-    """
-    base = replacing(docs, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_words_removed", "kept")
-    rest = [c for c in base.columns if c != text]
-    inner = base.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)], F.col(f"`{text}`").alias("t"), F.coalesce(F.col(f"`{host}`").cast("string"), F.lit("\x00null")).alias("h"))
-    own = inner.columns if with_text else [c for c in inner.columns if c != "t"]
+def lines_above(lines: DataFrame, line_limit: int) -> DataFrame:
+    """(h, line): the lines that more than ``line_limit`` distinct documents of a host hold, of ``lines``
+    (h, line, mark). ``mark`` names a text by its hash: copies are one document. Both steps are summed
+    in the map tasks first, so a host or line of any size is dealt evenly."""
+    return lines.select("h", "line", "mark").distinct().groupBy("h", "line").count().filter(F.col("count") > line_limit).select("h", "line")
+
+
+def _judged(docs: DataFrame, inner: list[Column], min_words: int, max_repeat_percent: int, line_limit: int, min_left: float, text: str, host: str, with_gone: bool) -> DataFrame:
+    """``inner`` columns of ``docs`` (names c0, c1, ... and t), statistics and verdicts. One pass over the
+    texts makes statistics and line hashes, written to the shared folder; the rest are joins of hashes."""
 
     def read(texts: pd.Series) -> pd.DataFrame:
         texts = [t or "" for t in texts]
         out = pd.DataFrame([statistics(t) for t in texts], columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
         lines = [line_table(t) for t in texts]
         out["mark"] = [np.uint64(xxhash.xxh64_intdigest(t.encode())).astype(np.int64).item() for t in texts]
-        for k, name in enumerate(("line", "words", "first", "last")):
-            out[name] = [x[k] for x in lines]
+        for k, name in enumerate(("line", "words")):
+            out[name] = pd.Series([x[k] for x in lines], dtype=object)
         return out
 
-    read_all = F.pandas_udf(read, f"{_STATS}, mark long, line array<long>, words array<long>, first array<long>, last array<long>")
-    stats = inner.select(F.monotonically_increasing_id().alias("row"), *own, read_all("t").alias("x")).select("row", *own, "x.*")
-    stats = materialise(stats, "quality")
-    lines = stats.select("row", "h", "mark", F.explode(F.arrays_zip("line", "words", "first", "last")).alias("x")).select("row", "h", "mark", "x.*")
-    above = lines_above(lines.drop("words"), line_limit, min_spread)
-    removed = lines.join(above, ["h", "line"]).groupBy("row").agg(F.sum("words").alias("n_words_removed"), F.collect_list("line").alias("gone"))
-    if not with_text:
-        removed = removed.drop("gone")
-    both = stats.drop("line", "words", "first", "last", "mark").join(removed, "row", "left")
+    read_all = F.pandas_udf(read, f"{_STATS}, mark long, line array<long>, words array<long>")
+    own = docs.select(*inner, F.coalesce(F.col(f"`{host}`").cast("string"), F.lit("\x00null")).alias("h"), read_all(F.col(f"`{text}`")).alias("x"))
+    stats = materialise(own.withColumn("row", F.monotonically_increasing_id()).select("row", *[c for c in own.columns if c != "x"], "x.*"), "quality")
+    lines = stats.select("row", "h", "mark", F.explode(F.arrays_zip("line", "words")).alias("x")).select("row", "h", "mark", "x.*")
+    above = materialise(lines_above(lines, line_limit), "quality-above")
+    gone = [F.collect_list("line").alias("gone")] if with_gone else []
+    removed = lines.select("row", "h", "line", "words").join(above, ["h", "line"]).groupBy("row").agg(F.sum("words").alias("removed"), *gone)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    gone = F.coalesce("n_words_removed", F.lit(0))
-    depleted = (gone > 0) & (F.col("n_words") - gone < min_left * F.col("n_words"))
-    columns = [F.col(f"c{i}").alias(c) for i, c in enumerate(rest)] + [F.col(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-    columns += [failed.alias("base_failed"), gone.alias("n_words_removed"), (~failed & ~depleted).alias("kept")]
-    if with_text:
-        columns.append(without_lines()(F.col("t"), F.col("gone")).alias(text))
-    return both.select(*columns)
+    out = F.coalesce("removed", F.lit(0))
+    depleted = (out > 0) & (F.col("n_words") - out < min_left * F.col("n_words"))
+    both = stats.drop("line", "words", "mark", "h").join(removed, "row", "left")
+    return both.withColumns({"base_failed": failed, "n_words_removed": out, "kept": ~failed & ~depleted})
+
 
+def quality_rules(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, line_limit: int = 20, min_left: float = 0.3, with_text: bool = False, id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
+    """Base rules for each text, then removal of lines that too many documents of a host share.
 
-def base_failure(text: str, min_words: int = 50, max_repeat_percent: int = 50):
-    def own(texts: pd.Series) -> pd.Series:
-        found = [statistics(t or "") for t in texts]
-        return pd.Series([s[0] < min_words or 100 * s[4] > max_repeat_percent * s[0] for s in found], dtype=bool)
+    A document fails the base rules with fewer than ``min_words`` words or more than
+    ``max_repeat_percent`` percent of them in repeated 3-word windows. A line (ASCII white space
+    stripped, A-Z lower-cased, by 64-bit hash) is above the limit in a host if more than
+    ``line_limit`` distinct documents there hold it; documents with equal texts are one. A document is
+    depleted if the lines not above limits hold less than ``min_left`` of its words; it is rejected.
 
-    return F.pandas_udf(own, "boolean")(F.col(f"`{text}`"))
+    Null texts are empty, null hosts are one host. A row is a document, so ids may be null or
+    repeat; equal rows get equal results, and an empty table gives an empty one. Returns the columns of
+    ``docs`` but the text (names below are replaced, any other is kept) and ``n_words``,
+    ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``,
+    ``n_words_removed``, ``kept``, and with ``with_text`` also ``text`` without the lines above
+    limits. Texts are read once and move only with ``with_text``.
+    """
+    new = [*[c.split()[0] for c in _STATS.split(", ")], "base_failed", "n_words_removed", "kept"]
+    base = replacing(docs, *[n for n in new if n not in (text, host)])
+    inner, back = set_aside(base, text)
+    judged = _judged(base, [*inner, *[F.col(f"`{text}`").alias("t")] * with_text], min_words, max_repeat_percent, line_limit, min_left, text, host, with_text)
+    cut = [without_lines()(F.col("t"), F.col("gone")).alias(text)] if with_text else []
+    return judged.select(*back, *new, *cut)
 
 
 def quality_filter(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """The documents that ``quality_rules`` keeps, whole and with all their columns.
-
-    The base rules are applied where a text is read; what remains to be joined is the list of
-    depleted documents, which Spark broadcasts where its size allows."""
-    judged = quality_rules(docs.select(*row_keys(id, text), F.col(f"`{text}`").alias("text"), F.col(f"`{host}`").alias("source")), text="text", host="source")
-    depleted = materialise(judged.filter("not kept and not base_failed").select("_k1", "_k2").distinct(), "quality-depleted")
-    passed = docs.filter(~base_failure(text))
-    return passed.select("*", *row_keys(id, text)).join(depleted, ["_k1", "_k2"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that ``quality_rules`` keeps, whole and with all their columns, whatever their names.
+
+    Rows are judged one by one: null texts are empty and fail, equal rows stay or go together, ids play no
+    part, and an empty table gives an empty one. The texts are read once and stand in the judged table, which
+    is filtered where it is read; what remains to be joined is the sums of removed words."""
+    inner, back = set_aside(docs, t=text)
+    return _judged(docs, inner, 50, 50, 20, 0.3, text, host, False).filter("kept").select(*back)
 
 
 def without_lines():

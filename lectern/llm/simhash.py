@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.llm.common import materialise, replacing, row_keys
+from lectern.llm.common import materialise, replacing, row_keys, set_aside
 
 BITS = 64
 
@@ -151,21 +151,23 @@ def near_duplicates(docs: DataFrame, distance: int = 2, shingle: int = 3, id: st
     are one node, so copies cost a row each and no pairs. Null ids are never a component's id
     unless all of its ids are null. Equal rows get equal results. Texts are read once and don't move.
     """
-    base = replacing(docs, "fingerprint", "component_id", "component_root")
-    rest = [c for c in base.columns if c != text]
-    rows = materialise(docs.select(*[F.col(f"`{c}`") for c in rest], fingerprints(text, shingle).alias("fingerprint")), "simhash")
-    fps = materialise(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(f"`{id}`").alias("least")), "simhash-distinct")
+    base = replacing(docs, *[n for n in ("fingerprint", "component_id", "component_root") if n not in (id, text)])
+    inner, back = set_aside(base, text, own_id=id)
+    rows = materialise(docs.select(*inner, fingerprints(text, shingle).alias("fingerprint")), "simhash")
+    fps = materialise(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("own_id").alias("least")), "simhash-distinct")
     roots = components(links(fps, distance), "simhash")
-    classed = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    classes = classed.join(classed.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(F.col("fp").alias("fingerprint"), "component_id", F.col("root").alias("component_root"))
-    return rows.join(classes, "fingerprint").select(*[F.col(f"`{c}`") for c in rest], "fingerprint", "component_id", "component_root")
+    classed = materialise(fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "simhash-classed")
+    heads = materialise(classed.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-heads")  # apart, so that Spark can split the join of a giant component
+    classes = materialise(classed.join(heads, "root").select(F.col("fp").alias("fingerprint"), "component_id", F.col("root").alias("component_root")), "simhash-classes")
+    return rows.join(classes, "fingerprint").select(*back, "fingerprint", "component_id", "component_root")
 
 
 def one_of_each(docs: DataFrame, distance: int = 2, shingle: int = 3, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each component, whole and with all its columns: that with the smallest id
-    (null last), of several with that id that with the least hash, of equal rows one."""
+    (null last), of several with that id that with the least hash, of equal rows one. Null and empty texts
+    have fingerprint 0; an empty table gives an empty one; columns keep any name."""
     rows = near_duplicates(docs.select(*row_keys(id, text), F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")), distance, shingle, "id", "text")
     own = F.struct(F.col("id").isNull().alias("n"), "id", "_k1", "_k2")
     best = rows.groupBy("component_root").agg(F.min(own).alias("best")).select("best._k1", "best._k2")
-    kept = docs.select("*", *row_keys(id, text)).join(best, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"])
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    inner, back = set_aside(docs)
+    return docs.select(*inner, *row_keys(id, text)).join(best, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select(*back)

@@ -18,9 +18,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
-def urn(*parts: Column) -> Column:
-    """A record id made from the record itself, so that a rerun writes the same archive."""
-    h = F.md5(F.concat_ws("\x01", *parts))
+def urn(h: Column) -> Column:
+    """A record id made from a hash of the record, so that a rerun writes the same archive."""
     cut = lambda a, n: F.substring(h, a, n)
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", cut(1, 8), cut(9, 4), cut(13, 4), cut(17, 4), cut(21, 12)), F.lit(">"))
 
@@ -35,8 +34,10 @@ def write_archive(pages: DataFrame, path: str | None = None, min_revisit: int =
 
     Of rows whose payloads of at least ``min_revisit`` bytes are equal, that with the largest id is
     the response, the others are revisits of it; of several with that id, one. Null ids are below
-    all others, null payloads are empty, null URLs are empty. Extra columns are left out. Payloads
-    count as equal if SHA-256, SHA-1 and length are.
+    all others, null payloads are empty, null URLs are empty. Extra columns are left out, whatever
+    their names. Payloads count as equal if SHA-256, SHA-1 and length are. Equal rows are numbered, so each is
+    a record of its own, and the archive doesn't depend on how the rows were partitioned. An empty table
+    gives an empty archive.
 
     The payloads are exchanged once, one a digest and map task; all else moves digests and ids.
     """
@@ -45,15 +46,19 @@ def write_archive(pages: DataFrame, path: str | None = None, min_revisit: int =
     body = F.encode(F.coalesce(F.col(f"`{payload}`"), F.lit("")), "UTF-8")
     rows = pages.select(F.col(f"`{id}`").alias("id"), F.col(f"`{url}`").cast("string").alias("url"), body.alias("payload"))
     digests = (F.sha2("payload", 256).alias("sha256"), F.sha1("payload").alias("sha1"), F.octet_length("payload").cast("long").alias("n_bytes"))
-    rows.select("*", *digests).select(F.monotonically_increasing_id().alias("record"), "id", "url", "sha256", "sha1", "n_bytes").write.parquet(f"{path}/index")
+    same = rows.select("id", "url", *digests).groupBy("id", "url", "sha256", "sha1", "n_bytes").count()
+    each = same.select("id", "url", "sha256", "sha1", "n_bytes", F.explode(F.sequence(F.lit(1), F.col("count"))).alias("copy"))
+    record = F.md5(F.concat_ws("\x01", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00null")) for c in ("id", "url", "sha256", "copy")]))
+    each.select(record.alias("record"), "id", "url", "sha256", "sha1", "n_bytes").write.parquet(f"{path}/index")
     index = spark.read.parquet(f"{path}/index")
     rows.select(*digests, "payload").groupBy("sha256", "sha1", "n_bytes").agg(F.first("payload").alias("payload")).write.option("compression", "zstd").parquet(f"{path}/payloads")
 
     lead = index.filter(F.col("n_bytes") >= min_revisit).groupBy("sha256").agg(F.max(F.struct("id", "record", "url")).alias("lead"))
+    lead.write.parquet(f"{path}/leads")  # apart, so that Spark can split the join of a payload that very many records share
+    lead = spark.read.schema(lead.schema).parquet(f"{path}/leads")
     both = index.join(lead, "sha256", "left")
     revisit = F.col("lead").isNotNull() & (F.col("lead.record") != F.col("record"))
-    rid = urn(F.col("id").cast("string"), F.col("record").cast("string"), F.col("sha256"))
-    lead_rid = urn(F.col("lead.id").cast("string"), F.col("lead.record").cast("string"), F.col("sha256"))
+    rid, lead_rid = urn(F.col("record")), urn(F.col("lead.record"))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.col("n_bytes").cast("string"), F.lit(CRLF * 2))
     length = F.octet_length(http) + F.when(revisit, 0).otherwise(F.col("n_bytes"))
     field = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
@@ -95,7 +100,8 @@ def payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """(record, warc): each record's exact bytes, header and block joined by digest."""
+    """(record, warc): each record's exact bytes, header and block joined by digest. The payloads are
+    verified, and an empty archive gives no rows."""
     heads = spark.read.parquet(f"{path}/headers")
     revisit = F.contains(F.decode("header", "UTF-8"), F.lit(f"{CRLF}WARC-Type: revisit{CRLF}"))
     with_body = heads.filter(~revisit).join(payloads(spark, path).select("sha256", "payload"), "sha256")
@@ -104,11 +110,15 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """What the archive says of each record: source_id, record_type, refers_to (source id), and the
-    length and SHA-1 of its full payload as worked out from the stored bytes."""
+    """What the archive says of each record: source_id (null for a null id), record_type, refers_to (source
+    id), and the length and SHA-1 of its full payload as worked out from the stored bytes. A payload
+    without the digest that the record's header states is an error. An empty archive gives no rows."""
     heads = spark.read.parquet(f"{path}/headers").select(
         "record", "sha256", header_field("X-Source-ID").alias("source_id"), header_field("WARC-Type").alias("record_type"), header_field("X-Refers-To-Source-ID").alias("refers_to"),
         header_field("WARC-Payload-Digest").alias("stated"),
     )
-    bodies = payloads(spark, path).select("sha256", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"))
-    return heads.join(bodies, "sha256").select("record", "source_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "stated")
+    sha1 = F.sha1("payload")
+    bodies = payloads(spark, path).select("sha256", F.octet_length("payload").cast("long").alias("payload_bytes"), sha1.alias("payload_digest"), F.concat(F.lit("sha1:"), base32(sha1)).alias("found"))
+    wrong = F.raise_error(F.concat(F.lit("a record states another digest than its payload has: "), F.col("record"))).cast("string")
+    joined = heads.join(bodies, "sha256")
+    return joined.select("record", "source_id", "record_type", "refers_to", "payload_bytes", F.when(F.col("stated") == F.col("found"), F.col("payload_digest")).otherwise(wrong).alias("payload_digest"), "stated")
