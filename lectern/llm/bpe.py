@@ -20,14 +20,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import replacing
+from lectern.llm.common import replacing, set_aside
 
 #: The characters of Unicode's White_Space, in which every tokenizer here breaks words.
 SPACE = r"[ \t\n\x0b\x0c\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: Marks a piece that has no space before it.
 MARK = "\x01"
 CHUNK_MASK = 127
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
 
 
 class Memo:
@@ -67,7 +67,7 @@ class Encoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 65536 else "<u4")
-        self.pieces, self.chunks = Memo(400_000, 64), Memo(20_000, 4096)
+        self.pieces, self.chunks = Memo(200_000, 64), Memo(8_000, 4096)
         #: What stands between pieces that are encoded in one go, and its one id.
         self.between = next((x for x in ("\n", "\n~\n", "\n_\n") if len(self.whole([x])[0]) == self.dtype.itemsize), None)
 
@@ -235,12 +235,13 @@ def encode_documents(docs: DataFrame, tokenizer: str, finish: Callable[[Encoder,
 
     ``tokenizer`` is a tokenizers file that every executor can read. ``finish(encoder, ids)`` turns
     a batch of encoded texts into the columns of ``schema``; by default the ids and the decoded
-    text. Null texts are empty: no ids. No text moves and none is looked at beyond its own task.
-    Returns the columns of ``docs`` but the text (those of ``schema`` are replaced), and ``schema``.
+    text. Null and empty texts have no ids, equal rows get equal results, an empty table gives an
+    empty one, ids play no part. No text moves and none is looked at beyond its own task.
+    Returns the columns of ``docs`` but the text (those of ``schema`` are replaced, any other name is
+    kept), and ``schema``.
     """
     new = [part.split()[0] for part in schema.split(", ")]
-    base = replacing(docs, *new)
-    rest = [F.col(f"`{c}`") for c in base.columns if c != text]
+    inner, back = set_aside(replacing(docs, *[n for n in new if n != text]), text)
     finish = finish or both
 
     def run(texts: pd.Series) -> pd.DataFrame:
@@ -249,8 +250,8 @@ def encode_documents(docs: DataFrame, tokenizer: str, finish: Callable[[Encoder,
             out.append(pd.DataFrame(finish(own, own.encode(texts[s])), columns=new))
         return pd.concat(out, ignore_index=True) if out else pd.DataFrame(columns=new)
 
-    done = docs.select(*rest, F.pandas_udf(run, schema)(F.col(f"`{text}`")).alias("_encoded"))
-    return done.select(*rest, *[F.col(f"_encoded.{n}") for n in new])
+    done = docs.select(*inner, F.pandas_udf(run, schema)(F.col(f"`{text}`")).alias("encoded"))
+    return done.select(*back, *[F.col(f"encoded.{n}") for n in new])
 
 
 def both(own: Encoder, ids: list[bytes]) -> dict[str, list]:
