@@ -20,13 +20,16 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import materialise, replacing, row_keys
+from lectern.llm.common import materialise, replacing, row_keys, set_aside
 
 LENGTH, K = 200, 100
 SIDE = LENGTH - K
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 CHUNK_ROWS = 20_000
+#: Over how many groups the places of a trigger that stands very often are spread.
+SPREAD = 64
+_SPANS, _HEADS = "doc long, first long, last long", "hash long, place long, around binary"
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -195,13 +198,36 @@ def repeated_offsets(groups: np.ndarray, low: np.ndarray, high: np.ndarray, befo
     return out
 
 
-def find_spans(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def hot_triggers(parsed: DataFrame, one_in: int = 64, most: int = 1024, least: int = 16) -> list[int]:
+    """Triggers that stand very often, judged by one in ``one_in`` documents; at most ``most``, as each has
+    that share of the places counted. They're a hint by which places are dealt out evenly; whatever
+    they are, the results are the same."""
+    some = parsed.filter(F.pmod(F.xxhash64("doc"), F.lit(one_in)) == 0).select(F.explode("hash").alias("hash"))
+    counts = materialise(some.groupBy("hash").count().filter(F.col("count") >= least), "repeats-often")
+    total = counts.agg(F.sum("count")).head()[0] or 0
+    return sorted(r["hash"] for r in counts.filter(F.col("count") * most >= total).collect())
+
+
+def spans_and_heads(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """As find_spans, for rows with ``part``: those of part 0 or more aren't compared with other surroundings of
+    their trigger; the first of each surroundings in each part goes out too (hash, place, around), to
+    meet the others' once more."""
+    return find_spans(frames, heads=True)
+
+
+def find_spans(frames: Iterator[pd.DataFrame], heads: bool = False) -> Iterator[pd.DataFrame]:
     """Rows of one trigger stand together, and of those the rows with equal surroundings. Gives the
     byte spans that repeated windows cover.
 
     Rows with equal surroundings repeat each other in all their windows, so their spans are given as
     they stream by; just the first stays, to be compared with other surroundings of its trigger."""
 
+    def spans(doc: np.ndarray, first: np.ndarray, last: np.ndarray) -> pd.DataFrame:
+        out = pd.DataFrame({"doc": doc, "first": first, "last": last})
+        if heads:
+            out = out.assign(hash=pd.Series([None] * len(out), dtype="Int64"), place=pd.Series([None] * len(out), dtype="Int64"), around=pd.Series([None] * len(out), dtype=object))
+        return out
+
     def done(f: pd.DataFrame) -> pd.DataFrame:
         groups = f["hash"].to_numpy(np.int64)
         place, around = f["place"].to_numpy(np.int64), f["around"].tolist()
@@ -212,7 +238,7 @@ def find_spans(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         row, first = np.nonzero(edge == 1)
         _, last = np.nonzero(edge == -1)
         at = (place >> 16)[row]
-        return pd.DataFrame({"doc": f["doc"].to_numpy()[row], "first": at - (last - 1), "last": at - first + LENGTH})
+        return spans(f["doc"].to_numpy()[row], at - (last - 1), at - first + LENGTH)
 
     held: list[pd.DataFrame] = []
     last: pd.DataFrame | None = None  # a row whose like may still come
@@ -232,7 +258,12 @@ def find_spans(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if given:
             twice[0] = False
         at = place[twice] >> 16
-        yield pd.DataFrame({"doc": f["doc"].to_numpy()[twice], "first": at - (place[twice] & 255), "last": at - (place[twice] >> 8 & 255) + LENGTH})
+        yield spans(f["doc"].to_numpy()[twice], at - (place[twice] & 255), at - (place[twice] >> 8 & 255) + LENGTH)
+        if heads:
+            apart = fresh & (f["part"].to_numpy() >= 0)
+            first = f.loc[apart, ["doc", "hash", "place", "around"]].reset_index(drop=True)
+            yield first.assign(first=pd.Series([None] * len(first), dtype="Int64"), last=pd.Series([None] * len(first), dtype="Int64"))[["doc", "first", "last", "hash", "place", "around"]]
+            fresh &= ~apart
         held.append(f[fresh])
         if sum(map(len, held)) >= CHUNK_ROWS:
             whole = pd.concat(held, ignore_index=True)
@@ -272,21 +303,26 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     or another document; strings are judged on the input.
 
     Null texts are empty; texts shorter than LENGTH keep all. Rows are documents: equal rows repeat
-    each other. Returns the columns of ``docs`` but the text (names below are replaced) and
-    ``n_bytes``, ``n_removed``, ``span_starts`` and ``span_ends`` (of the maximal removed runs), and
-    ``kept`` (binary, as a cut may part a character).
+    each other, ids may be null or repeat. An empty table gives an empty one. Returns the columns of
+    ``docs`` but the text (names below are replaced, any other is kept) and ``n_bytes``,
+    ``n_removed``, ``span_starts`` and ``span_ends`` (of the maximal removed runs), and ``kept``
+    (binary, as a cut may part a character).
 
     What is exchanged: a hash and a place for each trigger; the surroundings of those triggers
     that stand twice or more; and the texts, compressed, once to look the surroundings up and once to
-    cut. The places of one trigger pass through one task in order; it holds the distinct surroundings
-    of a trigger at a time, however many copies there are of each.
+    cut. The places of one trigger pass through one task in order, but for the triggers that stand
+    very often: their places are spread, equal surroundings meet within each part, and one of each
+    goes on to meet those of the other parts. So a task holds the distinct surroundings of a trigger at
+    a time, however many copies there are of each.
     """
-    base = replacing(docs, "n_bytes", "n_removed", "span_starts", "span_ends", "kept", "_k1", "_k2", "t", "spans", "places")
-    rest = [F.col(f"`{c}`") for c in base.columns if c != text]
+    base = replacing(docs, *[n for n in ("n_bytes", "n_removed", "span_starts", "span_ends", "kept") if n not in (id, text)])
+    inner, back = set_aside(base, text)
     parsed = docs.select(*row_keys(id, text), find_triggers(text).alias("x")).select(F.monotonically_increasing_id().alias("doc"), "_k1", "_k2", "x.at", "x.hash")
     parsed = materialise(parsed.filter(F.size("at") > 0), "repeats-parse")
+    often = F.col("hash").isin(hot_triggers(parsed))
     places = parsed.select("doc", F.explode(F.arrays_zip("at", "hash")).alias("x")).select("doc", "x.at", "x.hash")
-    left = places.repartition("hash").sortWithinPartitions("hash").mapInPandas(standing_twice, "doc long, at int").groupBy("doc").agg(F.collect_list("at").alias("places"))
+    rare = places.filter(~often).repartition("hash").sortWithinPartitions("hash").mapInPandas(standing_twice, "doc long, at int")
+    left = rare.union(places.filter(often).select("doc", "at")).groupBy("doc").agg(F.collect_list("at").alias("places"))
     keys = parsed.groupBy("_k1", "_k2").agg(F.min("doc").alias("doc"))  # equal rows share their places
     left = left.join(keys, "doc")
     dictionary = text_dictionary(docs, text)
@@ -294,9 +330,13 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     around = travelling.join(left, ["_k1", "_k2"]).select("doc", contexts(dictionary).alias("x"))
     around = around.select("doc", F.explode(F.arrays_zip("x.hash", "x.place", "x.around")).alias("y"))
     around = around.select("doc", *[F.col(f"y.{c}").alias(c) for c in ("hash", "place", "around")])
-    ordered = around.repartition("hash").sortWithinPartitions("hash", F.col("place").bitwiseAND(F.lit(0xFFFF)), "around")
-    spans = ordered.mapInPandas(find_spans, "doc long, first long, last long")
+    around = around.select("doc", "hash", "place", "around", F.when(often, F.pmod(F.xxhash64("doc"), F.lit(SPREAD))).otherwise(-1).cast("int").alias("part"))
+    order = (F.col("place").bitwiseAND(F.lit(0xFFFF)), "around")
+    found = around.repartition("hash", "part").sortWithinPartitions("hash", "part", *order).mapInPandas(spans_and_heads, f"{_SPANS}, {_HEADS}")
+    found = materialise(found, "repeats-found")
+    heads = found.filter("hash is not null").select("doc", "hash", "place", "around").repartition("hash").sortWithinPartitions("hash", *order)
+    spans = found.filter("first is not null").select("doc", "first", "last").union(heads.mapInPandas(find_spans, _SPANS))
     spans = spans.groupBy("doc").agg(F.collect_set(F.struct("first", "last")).alias("spans")).join(keys, "doc").drop("doc")
-    final = docs.select(*rest, *row_keys(id, text), packed(text, dictionary).alias("t")).join(spans, ["_k1", "_k2"], "left")
-    cut = final.select(*rest, cut_spans(dictionary).alias("_cut"))
-    return cut.select(*rest, *[F.col(f"_cut.{c}") for c in ("n_bytes", "n_removed", "span_starts", "span_ends", "kept")])
+    final = docs.select(*inner, *row_keys(id, text), packed(text, dictionary).alias("t")).join(spans, ["_k1", "_k2"], "left")
+    cut = final.select(*[c for c in final.columns if c not in ("_k1", "_k2", "t", "spans")], cut_spans(dictionary).alias("cut"))
+    return cut.select(*back, *[F.col(f"cut.{c}") for c in ("n_bytes", "n_removed", "span_starts", "span_ends", "kept")])

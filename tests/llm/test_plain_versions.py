@@ -114,7 +114,7 @@ def test_spans_of_repeats_and_hot_triggers(spark, monkeypatch):
                 gone[i : i + 200] = [True] * 200
         want.append((k, len(x), sum(gone), sum(b and not a for a, b in zip([False, *gone], gone, strict=False))))
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    for least in (1, 64):
+    for least in (1, 10**6):
         found = repeats.hot_triggers
         monkeypatch.setattr(repeats, "hot_triggers", lambda parsed, least=least: found(parsed, 1, 1024, least))
         got = repeats.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", F.size("span_starts").cast("long"))
