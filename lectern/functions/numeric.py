@@ -7,9 +7,15 @@ from pyspark.sql import functions as F
 
 
 def fnv1a32(c: Column) -> Column:
-    """32-bit FNV-1a over characters of the basic plane."""
-    codes = F.transform(F.filter(F.split(c, ""), lambda x: x != ""), F.ascii)
-    return F.aggregate(codes, F.lit(2166136261).cast("long"), lambda h, x: (h.bitwiseXOR(x.cast("long")) * 16777619).bitwiseAND(4294967295))
+    """32-bit FNV-1a over UTF-16 units; a character beyond the basic plane is two."""
+    points = F.transform(F.filter(F.split(c, ""), lambda x: x != ""), F.ascii)
+    units = F.flatten(F.transform(points, lambda x: F.when(x < 0x10000, F.array(x)).otherwise(F.array(F.shiftright(x - 0x10000, 10) + 0xD800, (x - 0x10000).bitwiseAND(0x3FF) + 0xDC00))))
+    return F.aggregate(units, F.lit(2166136261).cast("long"), lambda h, x: (h.bitwiseXOR(x.cast("long")) * 16777619).bitwiseAND(4294967295))
+
+
+def fnv1a32_mod(c: Column, n: int) -> Column:
+    """a bucket below ``n``."""
+    return fnv1a32(c) % n
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lectern.functions.text import _EDGE, FAQ_PREFIXES, WS, folded, similarity_tokens, trimmed
+from lectern.functions.text import _EDGE, FAQ_PREFIXES, similarity_tokens, trimmed
 
 #: Intents of a search.
 JOB_SEARCH = r"cerco|cercare|offert[ae]|annunci?|posti?|lavoro|jobs?|assunzioni|curriculum|cv"
@@ -49,6 +49,11 @@ def other_script_ratio(c: Column) -> Column:
     return F.when(F.coalesce(letters, F.lit(0)) == 0, 0.0).otherwise(F.regexp_count(c, F.lit(OTHER_SCRIPTS)) / letters)
 
 
+def other_script(c: Column, threshold: float = 0.1) -> Column:
+    """More than ``threshold`` of the letters are of another script than the Latin one."""
+    return other_script_ratio(c) > threshold
+
+
 def contradicted_by_source(claim: Column, reason: Column, source: Column, support: float = 0.7) -> Column:
     """The reviewer says that it's absent, yet most of the claim's tokens stand in the source."""
     tokens = similarity_tokens(claim)
@@ -84,4 +89,3 @@ def thin(words: Column, least: int = 300) -> Column:
     return words < least
 
 
-__all__ = [n for n in dir() if n[0] != "_" and n not in ("annotations", "Column", "F", "WS", "folded")]

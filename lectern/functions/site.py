@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lectern.functions.predicates import first_match
-from lectern.functions.text import WS, meta_tags, scripts_removed, squashed, trimmed
+from lectern.functions.text import WS, meta_tags, scripts_removed, squashed, trimmed, truncated_units
 
 #: Topics of news, one a line by theme. The site's own name is the caller's to add.
 NEWS_TOPICS = """
@@ -104,6 +104,11 @@ def canonical_login(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(trimmed(c), "^app/", ""), r"\[bot\]$", "")
 
 
+def by_author(login: Column, authors: list[str]) -> Column:
+    """Whether a login, in its canonical form, is one of ``authors``; null is none."""
+    return F.coalesce(canonical_login(login).isin(authors), F.lit(False))
+
+
 def headlines(html: Column, least: int = 20, prefix: str = "maggiori informazioni su") -> Column:
     """(href, headline) of each link; a screen-reader prefix goes, and what is left must have
     ``least`` characters."""
@@ -178,7 +183,7 @@ def day_stamp(now: Column) -> Column:
 
 def dedup_text(title: Column, excerpt: Column, most: int = 4000) -> Column:
     """F32."""
-    return F.substring(F.concat(F.coalesce(title, F.lit("")), F.lit("\n\n"), F.coalesce(excerpt, F.lit(""))), 1, most)
+    return truncated_units(F.concat(F.coalesce(title, F.lit("")), F.lit("\n\n"), F.coalesce(excerpt, F.lit(""))), most)
 
 
 def hub_path(locale: Column, index_slug: Column, all_slug: Column) -> Column:
@@ -205,6 +210,11 @@ def bridge_page(sibling: Column, url: Column) -> Column:
     return F.concat_ws("\n", *lines)
 
 
+#: What pages tell crawlers, and the names of a build's files.
+ROBOTS_INDEX = "index, follow, max-snippet:-1, max-image-preview:large, max-video-preview:-1"
+CRITICAL_CSS, ENTRY_JS, ENTRY_CSS = "critical.css", "index-entry.js", "index.css"
+
+
 def image_object(content_url: Column, owner: str, owner_url: str, license_page: str, year: int, creator: Column | None = None, first_year: int = 2024, **more: Column) -> Column:
     """JSON of an image with its license; absent fields are left out, an absent URL is an error."""
     years = str(first_year) if year <= first_year else f"{first_year}–{year}"

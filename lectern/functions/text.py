@@ -113,6 +113,12 @@ def ts_unescaped(c: Column, newline: str = "\n") -> Column:
     return F.replace(c, F.lit(aside), F.lit("\\"))
 
 
+def meta_unescaped(c: Column) -> Column:
+    """one pass over escaped quotes and backslashes; every other escape stays."""
+    whole = F.transform(F.split(c, r"\\\\"), lambda x: F.regexp_replace(x, r"\\(['\"])", "$1"))
+    return F.array_join(whole, "\\")
+
+
 def double_breaks_repaired(c: Column, by: str = "\n") -> Column:
     """F10."""
     return F.regexp_replace(c, r"\\+n", by)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def uneven_presence(df: DataFrame, keys: list[str], present: str) -> DataFrame:
@@ -22,6 +23,21 @@ def success_ranking(df: DataFrame, name: str, ok: str) -> DataFrame:
     return df.groupBy(name).agg(F.count("*").alias("n"), F.avg(F.col(ok).cast("double")).alias("rate"))
 
 
+def ranked(chain: DataFrame, outcomes: DataFrame, name: str = "name", ordinal: str = "ordinal", ok: str = "ok") -> DataFrame:
+    """``chain`` (name, ordinal) with the rate of each name's outcomes, 0.5 where there are none, and its
+    position: by falling rate, ties in order of ``ordinal``. A chain is a short list of choices."""
+    rates = success_ranking(outcomes, name, ok).select(name, "rate")
+    both = chain.join(rates, name, "left").withColumn("rate", F.coalesce("rate", F.lit(0.5)))
+    return both.withColumn("position", F.row_number().over(Window.orderBy(F.desc("rate"), ordinal)))
+
+
+def publishable(events: DataFrame, date: str) -> DataFrame:
+    """The events, if some are dated; else an error, so that nothing is overwritten by an empty set."""
+    verdict = events_valid(events, date).select("valid")
+    refused = F.raise_error(F.lit("refused: no dated events")).cast("boolean")
+    return events.crossJoin(F.broadcast(verdict.select(F.when(F.col("valid"), True).otherwise(refused).alias("_ok")))).filter("_ok").drop("_ok")  # one row
+
+
 def usage_totals(messages: DataFrame, ordinal: str = "ordinal") -> DataFrame:
     """The last result record if there is one, else the sum of all."""
     parts = ["input_tokens", "cache_creation_input_tokens", "cache_read_input_tokens", "output_tokens"]

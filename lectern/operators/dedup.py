@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -62,6 +60,39 @@ def merged_issues(issues: DataFrame, fingerprint: Column, weight: Column) -> Dat
     return issues.groupBy(fingerprint.alias("fingerprint")).agg(F.max(weight).alias("weight"), F.count("*").alias("n"))
 
 
+#: Kinds of issues that weigh half, and the total that blocks.
+LOW_TRUST = ["statistiche", "coerenza"]
+BLOCK_WEIGHT = 3.0
+
+
+def issue_weight(category: Column) -> Column:
+    """A02."""
+    return F.when(category.isin(LOW_TRUST), 0.5).otherwise(1.0)
+
+
+def blocking_totals(issues: DataFrame, key: str, category: str) -> DataFrame:
+    """By ``key``, the weight of all issues and whether it blocks."""
+    return issues.groupBy(key).agg(F.sum(issue_weight(F.col(category))).alias("weight")).withColumn("blocked", F.col("weight") >= BLOCK_WEIGHT)
+
+
+def split_by(df: DataFrame, drop: Column) -> tuple[DataFrame, DataFrame]:
+    """(kept, dropped); a null verdict keeps."""
+    verdict = F.coalesce(drop, F.lit(False))
+    return df.filter(~verdict), df.filter(verdict)
+
+
+def archive_ids(meta: DataFrame, slugs: DataFrame, section: str | None = None) -> DataFrame:
+    """(section, id) of all articles that titles or slugs name in the first locale, each once; of one
+    section if it is given. meta (section, locale, id), slugs (section, id)."""
+    both = meta.filter("locale = 'it'").select("section", "id").unionByName(slugs.select("section", "id")).filter("id is not null").distinct()
+    return both if section is None else both.filter(F.col("section") == section)
+
+
+def archive_page_counts(ids: DataFrame) -> DataFrame:
+    """Pages of each section's archive, of what ``archive_ids`` gives."""
+    return ids.groupBy("section").agg(pages_needed(F.count("*")).alias("pages"))
+
+
 def pairs_sharing(df: DataFrame, item: str, key: str) -> DataFrame:
     """Items that share a key, both directions, with what they share."""
     a, b = df.select(F.col(item).alias("a"), key).distinct(), df.select(F.col(item).alias("b"), key).distinct()
@@ -79,6 +110,3 @@ def pages_needed(n: Column, page_size: int = 100) -> Column:
     """A01."""
     return F.greatest(F.lit(1), F.ceil(n / page_size)).cast("long")
 
-
-def prefix_bound(n: int, threshold: float) -> int:
-    return n - math.ceil(n * threshold - 1e-9) + 1

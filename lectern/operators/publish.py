@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -69,7 +73,80 @@ def newest(df: DataFrame, date: str, id: str, n: int = 5) -> DataFrame:
     return df.orderBy(F.desc(date), id).limit(n)
 
 
+def ranges(df: DataFrame, by: str, parts: int = 64) -> list[float]:
+    """Up to ``parts`` - 1 bounds that cut a numeric column into ranges of about equal size."""
+    found = df.agg(F.percentile_approx(by, [i / parts for i in range(1, parts)], 10_000).alias("b")).head()["b"]
+    return sorted(set(found or []))
+
+
+def range_of(bounds: list[float], c: Column) -> Column:
+    """The number of the range that a value is in: how many bounds lie below it; nulls come first."""
+    return F.coalesce(F.size(F.filter(F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>"), lambda b: b < c)), F.lit(0))
+
+
+def numbered(df: DataFrame, group: Column, order: list, name: str = "position") -> DataFrame:
+    """Rows numbered from 1 over all groups, in order of ``group`` (an int) and within it of ``order``. Each group
+    is numbered in a task of its own and begins where the counts of those before end."""
+    rows = df.withColumn("_group", group)
+    sizes = rows.groupBy("_group").count()
+    before = sizes.select("_group", (F.sum("count").over(Window.orderBy("_group")) - F.col("count")).alias("_before"))  # a row for each group
+    own = F.row_number().over(Window.partitionBy("_group").orderBy(*order))
+    return rows.withColumn("_own", own).join(F.broadcast(before), "_group").withColumn(name, (F.col("_own") + F.col("_before")).cast("long")).drop("_own", "_before", "_group")
+
+
 def preferred_order(df: DataFrame, preferred: list[str], name: str, ordinal: str) -> DataFrame:
     """(position): preferred names first, in that order, then the rest as they came."""
-    at = F.array_position(F.array(*[F.lit(p) for p in preferred]), F.col(name))
-    return df.withColumn("position", F.row_number().over(Window.orderBy(F.when(at == 0, 1).otherwise(0), at, ordinal)))
+    at = F.coalesce(F.array_position(F.array(*[F.lit(p) for p in preferred]), F.col(name)), F.lit(0))
+    return numbered(df, F.when(at > 0, 0).otherwise(range_of(ranges(df, ordinal), F.col(ordinal)) + 1), [at, ordinal])
+
+
+#: The paths of a section's articles by locale.
+SECTION_PATHS = {
+    "frontaliere": {"it": "/articoli-frontaliere/", "en": "/en/cross-border-articles/", "de": "/de/grenzgaenger-artikel/", "fr": "/fr/articles-frontalier/"},
+    "svizzera": {"it": "/articoli-svizzera/", "en": "/en/swiss-articles/", "de": "/de/schweiz-artikel/", "fr": "/fr/articles-suisse/"},
+}
+#: How a sitemap begins and ends.
+URLSET = """<?xml version="1.0" encoding="UTF-8"?>
+<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"
+        xmlns:xhtml="http://www.w3.org/1999/xhtml"
+        xmlns:image="http://www.google.com/schemas/sitemap-image/1.1">
+"""
+
+
+def sitemap_documents(rows: DataFrame, ordinal: str = "ordinal", per_file: int = 50_000) -> DataFrame:
+    """(file, count, xml): whole sitemaps of ``rows`` (ordinal, xml) in order, ``per_file`` URLs each at
+    most, the most that the protocol allows; so no file outgrows a task."""
+    each = numbered(rows, range_of(ranges(rows, ordinal), F.col(ordinal)), [ordinal])
+    files = each.groupBy(F.expr(f"cast((position - 1) div {per_file} as int)").alias("file")).agg(F.count("*").alias("count"), F.sort_array(F.collect_list(F.struct("position", "xml"))).alias("urls"))
+    return files.select("file", "count", F.concat(F.lit(URLSET), F.array_join("urls.xml", "\n"), F.lit("\n</urlset>\n")).alias("xml"))
+
+
+def feed_document(items: DataFrame, title: str, link: str, description: str, language: str, date: str, id: str, n: int = 50) -> DataFrame:
+    """(xml): a channel with the ``n`` newest of ``items`` (xml and the columns ``date`` and ``id``)."""
+    top = newest(items, date, id, n)
+    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.struct((-F.unix_date(F.col(date).cast("date"))).alias("d"), F.col(id).alias("i")).alias("o"), F.col("xml").alias("x")))), lambda s: s["x"]), "\n")
+    head = '<?xml version="1.0" encoding="UTF-8"?>\n<rss version="2.0"><channel>'
+    field = lambda name, value: F.concat(F.lit(f"<{name}>"), xml_escaped(F.lit(value)), F.lit(f"</{name}>"))
+    return top.agg(F.concat(F.lit(head), field("title", title), field("link", link), field("description", description), field("language", language), F.lit("\n"), body, F.lit("\n</channel></rss>\n")).alias("xml"))
+
+
+def replace_json(df: DataFrame, path: str) -> bool:
+    """Writes ``df`` as JSON beside ``path`` and then puts it in its place, so that a reader finds the old
+    rows or the new ones; what was begun is removed where that fails, and False is returned."""
+    spark = df.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    fs = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    try:
+        df.write.json(fresh)
+        if fs.exists(place(path)):
+            fs.rename(place(path), place(old))
+        done = bool(fs.rename(place(fresh), place(path)))
+        if not done and fs.exists(place(old)):
+            fs.rename(place(old), place(path))
+        return done
+    except (PySparkException, Py4JError):
+        return False
+    finally:
+        for leftover in (fresh, old):
+            fs.delete(place(leftover), True)

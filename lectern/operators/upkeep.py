@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from lectern.functions.numeric import age_hours, clamped_quota
 from lectern.functions.text import filename_words, html_to_text, publisher_host, trimmed
 from lectern.operators.dedup import keep_first
+from lectern.operators.publish import range_of, ranges
 
 _USAGE = "input_tokens long, cache_creation_input_tokens long, cache_read_input_tokens long, output_tokens long"
 
@@ -59,6 +60,11 @@ def quota_states(raw: DataFrame, column: str = "value") -> DataFrame:
     return rows.select(F.coalesce("s.version", F.lit(1)).alias("version"), F.greatest(F.coalesce("s.runCounter", F.lit(0)), F.lit(0)).alias("runCounter"), clamped_quota(F.col("s.currentQuota")).alias("currentQuota"), "s.lastTune")
 
 
+def counted(states: DataFrame, succeeded: bool = True) -> DataFrame:
+    """States with the counter one up, after a success only; ``publish.replace_json`` saves them."""
+    return states.withColumn("runCounter", F.col("runCounter") + int(succeeded))
+
+
 def cluster_seeds(clusters: DataFrame, templates: DataFrame, most: int = 8) -> DataFrame:
     """(position, seed): the seeds of clusters by falling p50, each once, at most ``most``. Ties keep
     the order of ``ordinal``; clusters (ordinal, cluster, p50), templates (cluster, place, seed)."""
@@ -74,6 +80,11 @@ def catalog_entries(files: DataFrame, catalog: DataFrame) -> DataFrame:
     return rows.filter(F.size("words") > 0).join(catalog.select("path").distinct(), "path", "left_anti")
 
 
+def append_entries(entries: DataFrame, path: str) -> None:
+    """Appends (path, words) to the catalog table at ``path``."""
+    entries.select("path", "words").write.mode("append").parquet(path)
+
+
 def manifest(files: DataFrame, commit: str, group: str = "kind") -> DataFrame:
     """By kind of file, how many there are and how many bytes they hold."""
     return files.groupBy(group).agg(F.count("*").alias("files"), F.sum(F.octet_length("content")).cast("long").alias("bytes")).withColumn("commit", F.lit(commit))
@@ -86,12 +97,31 @@ def repairs(dates: DataFrame, registered: DataFrame, article_id: Column) -> Data
     return rows.select("date", "id", F.when(F.col("id").isNull(), "bad date").when(F.col("_known").isNull(), "not registered").otherwise("ok").alias("verdict"))
 
 
+def changed_descriptions(current: DataFrame, wanted: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """(id, description): what a repair would write: descriptions other than the present one, of ids whose
+    verdict is ok. A dry run shows these rows, a real one writes them and no others."""
+    ok = verdicts.filter("verdict = 'ok'").select("id").distinct()
+    both = wanted.select("id", F.col("description").alias("_new")).join(ok, "id", "left_semi").join(current.select("id", "description"), "id")
+    return both.filter(~F.col("_new").eqNullSafe(F.col("description"))).select("id", F.col("_new").alias("description"))
+
+
 def longest_runs(rows: DataFrame, key: str, order: str, failed: str) -> DataFrame:
-    """By key, the most failures in a row; a success ends a run."""
-    each = rows.withColumn("_run", F.count_if(~F.col(failed)).over(Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
-    runs = each.filter(failed).groupBy(key, "_run").agg(F.count("*").alias("n"))
-    longest = runs.groupBy(key).agg(F.max("n").alias("longest"))
-    return rows.select(key).distinct().join(longest, key, "left").select(key, F.coalesce("longest", F.lit(0)).alias("longest"))
+    """By key, the most failures in a row; a success ends a run. Rows are cut into ranges of ``order`` (a
+    number), each summed up by itself as the failures before its first success, after its last one and
+    its longest run; a key's few sums are put together in order."""
+    each = rows.select(F.col(key).alias("key"), F.col(order).alias("at"), F.coalesce(F.col(failed), F.lit(False)).alias("failed"), range_of(ranges(rows, order), F.col(order)).alias("part"))
+    within = Window.partitionBy("key", "part").orderBy("at")
+    run = each.withColumn("run", F.count_if(~F.col("failed")).over(within.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = run.groupBy("key", "part", "run").agg(F.count_if("failed").alias("n"))
+    sums = runs.groupBy("key", "part").agg(F.max("run").alias("ends"), F.sum(F.when(F.col("run") == 0, F.col("n"))).alias("lead"), F.max_by("n", "run").alias("trail"), F.max("n").alias("most"))
+    parts = sums.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("part", "ends", F.coalesce("lead", F.lit(0)).alias("lead"), "trail", "most"))).alias("p"))
+    zero = F.lit(0).cast("long")
+
+    def step(acc, p):
+        on = acc["run"] + p["lead"]  # a run that goes on from the part before
+        return F.struct(F.greatest(acc["best"], on, p["most"]).alias("best"), F.when(p["ends"] == 0, on).otherwise(p["trail"]).alias("run"))
+
+    return parts.select(F.col("key").alias(key), F.aggregate("p", F.struct(zero.alias("best"), zero.alias("run")), step, lambda acc: acc["best"]).alias("longest"))
 
 
 def hub_slugs(sections: DataFrame) -> DataFrame:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from lectern.functions.numeric import trend_score
 from lectern.functions.predicates import articleable
 from lectern.functions.text import trimmed, ts_unescaped
 from lectern.operators.dedup import keep_first
@@ -29,7 +31,26 @@ def faq_items(bodies: DataFrame) -> DataFrame:
     return bodies.filter("field = 'faq'").select("section", "locale", "article_id", F.posexplode(items).alias("position", "item")).select("section", "locale", "article_id", "position", "item.q", "item.a")
 
 
-def overrides(spark: SparkSession, text: DataFrame, column: str) -> DataFrame:
+#: Where the canonical overrides of a section may stand, in the order in which they're tried.
+OVERRIDE_FILES = {
+    "frontaliere": ["packages/articles/engine/shared/frontaliere-article-canonical-overrides.json", "engine/shared/frontaliere-article-canonical-overrides.json"],
+    "svizzera": ["data/swiss-article-canonical-overrides.json", "content/swiss-article-canonical-overrides.json"],
+}
+
+
+def first_overrides(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
+    """The overrides of the first of ``paths`` that can be read, else none. A probe opens a path's
+    listing alone; the file itself is read by the executors."""
+    for path in paths:
+        try:
+            text = spark.read.text(f"{root}/{path}", wholetext=True)
+        except AnalysisException:
+            continue
+        return overrides(text, "value")
+    return spark.createDataFrame([], "slug string, winner_url string")
+
+
+def overrides(text: DataFrame, column: str) -> DataFrame:
     """(slug, winner_url) of a JSON map; what isn't an URL is left out."""
     return text.select(F.explode(F.from_json(column, "map<string,string>")).alias("slug", "winner_url")).filter(F.startswith("winner_url", F.lit("http")))
 
@@ -52,6 +73,17 @@ def orphan_candidates(queries: DataFrame) -> DataFrame:
     return keep_first(rows, F.lower("headline"), ["ordinal"]).select("headline", *[number(c) for c in ("imp", "pos", "ctr", "clicks")], F.lit("orphan").alias("source"))
 
 
+def trend_candidates(trends: DataFrame, proven: DataFrame, anchored) -> DataFrame:
+    """Trends (ordinal, keyword, score, geo, seed) as candidates: one for each headline whatever its
+    case, the first that no proven query equals and that ``anchored`` (Column to boolean Column) holds
+    for, with the compressed score and the raw one (null if it is 0 or no number)."""
+    rows = trends.withColumn("headline", trimmed(F.coalesce("keyword", F.lit("")))).filter("headline <> ''").filter(anchored(F.col("headline")))
+    known = proven.select(F.lower(trimmed(F.col("query"))).alias("_key")).distinct()
+    first = keep_first(rows.withColumn("_key", F.lower("headline")).join(known, "_key", "left_anti"), F.col("_key"), ["ordinal"])
+    raw = F.expr("try_cast(score as double)")
+    return first.select("headline", F.lit("trends").alias("source"), trend_score(raw).alias("score"), F.when(~F.isnan(raw), F.nullif(raw, F.lit(0.0))).alias("rawScore"), "geo", "seed")
+
+
 def unproven(candidates: DataFrame, proven: DataFrame, anchor: str) -> DataFrame:
     """Candidates that no proven query equals and that hold a domain anchor."""
     key = F.lower(trimmed(F.col("headline")))
@@ -59,44 +91,57 @@ def unproven(candidates: DataFrame, proven: DataFrame, anchor: str) -> DataFrame
     return candidates.withColumn("_key", key).join(own, "_key", "left_anti").filter(F.col("headline").rlike(f"(?iu){anchor}")).drop("_key")
 
 
-def usage_messages(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines; bad ones are skipped."""
-    return spark.read.option("mode", "DROPMALFORMED").json(path)
+#: JPEG markers that stand alone, without a length: restarts, start and end of image.
+_ALONE = frozenset(range(0xD0, 0xDA))
+#: JPEG markers from C0 to CF that begin no frame: tables and reserved.
+_NO_FRAME = frozenset((0xC4, 0xC8, 0xCC))
+
+
+def _webp_size(b: bytes) -> tuple[int, int] | None:
+    kind, number = b[12:16], lambda at, n: int.from_bytes(b[at : at + n], "little")
+    if len(b) < 30:
+        return None
+    if kind == b"VP8X":
+        return number(24, 3) + 1, number(27, 3) + 1
+    if kind == b"VP8L":
+        return (number(21, 4) & 0x3FFF) + 1, (number(21, 4) >> 14 & 0x3FFF) + 1
+    if kind == b"VP8 ":  # the start code of a frame stands within the first bytes of the data
+        at = b.find(b"\x9d\x01\x2a", 20, 43)
+        return (number(at + 3, 2) & 0x3FFF, number(at + 5, 2) & 0x3FFF) if 0 <= at <= len(b) - 7 else None
+    return None
+
+
+def _jpeg_size(b: bytes) -> tuple[int, int] | None:
+    at = b.find(b"\xff", 2)
+    while 0 <= at < len(b) - 9:
+        marker = b[at + 1]
+        if 0xC0 <= marker <= 0xCF and marker not in _NO_FRAME:
+            return int.from_bytes(b[at + 7 : at + 9], "big"), int.from_bytes(b[at + 5 : at + 7], "big")
+        step = 2 if marker in _ALONE else 2 + int.from_bytes(b[at + 2 : at + 4], "big")
+        at = b.find(b"\xff", at + (1 if marker == 0xFF else step))  # a marker may have fill bytes before it
+    return None
+
+
+def size_of_image(b: bytes | None) -> tuple[int | None, int | None]:
+    """(width, height) by the header; (None, None) where none is found or a side is 0."""
+    b, size = b or b"", None
+    if b[:4] == b"RIFF" and b[8:12] == b"WEBP":
+        size = _webp_size(b)
+    elif b[:8] == b"\x89PNG\r\n\x1a\n" and len(b) >= 24:
+        size = int.from_bytes(b[16:20], "big"), int.from_bytes(b[20:24], "big")
+    elif b[:3] == b"GIF" and len(b) >= 10:
+        size = int.from_bytes(b[6:8], "little"), int.from_bytes(b[8:10], "little")
+    elif b[:2] == b"\xff\xd8":
+        size = _jpeg_size(b)
+    elif b[4:8] == b"ftyp" and (box := b.find(b"ispe")) >= 0 and len(b) >= box + 16:
+        size = int.from_bytes(b[box + 8 : box + 12], "big"), int.from_bytes(b[box + 12 : box + 16], "big")
+    return size if size and min(size) > 0 else (None, None)
 
 
 @F.pandas_udf(StructType([StructField("width", IntegerType()), StructField("height", IntegerType())]))
 def image_size(content: pd.Series) -> pd.DataFrame:
     """from the headers of webp, png, jpeg, gif and avif files; null where none is found."""
-
-    def of(b: bytes | None):
-        if not b or len(b) < 10:
-            return None, None
-        size = None
-        if b[:4] == b"RIFF" and b[8:12] == b"WEBP" and len(b) >= 30:
-            kind = b[12:16]
-            if kind == b"VP8X":
-                size = int.from_bytes(b[24:27], "little") + 1, int.from_bytes(b[27:30], "little") + 1
-            elif kind == b"VP8 ":
-                size = int.from_bytes(b[26:28], "little") & 0x3FFF, int.from_bytes(b[28:30], "little") & 0x3FFF
-            elif kind == b"VP8L":
-                bits = int.from_bytes(b[21:25], "little")
-                size = (bits & 0x3FFF) + 1, (bits >> 14 & 0x3FFF) + 1
-        elif b[:8] == b"\x89PNG\r\n\x1a\n" and len(b) >= 24:
-            size = int.from_bytes(b[16:20], "big"), int.from_bytes(b[20:24], "big")
-        elif b[4:8] == b"ftyp" and (box := b.find(b"ispe")) >= 0 and len(b) >= box + 16:
-            size = int.from_bytes(b[box + 8 : box + 12], "big"), int.from_bytes(b[box + 12 : box + 16], "big")
-        elif b[:4] == b"GIF8":
-            size = int.from_bytes(b[6:8], "little"), int.from_bytes(b[8:10], "little")
-        elif b[:2] == b"\xff\xd8":
-            at = 2
-            while at + 9 < len(b) and b[at] == 0xFF:
-                if 0xC0 <= b[at + 1] <= 0xCF and b[at + 1] not in (0xC4, 0xC8, 0xCC):
-                    size = int.from_bytes(b[at + 7 : at + 9], "big"), int.from_bytes(b[at + 5 : at + 7], "big")
-                    break
-                at += 2 + int.from_bytes(b[at + 2 : at + 4], "big")
-        return size if size and min(size) > 0 else (None, None)
-
-    return pd.DataFrame([of(b) for b in content], columns=["width", "height"]).astype("Int32")
+    return pd.DataFrame([size_of_image(b) for b in content], columns=["width", "height"]).astype("Int32")
 
 
 def image_sizes(spark: SparkSession, path: str) -> DataFrame:
