@@ -56,9 +56,9 @@ def other_script(c: Column, threshold: float = 0.1) -> Column:
 
 def contradicted_by_source(claim: Column, reason: Column, source: Column, support: float = 0.7) -> Column:
     """The reviewer says that it's absent, yet most of the claim's tokens stand in the source."""
-    tokens = similarity_tokens(claim)
-    held = F.size(F.filter(tokens, lambda t: F.array_contains(similarity_tokens(source), t))) / F.size(tokens)
-    return (F.char_length(source) >= 100) & F.coalesce(reason, F.lit("")).rlike(f"(?iu){ABSENCE}") & (F.size(tokens) >= 4) & (held >= support)
+    both = F.array(F.struct(similarity_tokens(claim).alias("claim"), similarity_tokens(source).alias("source")))  # bound once, outside the lambdas
+    held = F.get(F.transform(both, lambda b: (F.size(b["claim"]) >= 4) & (F.size(F.filter(b["claim"], lambda t: F.array_contains(b["source"], t))) >= support * F.size(b["claim"]))), 0)
+    return (F.char_length(source) >= 100) & F.coalesce(reason, F.lit("")).rlike(f"(?iu){ABSENCE}") & held
 
 
 def parked_draft(is_draft: Column, updated: Column, labels: Column, now: Column) -> Column:

@@ -91,10 +91,10 @@ def manifest(files: DataFrame, commit: str, group: str = "kind") -> DataFrame:
 
 
 def repairs(dates: DataFrame, registered: DataFrame, article_id: Column) -> DataFrame:
-    """(date, id, verdict) of editions to repair: bad date, not registered, or ok. ``registered`` (id)."""
+    """``dates`` with (id, verdict) of editions to repair: bad date, not registered, or ok. ``registered`` (id)."""
     known = registered.select("id", F.lit(True).alias("_known")).distinct()
     rows = dates.withColumn("id", F.when(F.col("date").rlike(r"^\d{4}-\d{2}-\d{2}$"), article_id)).join(known, "id", "left")
-    return rows.select("date", "id", F.when(F.col("id").isNull(), "bad date").when(F.col("_known").isNull(), "not registered").otherwise("ok").alias("verdict"))
+    return rows.withColumn("verdict", F.when(F.col("id").isNull(), "bad date").when(F.col("_known").isNull(), "not registered").otherwise("ok")).drop("_known")
 
 
 def changed_descriptions(current: DataFrame, wanted: DataFrame, verdicts: DataFrame) -> DataFrame:

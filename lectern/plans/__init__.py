@@ -1 +1,5 @@
+"""Registered queries; both modules fill one registry."""
 
+from lectern.plans import function_queries, queries
+
+__all__ = ["function_queries", "queries"]
