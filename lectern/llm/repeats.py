@@ -27,8 +27,8 @@ SIDE = LENGTH - K
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 CHUNK_ROWS = 20_000
-#: Over how many groups the places of a trigger that stands very often are spread.
-SPREAD = 64
+#: About how many places of a trigger that stands very often go to one group.
+SPREAD = 512
 _SPANS, _HEADS = "doc long, first long, last long", "hash long, place long, around binary"
 _powers: dict[int, np.ndarray] = {}
 
@@ -198,14 +198,21 @@ def repeated_offsets(groups: np.ndarray, low: np.ndarray, high: np.ndarray, befo
     return out
 
 
-def hot_triggers(parsed: DataFrame, one_in: int = 64, most: int = 1024, least: int = 16) -> list[int]:
-    """Triggers that stand very often, judged by one in ``one_in`` documents; at most ``most``, as each has
-    that share of the places counted. They're a hint by which places are dealt out evenly; whatever
-    they are, the results are the same."""
+def hot_triggers(parsed: DataFrame, one_in: int = 64, most: int = 1024, least: int = 16) -> dict[int, list[int]]:
+    """Triggers that stand very often, judged by one in ``one_in`` documents, by the number of groups over
+    which their places are to be spread (a power of 4); at most ``most``, as each has that share of the
+    places counted. They're a hint by which places are dealt out evenly; whatever they are, the
+    results are the same."""
     some = parsed.filter(F.pmod(F.xxhash64("doc"), F.lit(one_in)) == 0).select(F.explode("hash").alias("hash"))
     counts = materialise(some.groupBy("hash").count().filter(F.col("count") >= least), "repeats-often")
     total = counts.agg(F.sum("count")).head()[0] or 0
-    return sorted(r["hash"] for r in counts.filter(F.col("count") * most >= total).collect())
+    groups: dict[int, list[int]] = {}
+    for r in counts.filter(F.col("count") * most >= total).orderBy("hash").collect():
+        n = 4
+        while n * SPREAD < r["count"] * one_in:
+            n *= 4
+        groups.setdefault(n, []).append(r["hash"])
+    return groups
 
 
 def spans_and_heads(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -319,7 +326,9 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     inner, back = set_aside(base, text)
     parsed = docs.select(*row_keys(id, text), find_triggers(text).alias("x")).select(F.monotonically_increasing_id().alias("doc"), "_k1", "_k2", "x.at", "x.hash")
     parsed = materialise(parsed.filter(F.size("at") > 0), "repeats-parse")
-    often = F.col("hash").isin(hot_triggers(parsed))
+    hot = hot_triggers(parsed)
+    often = F.col("hash").isin([h for hashes in hot.values() for h in hashes])
+    group = [F.when(F.col("hash").isin(hashes), F.pmod(F.xxhash64("doc", "place"), F.lit(n))) for n, hashes in hot.items()]
     places = parsed.select("doc", F.explode(F.arrays_zip("at", "hash")).alias("x")).select("doc", "x.at", "x.hash")
     rare = places.filter(~often).repartition("hash").sortWithinPartitions("hash").mapInPandas(standing_twice, "doc long, at int")
     left = rare.union(places.filter(often).select("doc", "at")).groupBy("doc").agg(F.collect_list("at").alias("places"))
@@ -330,7 +339,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     around = travelling.join(left, ["_k1", "_k2"]).select("doc", contexts(dictionary).alias("x"))
     around = around.select("doc", F.explode(F.arrays_zip("x.hash", "x.place", "x.around")).alias("y"))
     around = around.select("doc", *[F.col(f"y.{c}").alias(c) for c in ("hash", "place", "around")])
-    around = around.select("doc", "hash", "place", "around", F.when(often, F.pmod(F.xxhash64("doc"), F.lit(SPREAD))).otherwise(-1).cast("int").alias("part"))
+    around = around.select("doc", "hash", "place", "around", F.coalesce(*group, F.lit(-1)).cast("int").alias("part"))
     order = (F.col("place").bitwiseAND(F.lit(0xFFFF)), "around")
     found = around.repartition("hash", "part").sortWithinPartitions("hash", "part", *order).mapInPandas(spans_and_heads, f"{_SPANS}, {_HEADS}")
     found = materialise(found, "repeats-found")
