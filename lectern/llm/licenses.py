@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +44,20 @@ def template_words(notice: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in notice))))
 
 
+def with_rare_words(docs: DataFrame, templates: list[tuple[str, str]], threshold: float, text: str) -> DataFrame:
+    """The rows that may match: those that hold one of the n - o + 1 longest words of some notice, anywhere. By the
+    prefix filter that goes for any order of words, so no match is lost; it spares nearly all texts
+    the splitting. Unicode lower case is the same for ASCII words; with others there's no filter."""
+    words: set[str] = set()
+    for notice, _ in templates:
+        own = template_words(notice)
+        words.update(sorted(own, key=lambda w: (-len(w), w))[: len(own) - math.ceil(threshold * len(own) - 1e-9) + 1])
+    if not words or not "".join(words).isascii():
+        return docs
+    some = F.transform(F.array(F.lower(F.col(f"`{text}`"))), lambda t: reduce(or_, [F.contains(t, F.lit(w)) for w in sorted(words)]))  # lower-cased once
+    return docs.filter(F.get(some, 0))
+
+
 def matching_lines(docs: DataFrame, templates: list[tuple[str, str]], threshold: float, id: str, text: str) -> DataFrame:
     """(_k1, _k2, line, label, containment) for each line that holds at least ``threshold`` of the
     distinct words of a notice. Exact: a notice of n words asks for an overlap of
@@ -137,7 +153,8 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None, templa
         F.array_min(F.array(*firsts)).cast("long").alias("first_word"), F.array_max(F.array(*lasts)).cast("long").alias("last_word"),
         F.sort_array(F.array_distinct(F.array_compact(F.array(*labels)))).alias("_base"),
     )
-    found = [f(docs, templates, threshold, id, text).select("_k1", "_k2", "label", "containment") for f in (matching_lines, matching_windows)]
+    likely = with_rare_words(docs, templates, threshold, text)
+    found = [f(likely, templates, threshold, id, text).select("_k1", "_k2", "label", "containment") for f in (matching_lines, matching_windows)]
     more = found[0].union(found[1]).groupBy("_k1", "_k2").agg(F.collect_set("label").alias("_more"), F.max("containment").alias("_score"))
     both = one.join(more, ["_k1", "_k2"], "left")
     every = F.sort_array(F.array_union("_base", F.coalesce("_more", F.array().cast("array<string>"))))

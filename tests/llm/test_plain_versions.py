@@ -62,7 +62,7 @@ def test_digests(spark):
         assert got["decoded_sha256"][i] == hashlib.sha256(t.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
-def test_licenses_base_columns_and_labels(spark):
+def test_licenses_base_columns_and_labels(spark, monkeypatch):
     rng = random.Random(2)
     parts = [*licenses.PHRASES, *(t for t, _ in licenses.TEMPLATES), "under the", "MIT license,", "license", "cc", "by", "nc", "\n", "plain words here"]
     data = [(i, " ".join(rng.choice(parts) for _ in range(rng.randint(0, 8)))) for i in range(200)] + [(None, None), (1, ""), (900, "cc by nc cc by nc"), (901, "x " * 20_000 + "cc by nc")]
@@ -75,6 +75,9 @@ def test_licenses_base_columns_and_labels(spark):
         want.append((id, len(w), len(places), min((i for i, _ in places), default=None), max((i for i, _ in places), default=None), ",".join(base)))
     assert sorted(str(tuple(r)) for r in got.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels").collect()) == sorted(map(str, want))
     assert all(set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1 for r in got.collect())
+    monkeypatch.setattr(licenses, "with_rare_words", lambda docs, *_: docs)  # the first filter loses nothing
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    assert sorted(map(str, got.collect())) == sorted(map(str, licenses.scan_licenses(docs).collect()))
 
 
 def test_mix_columns(spark):
