@@ -93,10 +93,12 @@ def archive_page_counts(ids: DataFrame) -> DataFrame:
     return ids.groupBy("section").agg(pages_needed(F.count("*")).alias("pages"))
 
 
-def pairs_sharing(df: DataFrame, item: str, key: str) -> DataFrame:
-    """Items that share a key, both directions, with what they share."""
-    a, b = df.select(F.col(item).alias("a"), key).distinct(), df.select(F.col(item).alias("b"), key).distinct()
-    return a.join(b, key).filter("a <> b").groupBy("a", "b").agg(F.sort_array(F.collect_set(key)).alias("shared"))
+def sharing(df: DataFrame, item: str, key: str) -> DataFrame:
+    """(key, item, n) for each item of a key that ``n`` > 1 items share: the collision graph by its keys, from
+    which both directions of each link can be read. Rows stay as many as (key, item) pairs, no list is
+    gathered and no pair of items made, so a key that very many share is no burden."""
+    pairs = df.select(key, item).distinct()
+    return pairs.join(pairs.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1"), key)
 
 
 def members_sharing(df: DataFrame, item: str, key: str) -> DataFrame:

@@ -448,3 +448,21 @@ def eligible_news(spark, d):
     word = F.when(F.col("event_id") % 2 == 0, "Nuova Imposta alla fonte").otherwise("hockey")
     none = F.lit(None).cast("string")
     return table(spark, d, "events").select("event_id", P.news_eligible(none, word, none, none, F.lit(None).cast("array<string>"), F.col("ts").cast("string"), now(), S.NEWS_TOPICS).alias("eligible"))
+
+
+_STEM = "case when length(x) < 4 then x " + " ".join(f"when ends_with(x, '{e}') and length(x) >= {len(e) + 3} then left(x, length(x) - {len(e)})" for e in T.SUFFIXES) + " else x end"
+
+
+def _grams(n: int) -> str:
+    return "list_filter(list_transform(range(1, len(w) - %d), lambda i: %s), lambda g: length(g) >= 6)" % (n - 2, " || ' ' || ".join(f"w[i + {k}]" for k in range(n)))
+
+
+@query(rf"""with t as (select doc_id, list_filter(string_split_regex(lower(strip_accents(text)), '[\s\p{{P}}\p{{S}}]+'), lambda x: x <> '') w from documents),
+u as (select doc_id, w, list_filter(w, lambda x: length(x) >= 3 and not list_contains({sql_list(T.STOPWORDS)}, x)) u from t)
+select doc_id, array_to_string(list_sort(list_distinct(u)), '|') unigrams, array_to_string(list_sort(list_distinct({_grams(2)})), '|') bigrams,
+array_to_string(list_sort(list_distinct({_grams(3)})), '|') trigrams, array_to_string(list_sort(list_distinct(list_transform(u, lambda x: {_STEM}))), '|') stems from u""")
+def sorted_terms(spark, d):
+    """F26-F29 but for proper nouns, of each whole text, in order of the alphabet."""
+    texts = table(spark, d, "documents").select("doc_id", F.col("text").alias("title")).withColumn("plain", T.marks_stripped("title"))
+    terms = texts.select("doc_id", T.terms(F.col("title"), F.col("plain")).alias("t"))
+    return terms.select("doc_id", *[F.array_join(F.array_sort(f"t.{c}"), "|").alias(c) for c in ("unigrams", "bigrams", "trigrams", "stems")])

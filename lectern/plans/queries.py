@@ -99,11 +99,11 @@ def nearest_vector(spark, d):
     return dedup.nearest_other(v.filter("id % 20 = 0"), v, 5, 0.4)
 
 
-@query("""select doc_id, lang, source from (select *, row_number() over (partition by lower(substr(text, 1, 40)) order by doc_id) n from documents) where n = 1""")
-def keep_first_opening(spark, d):
-    """A08."""
-    docs = table(spark, d, "documents").select("doc_id", "lang", "source", F.substring("text", 1, 40).alias("opening"))
-    return dedup.keep_first(docs, F.lower("opening"), ["doc_id"]).select("doc_id", "lang", "source")
+@query("""select doc_id, lang, source from (select *, row_number() over (partition by trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) order by doc_id) n from documents) where n = 1""")
+def keep_first_squashed(spark, d):
+    """A08 on whole texts whatever their case and white space, which are hashed before they are dealt out."""
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", F.sha2(T.squashed(F.lower("text")), 256).alias("key"))
+    return dedup.keep_first(docs, F.col("key"), ["doc_id"]).select("doc_id", "lang", "source")
 
 
 @query("""select doc_id, lang, source from (select *, row_number() over (partition by lower(text) order by doc_id) n from documents) where n = 1""")
@@ -237,15 +237,15 @@ def sitemap(spark, d):
     return publish.sitemap_rows(registry, slugs, parts.select("id", F.lit("title").alias("field"), F.col("p_name").alias("value")), parts.filter("p_size <= 10").select(slug.alias("slug")), "https://example.org", _PATHS)
 
 
-@query("""select a.l_suppkey a, b.l_suppkey b, list_sort(list(distinct a.l_partkey)) shared from lineitem a join lineitem b on a.l_partkey = b.l_partkey and a.l_suppkey <> b.l_suppkey where a.l_partkey % 50 = 0 group by 1, 2""")
+@query("""select l_partkey, l_suppkey, n from (select distinct l_partkey, l_suppkey from lineitem) join (select l_partkey, count(distinct l_suppkey) n from lineitem group by 1) using (l_partkey) where n > 1""")
 def collisions(spark, d):
-    """Suppliers that share a part, of each fiftieth part."""
-    return dedup.pairs_sharing(table(spark, d, "lineitem").filter("l_partkey % 50 = 0").select("l_suppkey", "l_partkey"), "l_suppkey", "l_partkey")
+    """J12 over all parts: each part of two or more suppliers, with each of these."""
+    return dedup.sharing(table(spark, d, "lineitem"), "l_suppkey", "l_partkey")
 
 
-@query()
+@query("""select l_partkey, list_sort(list(distinct l_suppkey)) members, count(distinct l_suppkey) n from lineitem group by 1 having n > 1""")
 def shared_parts(spark, d):
-    """J12 over all parts: each part of two or more suppliers, with these."""
+    """J12 over all parts: each part of two or more suppliers, with these in a list."""
     return dedup.members_sharing(table(spark, d, "lineitem"), "l_suppkey", "l_partkey")
 
 
