@@ -28,7 +28,7 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 CHUNK_ROWS = 20_000
 #: About how many places of a trigger that stands very often go to one group.
-SPREAD = 512
+SPREAD = 2048
 _SPANS, _HEADS = "doc long, first long, last long", "hash long, place long, around binary"
 _powers: dict[int, np.ndarray] = {}
 
