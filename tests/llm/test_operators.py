@@ -229,10 +229,38 @@ def test_neighbours(spark):
         assert [f[0] for f in sorted(found)] == list(range(1, 11)) and all(abs(f[2] - s[f[1]]) < 1e-9 for f in found)
         hits += len(set(best.tolist()) & {f[1] for f in found})
     assert hits >= 0.9 * 10 * len(got)
+    split = neighbours.nearest(df, k=10, is_query=F.col("vec_id") % 20 == 0, parts=4, probes=4, block_rows=50, query_rows=7).collect()  # all parts, in small blocks: exact
+    for q in got:
+        s = x @ x[q]
+        s[q] = -np.inf
+        assert [r["vec_id"] for r in sorted(split, key=lambda r: r["rank"]) if r["query_id"] == q] == np.lexsort((np.arange(len(s)), -np.round(s, 9)))[:10].tolist()
     few = neighbours.nearest(df.filter("vec_id < 8"), k=10, is_query=F.col("vec_id") == 0).collect()
     assert len(few) == 7 and neighbours.nearest(df.limit(0)).count() == 0
 
 
+def test_probes_are_measured():
+    import pandas as pd
+
+    p = np.array([[0.5, 0.3, 0.2], [0.1, 0.2, 0.7]])
+    truth = pd.DataFrame({"q": [0, 0, 1, 1], "part": [0, 1, 2, 0]})  # places 0, 1, 0, 2
+    assert [neighbours.probes_needed(p, truth, r) for r in (0.5, 0.75, 0.76, 1.0)] == [1, 2, 3, 3]
+    assert [neighbours.parts_for(n, 4096) for n in (0, 10**4, 10**6, 10**8, 10**12)] == [16, 16, 64, 512, 512]
+
+
+def test_few_probes_do_on_clustered_vectors(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.standard_normal((64, 16)) * 3
+    x = centres[np.arange(6400) % 64] + 0.3 * rng.standard_normal((6400, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, k=20, is_query=F.col("vec_id") % 20 == 0, probes=3).collect()
+    hits = 0
+    for q in {r["query_id"] for r in got}:
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(set(np.argsort(-s)[:20].tolist()) & {r["vec_id"] for r in got if r["query_id"] == q})
+    assert hits >= 0.9 * 20 * 320
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     import corpus_pipeline
 
