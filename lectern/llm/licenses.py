@@ -26,6 +26,16 @@ TEMPLATES = [
     ("This work is licensed under the GNU General Public License, version 3.", "gpl-3"),
     ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License", "gpl"),
     ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "bsd"),
+    ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.", "bsd-3"),
+    ("Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.", "apache-2"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "isc"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at", "mpl-2"),
+    ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", "lgpl"),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation", "agpl"),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at", "epl-2"),
+    ("This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software", "unlicense"),
+    ("Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions", "zlib"),
+    ("Distributed under the Boost Software License, Version 1.0. See accompanying file LICENSE_1_0.txt or copy at", "boost-1"),
 ]
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 NOT_WORD_RE = re.compile(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -45,13 +55,14 @@ def template_words(notice: str) -> list[str]:
 
 
 def with_rare_words(docs: DataFrame, templates: list[tuple[str, str]], threshold: float, text: str) -> DataFrame:
-    """The rows that may match: those that hold one of the n - o + 1 longest words of some notice, anywhere. By the
+    """The rows that may match: those that hold one of n - o + 1 words of some notice, anywhere; the
+    longest are taken, those that another notice needs too before others of ten letters. By the
     prefix filter that goes for any order of words, so no match is lost; it spares nearly all texts
     the splitting. Unicode lower case is the same for ASCII words; with others there's no filter."""
     words: set[str] = set()
     for notice, _ in templates:
         own = template_words(notice)
-        words.update(sorted(own, key=lambda w: (-len(w), w))[: len(own) - math.ceil(threshold * len(own) - 1e-9) + 1])
+        words.update(sorted(own, key=lambda w: (-min(len(w), 10), w not in words, -len(w), w))[: len(own) - math.ceil(threshold * len(own) - 1e-9) + 1])
     if not words or not "".join(words).isascii():
         return docs
     some = F.transform(F.array(F.lower(F.col(f"`{text}`"))), lambda t: reduce(or_, [F.contains(t, F.lit(w)) for w in sorted(words)]))  # lower-cased once
@@ -129,7 +140,8 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None, templa
 
     Base: places where the words of a phrase stand in a row (places may touch but a phrase must
     not overlap itself). The method adds the label of each notice of which some text block (a line, or a
-    window of words across line ends) holds at least ``threshold`` of the distinct words. Null texts are empty. Rows
+    window of words across line ends) holds at least ``threshold`` of the distinct words; a block that holds the
+    words of two notices (as the Affero one holds the General one's) gets both labels. Null texts are empty. Rows
     are documents: null and repeated ids stay apart, equal rows get equal results. Returns the
     columns of ``docs`` but the text (names below are replaced) and ``n_words``, ``n_base``,
     ``first_word``, ``last_word`` (null without a place), ``base_labels``, ``labels`` (sorted,
