@@ -271,9 +271,18 @@ def _terms(raw: Column, normal: Column) -> Column:
     )
 
 
+def by_first_letter(markers: str) -> str:
+    """The same alternatives under their first letters, so that a place is tried against few of them;
+    those of one letter keep their order, and others never start at one place."""
+    groups: dict[str, list[str]] = {}
+    for m in markers.split("|"):
+        groups.setdefault(m[0], []).append(m[1:])
+    return f"(?=[{''.join(groups)}]){_WORD_START}({'|'.join(f'{k}(?:{"|".join(v)})' for k, v in groups.items())}){_EDGE}"
+
+
 def marker_count(c: Column, locale: str) -> Column:
-    """Distinct markers of a language, with ASCII word edges."""
-    return F.size(F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(f"{_WORD_START}({MARKERS[locale]}){_EDGE}"), F.lit(1))))
+    """Distinct markers of a language, with ASCII word edges, in a text in lower case."""
+    return F.size(F.array_distinct(F.regexp_extract_all(c, F.lit(by_first_letter(MARKERS[locale])), F.lit(1))))
 
 
 def detected_locale(c: Column) -> Column:
@@ -284,8 +293,11 @@ def detected_locale(c: Column) -> Column:
         first = F.when((n["en"] >= 2) & (n["en"] == most), "en").when((n["de"] >= 2) & (n["de"] == most), "de")
         return first.when((n["fr"] >= 2) & (n["fr"] == most), "fr").otherwise("it")
 
-    counts = F.struct(*[marker_count(F.coalesce(c, F.lit("")), k).alias(k) for k in MARKERS])
-    return F.get(F.transform(F.array(counts), pick), 0)  # bound once, as each count is used several times
+    def counted(lower):
+        return F.struct(*[marker_count(lower, k).alias(k) for k in MARKERS])
+
+    # each step is bound once, as the next uses it several times
+    return F.get(F.transform(F.transform(F.array(F.lower(F.coalesce(c, F.lit("")))), counted), pick), 0)
 
 
 def word_count(c: Column) -> Column:
