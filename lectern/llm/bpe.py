@@ -10,6 +10,7 @@ agrees leaves the whole text to be encoded in one go.
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from collections.abc import Callable, Iterator
 
@@ -26,6 +27,8 @@ from lectern.llm.common import replacing, set_aside
 SPACE = r"[ \t\n\x0b\x0c\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: Marks a piece that has no space before it.
 MARK = "\x01"
+#: A piece as marked that holds no white space but what comes before it.
+PLAIN = re.compile(rf"{MARK}?[^\s{MARK}]+").fullmatch
 CHUNK_MASK = 127
 BATCH_CHARS = 1_000_000
 
@@ -36,23 +39,23 @@ class Memo:
     def __init__(self, limit: int, longest: int = 256):
         self.limit, self.longest, self.new, self.old = limit, longest, {}, {}
 
-    def fill(self, keys: list, make) -> None:
-        """Sees to it that ``new`` has all the keys; ``make(keys)`` gives values for those unknown."""
-        missing = []
-        for k in set(keys) - self.new.keys():
-            if (got := self.old.get(k)) is None:
-                missing.append(k)
-            else:
-                self.new[k] = got
-        self.new.update(zip(missing, make(missing), strict=True))
-
-    def tidy(self, keys: list) -> None:
-        """Called after use: long keys aren't kept, and a full generation becomes the old one."""
-        for k in keys:
-            if len(k) > self.longest:
-                self.new.pop(k, None)
+    def get(self, keys: list, make) -> list:
+        """The values of distinct keys; ``make(keys)`` gives values for those unknown. Long keys
+        aren't kept, and a full generation becomes the old one."""
+        out = list(map(self.new.get, keys))
+        lost = [i for i, v in enumerate(out) if v is None]
+        old = list(map(self.old.get, [keys[i] for i in lost]))
+        missing = [i for i, v in zip(lost, old, strict=True) if v is None]
+        for i, v in zip(lost, old, strict=True):
+            if v is not None:
+                out[i] = self.new[keys[i]] = v
+        for i, v in zip(missing, make([keys[i] for i in missing]), strict=True):
+            out[i] = v
+            if len(keys[i]) <= self.longest:
+                self.new[keys[i]] = v
         if len(self.new) > self.limit:
             self.old, self.new = self.new, {}
+        return out
 
 
 class Encoder:
@@ -70,30 +73,34 @@ class Encoder:
         self.pieces, self.chunks = Memo(200_000, 64), Memo(8_000, 4096)
         #: What stands between pieces that are encoded in one go, and its one id.
         self.between = next((x for x in ("\n", "\n~\n", "\n_\n") if len(self.whole([x])[0]) == self.dtype.itemsize), None)
+        self.between_id = None if self.between is None else np.frombuffer(self.whole([self.between])[0], self.dtype)[0]
 
     def whole(self, texts: list[str]) -> list[bytes]:
         code = "H" if self.dtype.itemsize == 2 else "I"
         return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def each(self, pieces: list[str], together: int = 256) -> list[bytes]:
-        """As whole, for short pieces: many are encoded as one text and told apart by the id between
-        them. Where that id is met more often than it was put in, they are encoded one by one."""
+    def each(self, keys: list[str], together: int = 256) -> list[bytes]:
+        """Ids of pieces as marked that hold no white space: many are encoded as one text and told
+        apart by the id between them. Where that id is met more often than it was put in, and where
+        no mark has an id of its own, they are encoded one by one."""
+        groups = [keys[i : i + together] for i in range(0, len(keys), together)]
         if self.between is None:
-            return self.whole(pieces)
-        groups = [pieces[i : i + together] for i in range(0, len(pieces), together)]
-        mark, size, out = np.frombuffer(self.whole([self.between])[0], self.dtype)[0], self.dtype.itemsize, []
-        for group, joined in zip(groups, self.whole([self.between.join(g) for g in groups]), strict=True):
-            at = np.flatnonzero(np.frombuffer(joined, self.dtype) == mark) * size
+            return self.whole([piece_of(k) for k in keys])
+        start, size, out = f"{self.between} ", self.dtype.itemsize, []
+        # A space before each piece but for those marked as having none.
+        joined = [(start + start.join(g)).replace(start + MARK, self.between)[len(self.between) :] for g in groups]
+        for group, ids in zip(groups, self.whole(joined), strict=True):
+            at = np.flatnonzero(np.frombuffer(ids, self.dtype) == self.between_id) * size
             if len(at) == len(group) - 1:
-                out += [joined[a:z] for a, z in zip([0, *(at + size).tolist()], [*at.tolist(), len(joined)], strict=True)]
+                out += [ids[a:z] for a, z in zip([0, *(at + size).tolist()], [*at.tolist(), len(ids)], strict=True)]
             else:
-                out += self.whole(group)
+                out += self.whole([piece_of(k) for k in group])
         return out
 
     def by_pieces(self, texts: list[str]) -> list[bytes]:
         """Each text's ids, every distinct piece being encoded once.
 
-        A piece is a word with the one space before it, a line end with the word after it, or the
+        A piece is a word with the one space before it, a line end, the word after it, or the
         punctuation that follows a plain letter. No token crosses from one piece into the next, and
         none depends on the pieces around it, as long as white space stands one by one; texts in
         which it doesn't are encoded whole."""
@@ -106,14 +113,12 @@ class Encoder:
         if not len(plain):
             return out
         col = pc.binary_join_element_wise(pa.scalar(MARK, pa.large_string()), col.take(pa.array(plain)), pa.scalar("", pa.large_string()))
-        col = pc.replace_substring(col, "\n", f" {MARK}\n")
+        col = pc.replace_substring(col, "\n", f" {MARK}\n {MARK}")
         col = pc.replace_substring_regex(col, "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([-,.!?;:*#$%&)])", f"\\1 {MARK}\\2")
         split = pc.split_pattern(col, " ")
         coded = split.flatten().dictionary_encode()
-        keys = coded.dictionary.to_pylist()
-        self.pieces.fill(keys, self.make)
-        held = list(map(self.pieces.new.__getitem__, keys))
-        self.pieces.tidy(keys)
+        keys = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # several times as fast as to_pylist
+        held = self.pieces.get(keys, self.make)
         lengths = np.fromiter(map(len, held), np.int64, len(held)) // self.dtype.itemsize
         flat, first = np.frombuffer(b"".join(held), self.dtype), np.cumsum(lengths) - lengths
         index = coded.indices.to_numpy()
@@ -127,25 +132,20 @@ class Encoder:
 
     def make(self, keys: list[str]) -> list[bytes]:
         """Ids of pieces as marked. Those that hold white space after their start go one by one."""
-        pieces = [k[1:] if k[:1] == MARK else " " + k for k in keys]
-        plain = [i for i, p in enumerate(pieces) if len((p[1:] if p[:1] == " " else p).split()) == 1 and not p[-1:].isspace() and not p[:1] == "\n"]
-        out: list[bytes] = [b""] * len(pieces)
-        for i, ids in zip(plain, self.each([pieces[i] for i in plain]), strict=True):
-            out[i] = ids
-        rest = sorted(set(range(len(pieces))) - set(plain))
-        for i, ids in zip(rest, self.whole([pieces[i] for i in rest]), strict=True):
-            out[i] = ids
-        return out
+        plain = [k for k in keys if PLAIN(k)]
+        if len(plain) == len(keys):
+            return self.each(keys)
+        rest = [k for k in keys if not PLAIN(k)]
+        known = dict(zip(rest, self.whole([piece_of(k) for k in rest]), strict=True)) | dict(zip(plain, self.each(plain), strict=True))
+        return [known[k] for k in keys]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids by chunks."""
         cut = [chunks_of(t) for t in texts]
         keys = list(set().union(*cut))
-        self.chunks.fill(keys, self.by_pieces)
+        known = dict(zip(keys, self.chunks.get(keys, self.by_pieces), strict=True))
         bad = self.disagreeing(cut)
-        out = [b"".join(map(self.chunks.new.__getitem__, c)) if i not in bad else self.whole([texts[i]])[0] for i, c in enumerate(cut)]
-        self.chunks.tidy(keys)
-        return out
+        return [b"".join(map(known.__getitem__, c)) if i not in bad else self.whole([texts[i]])[0] for i, c in enumerate(cut)]
 
     def disagreeing(self, cut: list[list[str]]) -> set[int]:
         """Texts of which some join of chunks doesn't hold however many words are encoded together."""
@@ -168,6 +168,11 @@ class Encoder:
         return self.tokenizer.decode(np.frombuffer(ids, self.dtype).tolist(), skip_special_tokens=False)
 
 
+def piece_of(key: str) -> str:
+    """The piece that a key stands for: marked ones have no space before them."""
+    return key[1:] if key[:1] == MARK else f" {key}"
+
+
 def chunks_of(text: str) -> list[str]:
     """Cuts before a single space or line end between words where the hash of the 8 bytes before it
     has its low bits clear: a chunk of about a kilobyte. Any text that stands in two documents is cut
