@@ -11,15 +11,21 @@ from pyspark.sql import functions as F
 from lectern.functions.predicates import first_match
 from lectern.functions.text import WS, meta_tags, scripts_removed, squashed, trimmed, truncated_units
 
-#: Topics of news, one a line by theme. The site's own name is the caller's to add.
-NEWS_TOPICS = """
-fisco,fiscale,tasse,tassa,730,dichiarazione,irpef,nuovo-accordo-2026,nuovo accordo,accordo-fiscale,imposta-fonte,imposta alla fonte,valore-locativo,valore locativo,perequazione,ristorni
-avs,lpp,pensione,pensioni,previdenza,pilastro-3a,terzo pilastro
-lamal,assicurazione-malattia,assicurazione malattia,cassa-malati,cassa malati,cmi,tassa-salute,tassa salute
-dogana,frontiera,varco,permit-g,permit g,permesso g,permit-b,permit b,permesso b,lavoro-frontaliere,lavoro frontaliere,parita-frontalieri,parita frontalieri,ristorni-frontalieri,ristorni frontalieri,salari,salario,stipendi,stipendio,contratto,dumping-salariale,dumping salariale,frontalieri-ticino,frontalieri del ticino,lavoratori-frontalieri,lavoratori frontalieri,disoccupazione,occupazione-ticino,occupazione ticino,mercato-lavoro,mercato del lavoro
-cambio-valuta,cambio valuta,chf-eur,chf eur,franco-svizzero,franco svizzero,franco forte,bonifico,tasso,tassi-bce,tassi bce,inflazione,bce-tassi,bce tassi
-trasporti-frontaliere,trasporti frontaliere,treno,tilo,traffico,webcam-dogana,webcam dogana,autisti-bus,autisti bus,a2-melide,a2 melide,a2-chiasso,a2 chiasso,pendolarismo,autostrada-a2,autostrada a2,ffs-ticino,ffs ticino,treni-svizzeri,treni svizzeri,ferrovia-ticino
-""".strip().replace("\n", ",").split(",")
+#: Topics of news by theme. The site's own name is the caller's to add.
+NEWS_TOPICS = [
+    "fisco", "fiscale", "tasse", "tassa", "730", "dichiarazione", "irpef", "nuovo-accordo-2026", "nuovo accordo", "accordo-fiscale", "imposta-fonte", "imposta alla fonte",
+    "valore-locativo", "valore locativo", "perequazione", "ristorni",
+    "avs", "lpp", "pensione", "pensioni", "previdenza", "pilastro-3a", "terzo pilastro",
+    "lamal", "assicurazione-malattia", "assicurazione malattia", "cassa-malati", "cassa malati", "cmi", "tassa-salute", "tassa salute",
+    "dogana", "frontiera", "varco", "permit-g", "permit g", "permesso g", "permit-b", "permit b", "permesso b", "lavoro-frontaliere", "lavoro frontaliere",
+    "parita-frontalieri", "parita frontalieri", "ristorni-frontalieri", "ristorni frontalieri", "salari", "salario", "stipendi", "stipendio", "contratto",
+    "dumping-salariale", "dumping salariale", "frontalieri-ticino", "frontalieri del ticino", "lavoratori-frontalieri", "lavoratori frontalieri", "disoccupazione",
+    "occupazione-ticino", "occupazione ticino", "mercato-lavoro", "mercato del lavoro",
+    "cambio-valuta", "cambio valuta", "chf-eur", "chf eur", "franco-svizzero", "franco svizzero", "franco forte", "bonifico", "tasso", "tassi-bce", "tassi bce",
+    "inflazione", "bce-tassi", "bce tassi",
+    "trasporti-frontaliere", "trasporti frontaliere", "treno", "tilo", "traffico", "webcam-dogana", "webcam dogana", "autisti-bus", "autisti bus", "a2-melide", "a2 melide",
+    "a2-chiasso", "a2 chiasso", "pendolarismo", "autostrada-a2", "autostrada a2", "ffs-ticino", "ffs ticino", "treni-svizzeri", "treni svizzeri", "ferrovia-ticino",
+]
 #: Phrases that tie a text to cross-border work, in the order in which they are tried.
 STRICT_ANCHORS = [
     r"\bfrontalier", r"\btransfrontalier", r"\bpendolar[ie]\b", r"\bcross[- ]border\b", r"\bgrenzg[äa]nger", r"\bpermess[oi]\s+[bgcdl]\b", r"\bristorn[oi]\b", r"\bimposta\s+alla\s+fonte\b",
@@ -49,7 +55,10 @@ HASHED_NAME = r"^(.+)-([A-Za-z0-9_-]{8})\.(js|css)$"
 
 
 #: What a match of any anchor holds, one or another, in lower case.
-_ROOTS = "frontalier pendolar border grenzg permess ristorn imposta imposizion accordo salute lamal malati avs ahv lpp pilastro svizzer valico dogana ticines cambio chf contributi quadro".split()
+_ROOTS = [
+    "frontalier", "pendolar", "border", "grenzg", "permess", "ristorn", "imposta", "imposizion", "accordo", "salute", "lamal", "malati", "avs", "ahv", "lpp", "pilastro",
+    "svizzer", "valico", "dogana", "ticines", "cambio", "chf", "contributi", "quadro",
+]
 
 
 def _plain_edges(pattern: str) -> str:

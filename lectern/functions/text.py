@@ -15,10 +15,10 @@ WS = r"[ \t\n\x0B\f\r\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFE
 _WORD_START = r"(?<![A-Za-z0-9_])"
 
 #: Question openings of FAQ headings.
-FAQ_PREFIXES = (
-    "Come Cosa Quando Quanto Dove Chi Perché Quale How What When Where Who Why Which Can Should Is Are Do Does "
-    "Wie Was Wann Wo Wer Warum Welche Comment Quoi Quand Où Qui Pourquoi Quel Quelle Est-ce"
-).split()
+FAQ_PREFIXES = [
+    "Come", "Cosa", "Quando", "Quanto", "Dove", "Chi", "Perché", "Quale", "How", "What", "When", "Where", "Who", "Why", "Which", "Can", "Should", "Is", "Are", "Do", "Does",
+    "Wie", "Was", "Wann", "Wo", "Wer", "Warum", "Welche", "Comment", "Quoi", "Quand", "Où", "Qui", "Pourquoi", "Quel", "Quelle", "Est-ce",
+]
 #: Entities and what they stand for.
 ENTITIES = {
     "&amp;": "&", "&#038;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "’", "&#39;": "’", "&#039;": "’", "&nbsp;": " ",
@@ -26,14 +26,20 @@ ENTITIES = {
     "&ndash;": "–", "&#8211;": "–", "&mdash;": "—", "&#8212;": "—", "&hellip;": "…", "&#8230;": "…",
 }
 #: Italian suffixes in the order in which they are tried.
-SUFFIXES = "amente azione azioni mento menti iamo ate ato ata ati ano are ere ire osi ose oso osa ico ica ici iche oni one i e a o".split()
+SUFFIXES = [
+    "amente", "azione", "azioni", "mento", "menti", "iamo", "ate", "ato", "ata", "ati", "ano", "are", "ere", "ire", "osi", "ose", "oso", "osa", "ico", "ica", "ici", "iche",
+    "oni", "one", "i", "e", "a", "o",
+]
 #: Italian function words.
-STOPWORDS = (
-    "il la i le un una di da del della dello dei delle degli a al alla allo ai agli alle in nel nella nello nei nelle negli con su sul sulla sullo sui sulle sugli "
-    "per tra fra e o che non"
-).split()
+STOPWORDS = [
+    "il", "la", "i", "le", "un", "una", "di", "da", "del", "della", "dello", "dei", "delle", "degli", "a", "al", "alla", "allo", "ai", "agli", "alle", "in", "nel", "nella",
+    "nello", "nei", "nelle", "negli", "con", "su", "sul", "sulla", "sullo", "sui", "sulle", "sugli", "per", "tra", "fra", "e", "o", "che", "non",
+]
 #: Words too common in the domain to tell two headlines apart.
-DOMAIN_STOPLIST = "frontaliere svizzera italia ticino lavoro permesso imposta pensione cambio costo frontalier svizzer italian lavor tic nuovo nuovi nuova nuove ticinese ticinesi".split()
+DOMAIN_STOPLIST = [
+    "frontaliere", "svizzera", "italia", "ticino", "lavoro", "permesso", "imposta", "pensione", "cambio", "costo", "frontalier", "svizzer", "italian", "lavor", "tic",
+    "nuovo", "nuovi", "nuova", "nuove", "ticinese", "ticinesi",
+]
 #: Words that mark a language.
 MARKERS = {
     "en": r"how|what|when|where|why|anyone|does|is|are|can|should|would|could|i'?m|i\s*am|i've|i\s*have|the|and|with|for|from|about|please|thanks|thank\s*you|guys|friends|guy|girl|years\s*old|cheap|good|best|some|any",

@@ -42,10 +42,12 @@ def near_any(candidates: DataFrame, existing: DataFrame, threshold: float = 0.7,
     return candidates.join(found, id, "left_semi")
 
 
-def nearest_other(queries: DataFrame, vectors: DataFrame, k: int, threshold: float, id: str = "id", vector: str = "vector", blocks: int = 16) -> DataFrame:
+def nearest_other(queries: DataFrame, vectors: DataFrame, k: int, threshold: float, id: str = "id", vector: str = "vector", blocks: int | None = None) -> DataFrame:
     """Each query's most similar vector among its ``k`` nearest, itself left out after the k
     are taken, and whether it is at ``threshold`` or above. ``queries`` is a stated set; it meets
-    the vectors in blocks."""
+    the vectors in blocks, as many as the session has shuffle partitions unless told otherwise; each
+    task keeps its ``k`` best of a query before they are exchanged."""
+    blocks = blocks or int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     q = queries.select(F.col(id).alias("query_id"), F.col(vector).alias("q"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
     v = vectors.select(F.col(id).alias("other_id"), F.col(vector).alias("v"), F.pmod(F.xxhash64(id), F.lit(blocks)).cast("int").alias("block"))
     scored = q.join(v, "block").select("query_id", "other_id", F.round(dot(F.col("q"), F.col("v")), 6).alias("cosine"))

@@ -81,7 +81,25 @@ def ranges(df: DataFrame, by: str, parts: int = 64) -> list[float]:
 
 def range_of(bounds: list[float], c: Column) -> Column:
     """The number of the range that a value is in: how many bounds lie below it; nulls come first."""
-    return F.coalesce(F.size(F.filter(F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>"), lambda b: b < c)), F.lit(0))
+    return F.coalesce(sum([(c > F.lit(b)).cast("int") for b in bounds], F.lit(0)), F.lit(0))  # no lambda: Catalyst mixes those up in joins of a table with itself
+
+
+def group_medians(df: DataFrame, key: str, value: str, parts: int = 64) -> DataFrame:
+    """(key, p50), the exact median of each key's values. No group's values are held together: counts by range
+    say in which range the middle lies, and only that range's rows are counted by value and put in order. Null values
+    don't count, keys that have no others are left out, and a null key is a key."""
+    rows = df.select(F.col(key).alias("k"), F.col(value).cast("double").alias("v")).filter("v is not null")
+    rows = rows.withColumn("r", range_of(ranges(rows, "v", parts) or [0.0], F.col("v")))
+    of_key = Window.partitionBy("k")
+    sizes = rows.groupBy("k", "r").count().select("k", "r", F.sum("count").over(of_key.orderBy("r")).alias("upto"), "count", F.sum("count").over(of_key).alias("n"))
+    low, high = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
+    middle = sizes.filter((F.col("upto") >= low) & (F.col("upto") - F.col("count") < high))
+    middle = middle.select(F.col("k").alias(key), F.col("r").alias("at"), (F.col("upto") - F.col("count")).alias("before"), low.alias("low"), high.alias("high"))
+    near = rows.join(middle, F.col("k").eqNullSafe(F.col(key)) & (F.col("r") == F.col("at"))).groupBy(key, "at", "before", "low", "high", "v").count()
+    last = F.col("before") + F.sum("count").over(Window.partitionBy(key, "at").orderBy("v"))
+    ends = near.withColumn("last", last).withColumn("first", F.col("last") - F.col("count"))
+    holding = lambda place: F.max(F.when((F.col("first") < F.col(place)) & (F.col("last") >= F.col(place)), F.col("v")))
+    return ends.groupBy(key).agg((holding("low") * 0.5 + holding("high") * 0.5).alias("p50"))
 
 
 def numbered(df: DataFrame, group: Column, order: list, name: str = "position") -> DataFrame:

@@ -143,7 +143,7 @@ select id, source, round(case source when 'orphan' then imp / 90 * p50 / 400 whe
 def candidate_scores(spark, d):
     """Orders stand in for candidates, market segments for clusters."""
     customers = table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
-    p50 = customers.groupBy("c_mktsegment").agg(F.percentile("c_acctbal", 0.5).alias("p50"))
+    p50 = publish.group_medians(customers, "c_mktsegment", "c_acctbal")
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     rows = orders.join(customers.drop("c_acctbal"), F.col("o_custkey") == F.col("c_custkey")).join(p50, "c_mktsegment", "left")
     source = F.element_at(F.array(*[F.lit(x) for x in ("orphan", "suggest", "news", "trends")]), (F.col("o_orderkey") % 4 + 1).cast("int"))
@@ -302,7 +302,7 @@ def purge_requests(spark, d):
 @query("""with s as (select c_mktsegment, row_number() over (order by p50 desc, c_mktsegment) position from (select c_mktsegment, median(c_acctbal) p50 from customer group by 1)) select position::int as position, lower(c_mktsegment) seed from s where position <= 3""")
 def top_seeds(spark, d):
     """Market segments stand in for clusters."""
-    own = table(spark, d, "customer").groupBy("c_mktsegment").agg(F.percentile("c_acctbal", 0.5).alias("p50")).select(F.col("c_mktsegment").alias("ordinal"), F.col("c_mktsegment").alias("cluster"), "p50")
+    own = publish.group_medians(table(spark, d, "customer"), "c_mktsegment", "c_acctbal").select(F.col("c_mktsegment").alias("ordinal"), F.col("c_mktsegment").alias("cluster"), "p50")
     return upkeep.cluster_seeds(own, own.select("cluster", F.lit(0).alias("place"), F.lower("cluster").alias("seed")), 3)
 
 

@@ -121,3 +121,22 @@ def test_tables(spark):
 def test_ages(spark, date, hours, minutes):
     assert of(spark, N.age_hours(F.col("x"), now()), x=date) == hours
     assert of(spark, N.minutes_since(F.col("x"), now()), x=date) == minutes
+
+
+def test_medians_against_sorted_values(spark):
+    import random
+
+    from lectern.operators.publish import group_medians
+
+    drawn = random.Random(3)
+    rows = [(k, drawn.choice([1.5, 2.25, -7.0, drawn.uniform(-9, 9)])) for k in ("a", "b", None) for _ in range(301 if k else 40)]
+    rows += [("one", 4.0), ("two", 1.0), ("two", 2.0), ("same", 3.0), ("same", 3.0), ("same", 3.0), ("none", None), ("a", None)]
+    values = {}
+    for k, v in rows:
+        if v is not None:
+            values.setdefault(k, []).append(v)
+    want = {k: 0.5 * sorted(v)[(len(v) - 1) // 2] + 0.5 * sorted(v)[len(v) // 2] for k, v in values.items()}
+    df = spark.createDataFrame(rows, "cluster string, price double")
+    for parts in (2, 5, 64):
+        assert {r["cluster"]: r["p50"] for r in group_medians(df, "cluster", "price", parts).collect()} == want
+    assert group_medians(df.limit(0), "cluster", "price").collect() == []
