@@ -12,6 +12,7 @@ from lectern.llm.mixing import mix
 from lectern.llm.neighbours import nearest
 from lectern.llm.quality import quality_rules
 from lectern.llm.repeats import remove_repeats
+from lectern.llm.secrets import base_spans, scan_secrets, spans_text
 from lectern.llm.simhash import near_duplicates
 from lectern.llm.token_files import read_tokens, write_tokens
 from lectern.llm.warc import read_index, write_archive
@@ -76,7 +77,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_archive, op2_learned_partitions, op3_bpe_codec, op4_line_dedup, op5_source_mix, op6_simhash, op7_repeats, op8_token_files, op9_quality_rules, op10_license_scan)}
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(spans_text(base_spans(F.col("spans"))), 256).alias("base_sha256"), spans_text(F.col("spans")).alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_archive, op2_learned_partitions, op3_bpe_codec, op4_line_dedup, op5_source_mix, op6_simhash, op7_repeats, op8_token_files, op9_quality_rules, op10_license_scan, op11_secret_scan)}
 
 ORACLE_SQL = {
     "op1_warc_archive": """
