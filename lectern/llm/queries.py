@@ -15,6 +15,7 @@ from lectern.llm.repeats import remove_repeats
 from lectern.llm.secrets import base_spans, scan_secrets, spans_text
 from lectern.llm.simhash import near_duplicates
 from lectern.llm.token_files import read_tokens, write_tokens
+from lectern.llm.turns import damaged, repair_conversations
 from lectern.llm.warc import read_index, write_archive
 from lectern.session import ship
 
@@ -82,7 +83,11 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(spans_text(base_spans(F.col("spans"))), 256).alias("base_sha256"), spans_text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_archive, op2_learned_partitions, op3_bpe_codec, op4_line_dedup, op5_source_mix, op6_simhash, op7_repeats, op8_token_files, op9_quality_rules, op10_license_scan, op11_secret_scan)}
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(damaged(table(spark, sf_dir, "conversations")))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_archive, op2_learned_partitions, op3_bpe_codec, op4_line_dedup, op5_source_mix, op6_simhash, op7_repeats, op8_token_files, op9_quality_rules, op10_license_scan, op11_secret_scan, op12_turn_repair)}
 
 ORACLE_SQL = {
     "op1_warc_archive": """
