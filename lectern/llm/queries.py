@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.llm.alignment import align_tokenizers
 from lectern.llm.bpe import digests, encode_documents
 from lectern.llm.licenses import scan_licenses
 from lectern.llm.line_dedup import dedup_lines
@@ -87,7 +88,12 @@ def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_conversations(damaged(table(spark, sf_dir, "conversations")))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_archive, op2_learned_partitions, op3_bpe_codec, op4_line_dedup, op5_source_mix, op6_simhash, op7_repeats, op8_token_files, op9_quality_rules, op10_license_scan, op11_secret_scan, op12_turn_repair)}
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = align_tokenizers(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    return done.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_archive, op2_learned_partitions, op3_bpe_codec, op4_line_dedup, op5_source_mix, op6_simhash, op7_repeats, op8_token_files, op9_quality_rules, op10_license_scan, op11_secret_scan, op12_turn_repair, op13_token_alignment)}
 
 ORACLE_SQL = {
     "op1_warc_archive": """
