@@ -79,13 +79,17 @@ def literal_markdown_removed(c: Column) -> Column:
 
 
 def entities_decoded(c: Column) -> Column:
-    """up to three single passes. Within a pass what an entity yields is not read again: each
-    is first turned into a private character of its own."""
-    marks = {e: chr(0xE000 + i) for i, e in enumerate(ENTITIES)}
+    """up to three single passes. Within a pass what an entity yields is not read again: the text is
+    cut at its entities, each piece is looked up by itself, and the pieces are joined."""
+    known = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+    names = "|".join(e[1:-1] for e in ENTITIES)
+
+    def one_pass(x: Column) -> Column:
+        pieces = F.split(x, f"(?=&(?:{names});)|(?<=&(?:{names});)")
+        return F.when(x.contains("&"), F.array_join(F.transform(pieces, lambda p: F.when(F.startswith(p, F.lit("&")), F.coalesce(F.try_element_at(known, p), p)).otherwise(p)), "")).otherwise(x)
+
     for _ in range(3):
-        for entity, mark in marks.items():
-            c = F.replace(c, F.lit(entity), F.lit(mark))
-        c = F.translate(c, "".join(marks.values()), "".join(ENTITIES.values()))
+        c = one_pass(c)
     return c
 
 
@@ -110,13 +114,16 @@ def meta_tags(c: Column) -> Column:
 
 
 def ts_unescaped(c: Column, newline: str = "\n") -> Column:
-    """one pass over backslash escapes; unknown ones stay. An escaped backslash is set aside
-    first, so that what follows it isn't taken for an escape."""
-    aside = "\uF8FF"
-    c = F.replace(c, F.lit("\\\\"), F.lit(aside))
-    for a, b in (("\\'", "'"), ('\\"', '"'), ("\\n", newline), ("\\r", ""), ("\\t", " ")):
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return F.replace(c, F.lit(aside), F.lit("\\"))
+    """one pass over backslash escapes; unknown ones stay. The text is cut at escaped backslashes,
+    so that what follows one isn't taken for an escape."""
+    steps = (("\\'", "'"), ('\\"', '"'), ("\\n", newline), ("\\r", ""), ("\\t", " "))
+
+    def unescaped(x: Column) -> Column:
+        for a, b in steps:
+            x = F.replace(x, F.lit(a), F.lit(b))
+        return x
+
+    return F.array_join(F.transform(F.split(c, r"\\\\"), unescaped), "\\")
 
 
 def meta_unescaped(c: Column) -> Column:
@@ -145,10 +152,12 @@ def script_json(c: Column) -> Column:
 
 def truncated_units(c: Column, most: int) -> Column:
     """at most so many UTF-16 units, no surrogate pair being split; null stays null. Texts without
-    characters beyond the basic plane, nearly all, are cut natively."""
-    points = F.split(c, "")
-    units = F.aggregate(points, F.struct(F.lit(0).alias("n"), F.lit("").alias("s")), lambda acc, ch: F.struct((acc["n"] + F.when(ch == "", 0).when(ch >= F.lit("\U00010000"), 2).otherwise(1)).alias("n"), F.when(acc["n"] + F.when(ch == "", 0).when(ch >= F.lit("\U00010000"), 2).otherwise(1) <= most, F.concat(acc["s"], ch)).otherwise(acc["s"]).alias("s")), lambda acc: acc["s"])
-    return F.when(c.rlike(r"[\x{10000}-\x{10FFFF}]"), units).otherwise(F.substring(c, 1, most))
+    characters beyond the basic plane, nearly all, are cut by characters; others by the bytes of their
+    units, of which the last one goes if it is the first half of a pair."""
+    units = F.substring(F.encode(c, "UTF-16BE"), 1, 2 * most)
+    halved = F.hex(F.substring(units, 2 * most - 1, 1)).between("D8", "DB")
+    whole = F.when(halved, F.substring(units, 1, 2 * most - 2)).otherwise(units)
+    return F.when(c.rlike(r"[\x{10000}-\x{10FFFF}]"), F.decode(whole, "UTF-16BE")).otherwise(F.substring(c, 1, most))
 
 
 def jsonld_description(c: Column, most: int = 5000) -> Column:
@@ -337,11 +346,32 @@ def comma_list(c: Column) -> Column:
 
 
 def closing_references(c: Column) -> Column:
-    """issue numbers after a closing verb, runs of several included."""
-    runs = F.regexp_extract_all(F.lower(c), F.lit(rf"{_WORD_START}(?:close[sd]?|fix(?:e[sd])?|resolve[sd]?|chiude|risolve|chiuso|risolto)\s*:?\s+(#\d+(?:\s*(?:,|and|e)\s*#\d+)*)"), F.lit(1))
+    """issue numbers after a closing verb, runs of several included. Between an Italian verb and the
+    number bridge words may stand, no others."""
+    verbs = r"close[sd]?|fix(?:e[sd])?|resolve[sd]?|supersede[sd]?|chiude|chiuso|risolve|risolto|supera"
+    runs = F.regexp_extract_all(F.lower(c), F.lit(rf"{_WORD_START}(?:{verbs})\s*:?\s+(?:(?:anche|la|le|issue)\s+)*(#\d+(?:\s*(?:,|and{_EDGE}|e{_EDGE})?\s*#\d+)*)"), F.lit(1))
     return F.array_distinct(F.transform(F.flatten(F.transform(runs, lambda r: F.regexp_extract_all(r, F.lit(r"#(\d+)"), F.lit(1)))), lambda n: n.cast("int")))
 
 
-def image_to_cdn(c: Column, cdn: str, prefix: str = "/images/blog/") -> Column:
-    """absolute and relative references to the image folder; what is on the CDN already stays."""
-    return F.regexp_replace(c, rf"(?<![A-Za-z0-9_./-])(?:https?://[A-Za-z0-9.-]+)?{prefix}(?=[A-Za-z0-9])", cdn.rstrip("/") + prefix)
+#: The types of files that stand on the CDN.
+CDN_TYPES = r"\.(?:webp|png|jpe?g|avif)"
+
+
+def images_to_cdn(html: Column, cdn: str, origin: str, folder: str = "/images/blog/") -> Column:
+    """references of a page to images directly in the folder, by the site's own address or without one, go
+    to the CDN. Thumbnails, other types, other hosts and what follows a letter, digit, _, . or @ stay, and so
+    does what was rewritten before."""
+    name, by = rf"([^\"'/?)\s\x0B\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]+?{CDN_TYPES})", f"{cdn.rstrip('/')}{folder}$1"
+    return replaced(html, (rf"\Q{origin.rstrip('/')}{folder}\E{name}", by), (rf"(?<![A-Za-z0-9_.@])\Q{folder}\E{name}", by))
+
+
+def image_value_to_cdn(c: Column, cdn: str, served: tuple[str, ...] = (), folder: str = "/images/blog/") -> Column:
+    """a value that is as a whole the reference of an image directly in the folder, of any host, goes to the
+    CDN; null becomes empty, every other value stays, so do those that begin with the CDN's or another of the
+    ``served`` addresses."""
+    to = cdn.rstrip("/") + folder
+    file = F.regexp_extract(c, rf"(?i)^(?:https?://[^/]+)?{folder}([^/]+{CDN_TYPES})\z", 1)
+    there = F.lit(False)
+    for address in (to.rstrip("/"), *served):
+        there = there | F.startswith(c, F.lit(address))
+    return F.when(c.isNull(), "").when(there | (file == ""), c).otherwise(F.concat(F.lit(to), file))

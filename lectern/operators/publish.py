@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
@@ -11,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lectern.functions.text import xml_escaped
+from lectern.storage import commit
 
 LOCALES = ("it", "en", "de", "fr")
 
@@ -148,23 +147,11 @@ def feed_document(items: DataFrame, title: str, link: str, description: str, lan
     return top.agg(F.concat(F.lit(head), field("title", title), field("link", link), field("description", description), field("language", language), F.lit("\n"), body, F.lit("\n</channel></rss>\n")).alias("xml"))
 
 
-def replace_json(df: DataFrame, path: str) -> bool:
-    """Writes ``df`` as JSON beside ``path`` and then puts it in its place, so that a reader finds the old
-    rows or the new ones; what was begun is removed where that fails, and False is returned."""
-    spark = df.sparkSession
-    place = spark._jvm.org.apache.hadoop.fs.Path
-    fs = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+def replace_json(df: DataFrame, target: str) -> bool:
+    """Commits ``df`` as the JSON rows of ``target``; ``storage.current`` reads them. At any moment a reader finds
+    the old rows or the new ones; where something fails the old ones stay, what was begun is removed, and False is returned."""
     try:
-        df.write.json(fresh)
-        if fs.exists(place(path)):
-            fs.rename(place(path), place(old))
-        done = bool(fs.rename(place(fresh), place(path)))
-        if not done and fs.exists(place(old)):
-            fs.rename(place(old), place(path))
-        return done
+        commit(df, target, "json")
+        return True
     except (PySparkException, Py4JError):
         return False
-    finally:
-        for leftover in (fresh, old):
-            fs.delete(place(leftover), True)

@@ -53,11 +53,11 @@ def _ddl() -> str:
     return f"type:string,usage:struct<{usage}>,message:struct<usage:struct<{usage}>>"
 
 
-def quota_states(raw: DataFrame, column: str = "value") -> DataFrame:
-    """States of a quota from JSON; whatever is absent or bad has its default."""
+def quota_states(raw: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """States of a quota from JSON; whatever is absent or bad has its default. Columns named in ``keep`` stay."""
     s = F.from_json(column, "version int, runCounter long, currentQuota double, lastTune string")
-    rows = raw.select(s.alias("s"))
-    return rows.select(F.coalesce("s.version", F.lit(1)).alias("version"), F.greatest(F.coalesce("s.runCounter", F.lit(0)), F.lit(0)).alias("runCounter"), clamped_quota(F.col("s.currentQuota")).alias("currentQuota"), "s.lastTune")
+    rows = raw.select(s.alias("s"), *keep)
+    return rows.select(*keep, F.coalesce("s.version", F.lit(1)).alias("version"), F.greatest(F.coalesce("s.runCounter", F.lit(0)), F.lit(0)).alias("runCounter"), clamped_quota(F.col("s.currentQuota")).alias("currentQuota"), "s.lastTune")
 
 
 def counted(states: DataFrame, succeeded: bool = True) -> DataFrame:
@@ -135,8 +135,27 @@ def purge_requests(urls: DataFrame, origins: list[str]) -> DataFrame:
     return urls.select("url", F.explode(variants).alias("origin"))
 
 
-def first_candidates(names: DataFrame, wanted: DataFrame) -> DataFrame:
-    """For each wanted (name) the file name.js if it is there, else the first hashed one by name."""
-    rows = names.select("file", F.regexp_extract("file", r"^(.+?)(?:-[A-Za-z0-9_-]{8})?\.js$", 1).alias("name"))
-    best = rows.groupBy("name").agg(F.min_by("file", F.struct(F.col("file") != F.concat("name", F.lit(".js")), "file")).alias("file"))
+def stable_chunk(name: Column) -> Column:
+    """the file of a chunk by its name."""
+    return F.concat(name, F.lit(".js"))
+
+
+def first_candidates(files: DataFrame, wanted: DataFrame, ordinal: str = "file") -> DataFrame:
+    """For each wanted (name) the file name.js if it is there, else the first name-hash.js in order of
+    ``ordinal``; null if there is neither. A hash has any length. Each file offers every name that it may be
+    of, one for each dash, so both steps are joins by name."""
+    rows = files.filter(F.endswith("file", F.lit(".js"))).select("file", F.col(ordinal).alias("_at"), F.expr("left(file, length(file) - 3)").alias("_stem"))
+    steps = F.split("_stem", "-")
+    cuts = F.sequence(F.lit(1), F.size(steps) - 1)
+    named = F.transform(cuts, lambda i: F.struct(F.array_join(F.slice(steps, 1, i), "-").alias("name"), F.array_join(F.slice(steps, i + 1, F.size(steps)), "-").alias("hash")))
+    hashed = rows.select("file", "_at", F.explode(F.when(F.size(steps) > 1, named)).alias("n")).filter(F.col("n.hash").rlike("^[A-Za-z0-9_-]+$"))
+    offers = rows.select(F.col("_stem").alias("name"), "file", F.lit(0).alias("_rank"), "_at").unionByName(hashed.select("n.name", "file", F.lit(1).alias("_rank"), "_at"))
+    asked = wanted.select("name").distinct()
+    best = offers.join(asked, "name", "left_semi").groupBy("name").agg(F.min_by("file", F.struct("_rank", "_at")).alias("file"))
     return wanted.join(best, "name", "left")
+
+
+def shadowed_articles(articles: DataFrame, overrides: DataFrame, slug: str = "slug") -> DataFrame:
+    """The articles whose slug is that of an article which another address overrides; nothing is taken
+    away from where they came from. Many overrides of one slug give no article twice."""
+    return articles.join(overrides.select(F.col("slug").alias(slug)).distinct(), slug, "left_semi")

@@ -1,5 +1,5 @@
-"""Registered queries; both modules fill one registry."""
+"""Registered queries; all modules fill one registry."""
 
-from lectern.plans import function_queries, queries
+from lectern.plans import function_queries, queries, work_queries
 
-__all__ = ["function_queries", "queries"]
+__all__ = ["function_queries", "queries", "work_queries"]

@@ -22,25 +22,25 @@ def sql_list(values) -> str:
     return "[" + ", ".join("'" + str(v).replace("'", "''") + "'" for v in values) + "]"
 
 
-@query("""with d as (select doc_id, '# Head **' || lang || '** [link](http://u) ~~~' || chr(10) || '- item `c`' || chr(10) || chr(10) || '2. ' || left(text, 400) || ' **' md from documents),
+@query("""with d as (select doc_id, '# Head **' || lang || '** [link](http://u) ~~~' || chr(10) || '- item `c`' || chr(10) || chr(10) || '2. ' || text || ' **' md from documents),
 s as (select doc_id, md, regexp_replace(regexp_replace(regexp_replace(md, '\\*\\*([^*\\n]+)\\*\\*', '\\1', 'g'), '\\*([^*\\n]+)\\*', '\\1', 'g'), '\\[([^\\]]+)\\]\\([^)]+\\)', '\\1', 'g') a from d),
 l as (select doc_id, md, array_to_string(list_transform(string_split(a, chr(10)), lambda x: regexp_replace(regexp_replace(regexp_replace(x, '^#{1,6}\\s+', ''), '^[-*+]\\s+', ''), '^\\d+\\.\\s+', '')), chr(10)) a from s)
 select doc_id, regexp_replace(regexp_replace(replace(regexp_replace(regexp_replace(a, '`([^`]+)`', '\\1', 'g'), '\\n{2,}', ' ', 'g'), chr(10), ' '), '\\s{2,}', ' ', 'g'), '^\\s+|\\s+$', '', 'g') plain,
 regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(md, '\\*\\*([^*\\n]+?)\\*\\*', '\\1', 'g'), '\\*{2,}', '', 'g'), '[_=~]{3,}', ' ', 'g'), '^\\s*\\*+\\s*', ''), '\\s*\\*+\\s*$', ''), '[ \\t]{2,}', ' ', 'g'), '^\\s+|\\s+$', '', 'g') title from l""")
 def plain_markdown(spark, d):
     """F01, F02."""
-    md = F.concat(F.lit("# Head **"), "lang", F.lit("** [link](http://u) ~~~\n- item `c`\n\n2. "), F.substring("text", 1, 400), F.lit(" **"))
+    md = F.concat(F.lit("# Head **"), "lang", F.lit("** [link](http://u) ~~~\n- item `c`\n\n2. "), "text", F.lit(" **"))
     return table(spark, d, "documents").select("doc_id", T.markdown_to_plain(md).alias("plain"), T.literal_markdown_removed(md).alias("title"))
 
 
 _DECODED = {"&amp;amp;lt;": "<", "&#39;": "’", "&hellip;": "…", "&amp;quot;": '"', "&nbsp;": " ", "&bogus;": "&bogus;", "&#8220;": "“"}
 
 
-@query("with k as (select *, doc_id % 7 i from documents) select doc_id, lang || (" + sql_list(_DECODED.values()) + ")[i + 1] || source || (" + sql_list(list(_DECODED.values())[::-1]) + ")[i + 1] as decoded from k")
+@query("with k as (select *, doc_id % 7 i from documents) select doc_id, lang || (" + sql_list(_DECODED.values()) + ")[i + 1] || source || (" + sql_list(list(_DECODED.values())[::-1]) + ")[i + 1] || chr(57344) || chr(63743) || coalesce(text, '') as decoded from k")
 def decoded_entities(spark, d):
-    """entities encoded once to three times, between plain words."""
+    """entities encoded once to three times, between plain words, private characters and whole texts."""
     pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("doc_id") % 7 + 1).cast("int"))
-    text = F.concat("lang", pick(_DECODED), "source", pick(list(_DECODED)[::-1]))
+    text = F.concat("lang", pick(_DECODED), "source", pick(list(_DECODED)[::-1]), F.lit("\ue000\uf8ff"), F.coalesce("text", F.lit("")))
     return table(spark, d, "documents").select("doc_id", T.entities_decoded(text).alias("decoded"))
 
 
@@ -58,14 +58,14 @@ def page_parts(spark, d):
     return p.select("page_id", F.sha2(T.scripts_removed(F.col("h")), 256).alias("quiet"), T.meta_tags(F.col("h")).alias("meta"), heads.alias("heads"))
 
 
-@query(r"""with p as (select p_partkey, p_brand, 'it\''s \"' || p_name || '\" a\\n b\n c\t\q \\\\' || p_brand e from part),
+@query(r"""with p as (select p_partkey, p_brand, 'it\''s \"' || p_name || '\" a\\n b\n c\t\q \\\\' || p_brand || chr(63743) e from part),
 s as (select *, string_split(e, '\\') w from p)
 select p_partkey, array_to_string(list_transform(w, lambda x: replace(replace(replace(replace(replace(x, '\''', ''''), '\"', '"'), '\n', chr(10)), '\r', ''), '\t', ' ')), '\') ts,
 array_to_string(list_transform(w, lambda x: replace(replace(x, '\''', ''''), '\"', '"')), '\') meta,
 regexp_replace(e, '\\+n', chr(10), 'g') repaired, replace('{"a":"<' || p_brand || '</script>"}', '<', '\u003c') script from s""")
 def unescaped_values(spark, d):
     """F08, F09, F10, F12."""
-    e = F.concat(F.lit("it\\'s \\\""), "p_name", F.lit("\\\" a\\\\n b\\n c\\t\\q \\\\\\\\"), "p_brand")
+    e = F.concat(F.lit("it\\'s \\\""), "p_name", F.lit("\\\" a\\\\n b\\n c\\t\\q \\\\\\\\"), "p_brand", F.lit("\uf8ff"))
     json = F.concat(F.lit('{"a":"<'), "p_brand", F.lit('</script>"}'))
     return table(spark, d, "part").select("p_partkey", T.ts_unescaped(e).alias("ts"), T.meta_unescaped(e).alias("meta"), T.double_breaks_repaired(e).alias("repaired"), T.script_json(json).alias("script"))
 
@@ -92,13 +92,13 @@ def headings(spark, d):
     return table(spark, d, "part").select("p_partkey", T.heading_apart(h1, F.concat(name, F.lit(" | Site")), "guide", "Site").alias("h1"), T.description_boosted(own, "en", 2026, 32).alias("description"))
 
 
-_CLAIMS = """select conv_id * 100 + turn id, case turn % 4 when 0 then 'Statistiche' when 1 then 'coerenza' when 2 then 'fonte' end category, case when turn % 5 = 4 then '' when turn % 5 = 3 then 'circa ' || conv_id || ',5 per cento' else left(text, 80) end claim from conversations"""
+_CLAIMS = """select conv_id * 100 + turn id, case turn % 4 when 0 then 'Statistiche' when 1 then 'coerenza' when 2 then 'fonte' end category, case when turn % 5 = 4 then '' when turn % 5 = 3 then 'circa ' || conv_id || ',5 per cento' else text end claim from conversations"""
 
 
 def _claims(spark, d):
     t = F.col("turn")
     category = F.when(t % 4 == 0, "Statistiche").when(t % 4 == 1, "coerenza").when(t % 4 == 2, "fonte")
-    claim = F.when(t % 5 == 4, "").when(t % 5 == 3, F.concat(F.lit("circa "), F.col("conv_id"), F.lit(",5 per cento"))).otherwise(F.substring("text", 1, 80))
+    claim = F.when(t % 5 == 4, "").when(t % 5 == 3, F.concat(F.lit("circa "), F.col("conv_id"), F.lit(",5 per cento"))).otherwise(F.col("text"))
     return table(spark, d, "conversations").select((F.col("conv_id") * 100 + t).alias("id"), category.alias("category"), claim.alias("claim"))
 
 
@@ -121,12 +121,12 @@ def blocked_conversations(spark, d):
     return dedup.blocking_totals(kept, "conv_id", "category")
 
 
-@query(r"""with c as (select conv_id * 100 + turn id, case when turn % 2 = 0 then 'il dato non è presente nel testo' else 'va bene' end reason, array_to_string(string_split(text, ' ')[1:6], ' ') claim, text source from conversations),
+@query(r"""with c as (select conv_id * 100 + turn id, case when turn % 2 = 0 then 'il dato non è presente nel testo' else 'va bene' end reason, text claim, text source from conversations),
 t as (select *, list_filter(regexp_extract_all(strip_accents(lower(claim)), '[a-z0-9]+'), lambda x: length(x) >= 3) w, list_filter(regexp_extract_all(strip_accents(lower(source)), '[a-z0-9]+'), lambda x: length(x) >= 3) s from c)
 select id, length(source) >= 100 and reason like '%non è presente%' and len(w) >= 4 and len(list_filter(w, lambda x: list_contains(s, x))) >= 0.7 * len(w) refuted from t""")
 def refuted_issues(spark, d):
-    """An issue says that a claim isn't in the source; the claim is the source's opening."""
-    c = table(spark, d, "conversations").select((F.col("conv_id") * 100 + F.col("turn")).alias("id"), F.when(F.col("turn") % 2 == 0, "il dato non è presente nel testo").otherwise("va bene").alias("reason"), F.array_join(F.slice(F.split("text", " "), 1, 6), " ").alias("claim"), F.col("text").alias("source"))
+    """An issue says that a claim isn't in the source; the claim is the source itself."""
+    c = table(spark, d, "conversations").select((F.col("conv_id") * 100 + F.col("turn")).alias("id"), F.when(F.col("turn") % 2 == 0, "il dato non è presente nel testo").otherwise("va bene").alias("reason"), F.col("text").alias("claim"), F.col("text").alias("source"))
     return c.select("id", P.contradicted_by_source(F.col("claim"), F.col("reason"), F.col("source")).alias("refuted"))
 
 
@@ -172,15 +172,15 @@ def script_ratios(spark, d):
     return table(spark, d, "documents").select("doc_id", F.round(P.other_script_ratio(u), 9).alias("ratio"), P.other_script(u).alias("other"))
 
 
-@query("""with n as (select *, row_number() over (order by event_id) k from events) select event_id, case event_id % 4 when 0 then 'https://cdn.example/images/blog/a' || event_id || '.webp' when 1 then 'https://cdn.example/images/blog/b.png x' when 2 then 'see https://cdn.example/images/blog/c.jpg' else '/images/other/d.gif' end src,
+@query("""with n as (select *, row_number() over (order by event_id) k from events) select event_id, case event_id % 4 when 0 then 'https://cdn.example/images/blog/a' || event_id || '.webp' when 1 then 'https://www.example.org/images/blog/b.png x' when 2 then 'see https://cdn.example/images/blog/c.jpg' else '/images/other/d.gif' end src,
 event_id % 4 in (0, 1) leak, event_id % 4 = 2 asset, case when event_id % 2 = 0 then 'index ab-_' || (1000 + event_id % 9000) || ' js' end hashed from n""")
 def image_references(spark, d):
-    """F20, F21, P09, P10, P11."""
+    """F21, P09, P10, P11."""
     k = F.col("event_id")
     src = F.when(k % 4 == 0, F.concat(F.lit("/images/blog/a"), k, F.lit(".webp"))).when(k % 4 == 1, "https://www.example.org/images/blog/b.png x").when(k % 4 == 2, "see https://cdn.example/images/blog/c.jpg").otherwise("/images/other/d.gif")
     html = F.when(k % 4 == 0, F.concat(F.lit('<img src="/images/blog/a'), k, F.lit('.webp">'))).when(k % 4 == 1, "url(https://www.example.org/images/blog/b.png)").when(k % 4 == 2, '<script src="/assets/index-abc.js"></script><img src="/images/blog/thumbnails/x.webp">').otherwise('<img src="https://cdn.example/images/blog/c.jpg">')
     name = F.when(k % 2 == 0, F.concat(F.lit("index-ab-_"), 1000 + k % 9000, F.lit(".js"))).otherwise(F.concat(F.lit("index-"), k, F.lit(".png")))
-    return table(spark, d, "events").select("event_id", T.image_to_cdn(src, "https://cdn.example/").alias("src"), S.image_leak(html, "https://www.example.org").alias("leak"), S.same_origin_asset(html).alias("asset"), F.concat_ws(" ", S.hashed_name(name)["name"], S.hashed_name(name)["hash"], S.hashed_name(name)["type"]).alias("h")).withColumn("hashed", F.nullif("h", F.lit(""))).drop("h")
+    return table(spark, d, "events").select("event_id", T.image_value_to_cdn(src, "https://cdn.example/").alias("src"), S.image_leak(html, "https://www.example.org").alias("leak"), S.same_origin_asset(html).alias("asset"), F.concat_ws(" ", S.hashed_name(name)["name"], S.hashed_name(name)["hash"], S.hashed_name(name)["type"]).alias("h")).withColumn("hashed", F.nullif("h", F.lit(""))).drop("h")
 
 
 @query("""with p as (select p_partkey, p_brand || '-' || p_partkey slug, 'https://x/' || p_partkey || '/' own from part)
@@ -190,7 +190,7 @@ def canonical_addresses(spark, d):
     """J06, J07, S03, S05, S06."""
     k = F.col("p_partkey")
     p = table(spark, d, "part").select("p_partkey", F.concat("p_brand", F.lit("-"), k).alias("slug"))
-    maps = p.select(F.to_json(F.map_from_arrays(F.array("slug"), F.array(F.when(k % 3 == 0, F.concat(F.lit("https://w/en/best-"), k, F.lit("/"))).otherwise("not an address")))).alias("json"))
+    maps = p.select(F.to_json(F.struct(F.map_from_arrays(F.array("slug"), F.array(F.when(k % 3 == 0, F.concat(F.lit("https://w/en/best-"), k, F.lit("/"))).otherwise("not an address"))).alias("overrides"))).alias("json"))
     done = publish.canonical_urls(p, corpus.overrides(maps, "json"), F.concat(F.lit("https://x/"), k, F.lit("/")))
     old = F.when(k % 4 == 0, "a.md").when(k % 4 == 1, F.concat(F.lit("old/deep/z/"), k)).when(k % 4 == 2, F.concat(F.lit("old/"), k)).otherwise(F.concat(F.lit("x/"), k))
     return done.select("p_partkey", "canonical", "winner_slug", corpus.remapped(old, {"a.md": "b.md"}, [("old/deep/", "new/"), ("old/", "short/")]).alias("path"))
@@ -403,9 +403,8 @@ def quota_counters(spark, d):
     """Bad states have defaults; the counter goes up after a success."""
     k = F.col("event_id")
     raw = table(spark, d, "events").select(F.when(k % 3 == 0, "{bad").otherwise(F.to_json(F.struct(F.lit(2).alias("version"), k.alias("runCounter"), (k % 120).alias("currentQuota"), k.cast("string").alias("lastTune")))).alias("value"), "event_id")
-    good = upkeep.counted(upkeep.quota_states(raw.filter(k % 3 != 0))).withColumn("event_id", F.col("lastTune").cast("long"))
-    bad = raw.filter(k % 3 == 0).crossJoin(F.broadcast(upkeep.counted(upkeep.quota_states(raw.filter(k == 0)))))
-    return good.select("event_id", "version", "runCounter", "currentQuota").union(bad.select("event_id", "version", "runCounter", "currentQuota"))
+    done = upkeep.counted(upkeep.quota_states(raw, keep=("event_id",)))
+    return done.select("event_id", "version", "runCounter", "currentQuota")
 
 
 @query("""select o_orderkey, case when o_orderkey % 5 = 0 then 'bad date' when o_orderkey % 2 = 0 then 'ok' else 'not registered' end verdict from orders""")

@@ -10,6 +10,7 @@ from lectern.functions import predicates as P
 from lectern.functions import site as S
 from lectern.functions import text as T
 from lectern.operators import audits, dedup, publish, upkeep
+from lectern.sources import corpus
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -175,20 +176,23 @@ def archive_pages(spark, d):
 @query("""select c_nationkey k from customer union select s_nationkey from supplier""")
 def union_keys(spark, d):
     """U01."""
-    return table(spark, d, "customer").select(F.col("c_nationkey").alias("k")).union(table(spark, d, "supplier").select("s_nationkey")).distinct()
+    titles = table(spark, d, "customer").select(F.lit("n").alias("section"), F.lit("it").alias("locale"), F.col("c_nationkey").alias("id"))
+    return dedup.archive_ids(titles, table(spark, d, "supplier").select(F.lit("n").alias("section"), F.col("s_nationkey").alias("id"))).select(F.col("id").alias("k"))
 
 
 @query("""select o_orderkey from orders except select l_orderkey from lineitem where l_quantity > 49""")
 def except_keys(spark, d):
     """U06, J08."""
     heavy = table(spark, d, "lineitem").filter("l_quantity > 49").select(F.col("l_orderkey").alias("o_orderkey"))
-    return table(spark, d, "orders").select("o_orderkey").join(heavy, "o_orderkey", "left_anti").distinct()
+    headlines = table(spark, d, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("headline"))
+    return corpus.unproven(headlines, heavy.select(F.col("o_orderkey").cast("string").alias("query")), "[0-9]").select("o_orderkey").distinct()
 
 
 @query("""select p_partkey, p_name from part where exists (select 1 from lineitem where l_partkey = p_partkey and l_quantity >= 50)""")
 def semi_parts(spark, d):
     """J05."""
-    return table(spark, d, "part").join(table(spark, d, "lineitem").filter("l_quantity >= 50").select(F.col("l_partkey").alias("p_partkey")), "p_partkey", "left_semi").select("p_partkey", "p_name")
+    shadowing = table(spark, d, "lineitem").filter("l_quantity >= 50").select(F.col("l_partkey").alias("slug"))
+    return upkeep.shadowed_articles(table(spark, d, "part"), shadowing, "p_partkey").select("p_partkey", "p_name")
 
 
 @query("""select s_suppkey, round(2 * 6371 * asin(sqrt(pow(sin(radians(s_nationkey - 10) / 2), 2) + cos(radians(10)) * cos(radians(s_nationkey)) * pow(sin(radians(s_suppkey % 180 - 20) / 2), 2))), 6) km from supplier""")

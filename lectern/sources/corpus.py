@@ -38,21 +38,36 @@ OVERRIDE_FILES = {
 }
 
 
-def first_overrides(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
-    """The overrides of the first of ``paths`` that can be read, else none. A probe opens a path's
-    listing alone; the file itself is read by the executors."""
-    for path in paths:
+def override_files(spark: SparkSession, root: str, layouts: list[str]) -> DataFrame:
+    """(section, ordinal, value): the candidate files of every section, ``ordinal`` being the place of their
+    layout in the order in which they're tried. A layout is a path under ``root``; where folders section=... stand in it, each
+    is a section, else the section is null. Layouts that aren't there are left out; a probe lists a path alone, files
+    are read by the executors."""
+    found = None
+    for ordinal, layout in enumerate(layouts):
         try:
-            text = spark.read.text(f"{root}/{path}", wholetext=True)
+            files = spark.read.text(f"{root}/{layout}", wholetext=True)
         except AnalysisException:
             continue
-        return overrides(text, "value")
-    return spark.createDataFrame([], "slug string, winner_url string")
+        section = F.col("section").cast("string") if "section" in files.columns else F.lit(None).cast("string")
+        own = files.select(section.alias("section"), F.lit(ordinal).alias("ordinal"), "value")
+        found = own if found is None else found.unionByName(own)
+    return spark.createDataFrame([], "section string, ordinal int, value string") if found is None else found
 
 
-def overrides(text: DataFrame, column: str) -> DataFrame:
-    """(slug, winner_url) of a JSON map; what isn't an URL is left out."""
-    return text.select(F.explode(F.from_json(column, "map<string,string>")).alias("slug", "winner_url")).filter(F.startswith("winner_url", F.lit("http")))
+def first_overrides(files: DataFrame) -> DataFrame:
+    """(section, slug, winner_url) of each section's first file that parses, whatever it holds; one that
+    doesn't is passed over. The verdict comes from the content, all sections in one job."""
+    good = files.filter(F.try_parse_json(F.col("value")).isNotNull())
+    first = good.groupBy("section").agg(F.min_by("value", "ordinal").alias("value"))
+    return overrides(first, "value", "section")
+
+
+def overrides(text: DataFrame, column: str, *keep: str) -> DataFrame:
+    """(slug, winner_url) of the member ``overrides`` of a JSON object; what isn't an URL is left out, and without the
+    member there are none."""
+    member = F.from_json(column, "overrides map<string,string>")["overrides"]
+    return text.select(*keep, F.explode(member).alias("slug", "winner_url")).filter(F.startswith("winner_url", F.lit("http")))
 
 
 def remapped(path: Column, exact: dict[str, str], prefixes: list[tuple[str, str]]) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as T
 from lectern.operators import audits, publish, upkeep
+from lectern import storage
 from lectern.sources import corpus
 
 
@@ -49,25 +50,84 @@ def test_image_files(spark, tmp_path):
 
 
 def test_first_overrides(spark, tmp_path):
-    second = tmp_path / "content"
-    second.mkdir()
-    (second / "swiss-article-canonical-overrides.json").write_text(json.dumps({"a": "https://w/a/", "b": "no", "c": "http://w/c"}, indent=1))
-    got = corpus.first_overrides(spark, str(tmp_path), corpus.OVERRIDE_FILES["svizzera"]).collect()
-    assert sorted(tuple(r) for r in got) == [("a", "https://w/a/"), ("c", "http://w/c")]
-    assert corpus.first_overrides(spark, str(tmp_path), corpus.OVERRIDE_FILES["frontaliere"]).count() == 0
+    """Whichever file parses first gives the overrides, whatever it holds; the map is the member ``overrides``."""
+    layouts = corpus.OVERRIDE_FILES["svizzera"]
+    for layout in layouts:
+        (tmp_path / layout).parent.mkdir()
+    read = lambda: sorted(tuple(r)[1:] for r in corpus.first_overrides(corpus.override_files(spark, str(tmp_path), layouts)).collect())
+    assert read() == []
+    (tmp_path / layouts[1]).write_text(json.dumps({"version": 1, "overrides": {"a": "https://w/a/", "b": "no", "c": "http://w/c", "d": 4, "e": None}}, indent=1))
+    assert read() == [("a", "https://w/a/"), ("c", "http://w/c")]
+    (tmp_path / layouts[0]).write_text('{"overrides": {"z": "http://w/z"}')
+    assert read() == [("a", "https://w/a/"), ("c", "http://w/c")], "a file that doesn't parse is passed over"
+    for held in ('{"a": "https://w/a/"}', "[]", "null", '{"overrides": 5}', '{"overrides": {}}'):
+        (tmp_path / layouts[0]).write_text(held)
+        assert read() == [], "a file that parses is the one, even without overrides"
+    assert corpus.first_overrides(corpus.override_files(spark, str(tmp_path), corpus.OVERRIDE_FILES["frontaliere"])).count() == 0
+
+
+STATE = "version int, runCounter long, currentQuota int, lastTune string"
 
 
 def test_states_are_saved_and_counted(spark, tmp_path):
     path = str(tmp_path / "state")
     state = upkeep.quota_states(spark.createDataFrame([(None,)], "value string"))
     assert publish.replace_json(state, path)
-    for n in (1, 2):
-        state = upkeep.counted(upkeep.quota_states(spark.read.text(path)))
-        assert publish.replace_json(spark.createDataFrame(state.collect(), state.schema), path)
-        assert spark.read.json(path).head()["runCounter"] == n
+    for n in (1, 2, 3):
+        state = upkeep.counted(storage.current(spark, path, STATE))
+        assert publish.replace_json(state, path)
+        assert storage.current(spark, path, STATE).head()["runCounter"] == n
+    before = sorted(p.name for p in (tmp_path / "state").iterdir())
     assert not publish.replace_json(spark.range(1).select(F.raise_error(F.lit("x")).alias("x")), path)
-    assert spark.read.json(path).head()["runCounter"] == 2 and [p.name for p in tmp_path.iterdir()] == ["state"]
-    assert upkeep.counted(upkeep.quota_states(spark.read.text(path)), succeeded=False).head()["runCounter"] == 2
+    assert storage.current(spark, path, STATE).head()["runCounter"] == 3 and sorted(p.name for p in (tmp_path / "state").iterdir()) == before
+    assert upkeep.counted(storage.current(spark, path, STATE), succeeded=False).head()["runCounter"] == 3
+
+
+@pytest.mark.parametrize("step", ["touch", "remove", "names"])
+def test_a_commit_that_dies_leaves_whole_rows(spark, tmp_path, monkeypatch, step):
+    path, seen = str(tmp_path / "t"), []
+    for n in range(3):
+        storage.commit(spark.range(n, n + 2), path)
+
+    def dies(self, *args):
+        # what readers find at the moment of the failure
+        with monkeypatch.context() as m:
+            m.setattr(storage.Files, step, whole)
+            seen.append(sorted(r["id"] for r in storage.current(spark, path, "id long").collect()))
+        raise RuntimeError("killed")
+
+    whole = getattr(storage.Files, step)
+    monkeypatch.setattr(storage.Files, step, dies)
+    with pytest.raises(RuntimeError):
+        storage.commit(spark.range(7, 9), path)
+    monkeypatch.undo()
+    left = sorted(r["id"] for r in storage.current(spark, path, "id long").collect())
+    assert set(map(tuple, seen)) <= {(2, 3), (7, 8)} and left in ([2, 3], [7, 8])
+    storage.commit(spark.range(1), path)
+    assert storage.current(spark, path, "id long").count() == 1 and len(storage.versions(spark, path)) <= 3
+
+
+def test_changed_rows_alone_are_written(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    texts = {f"p{i}": f"text {i}" for i in range(60)}
+    rows = lambda: spark.createDataFrame(list(texts.items()), "path string, content string")
+    held = lambda: {r["path"]: r["content"] for r in storage.held_rows(spark, path, storage.HELD).collect()}
+    folders = lambda: sorted(p for p in (tmp_path / "t").glob("rows-*/bucket=*"))
+    assert storage.write_changed(rows(), path, 8).count() == 60 and held() == texts
+    assert storage.write_changed(rows(), path, 8).count() == 0
+    first = folders()
+    texts["p7"] = "other"
+    assert [tuple(r) for r in storage.write_changed(rows(), path, 8).collect()] == [("p7", "changed")] and held() == texts
+    assert len(folders()) == len(first) + 1, "one changed row rewrites one bucket"
+    before = dict(texts)
+    del texts["p3"]
+    texts["new"] = "n"
+    with monkeypatch.context() as m:
+        m.setattr(storage.Files, "touch", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            storage.write_changed(rows(), path, 8)
+    assert held() == before, "a run that dies leaves the rows of the one before"
+    assert sorted(tuple(r) for r in storage.write_changed(rows(), path, 8).collect()) == [("new", "new"), ("p3", "removed")] and held() == texts
 
 
 def test_catalog_grows_by_what_it_lacks(spark, tmp_path):

@@ -1,4 +1,5 @@
 import datetime
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -31,6 +32,23 @@ def one(spark, column, **values):
         (T.detected_locale, "", "it"),
         (T.comma_list, " a, ,b ", ["a", "b"]),
         (T.closing_references, "Fixes #3, #4 and closes #5; see #6", [3, 4, 5]),
+        (T.closing_references, "Chiude anche la issue #402, ferma con `agent:fix` e 6 run del fixer a vuoto.", [402]),
+        (T.closing_references, "chiude #402", [402]),
+        (T.closing_references, "Risolve #10", [10]),
+        (T.closing_references, "Supera #20", [20]),
+        (T.closing_references, "Chiude il problema descritto ma non tocca #402", []),
+        (T.closing_references, "Il problema racchiude molte cose #402", []),
+        (T.closing_references, "Closes #1, #2 and #3", [1, 2, 3]),
+        (T.closing_references, "Closes #1 #2 #3", [1, 2, 3]),
+        (T.closing_references, "Fixes #8 and touches #9", [8]),
+        (T.closing_references, "Closes #1\nfixes #2\nRESOLVED: #3\nSupersedes #4", [1, 2, 3, 4]),
+        (T.closing_references, "Vedi #402 per contesto", []),
+        (T.entities_decoded, "\ue000 &amp;\uf8ff &amp;amp;nbsp;| & &bogus; &lt", "\ue000 &\uf8ff  | & &bogus; &lt"),
+        (T.ts_unescaped, "\uf8ff \\\\n \\\\\\n \\", "\uf8ff \\n \\\n \\"),
+        (lambda c: T.images_to_cdn(c, "https://cdn.example/", "https://www.example.org"), '<img src="/images/blog/a.webp" srcset="/images/blog/thumbnails/a.webp, https://www.example.org/images/blog/è.JPG.jpeg 2x">', '<img src="https://cdn.example/images/blog/a.webp" srcset="/images/blog/thumbnails/a.webp, https://cdn.example/images/blog/è.JPG.jpeg 2x">'),
+        (lambda c: T.images_to_cdn(c, "https://cdn.example", "https://www.example.org"), "https://other.example/images/blog/a.webp /images/blog/a.pdf x@/images/blog/a.png https://raw.example/public/images/blog/b.png see /images/blog/b.png?v=1 url(/images/blog/c d.png)", "https://other.example/images/blog/a.webp /images/blog/a.pdf x@/images/blog/a.png https://raw.example/public/images/blog/b.png see https://cdn.example/images/blog/b.png?v=1 url(/images/blog/c d.png)"),
+        (lambda c: T.image_value_to_cdn(c, "https://cdn.example", ("https://raw.example/public",)), "https://any.example/images/blog/a b.WEBP", "https://cdn.example/images/blog/a b.WEBP"),
+        *[(lambda c: T.image_value_to_cdn(c, "https://cdn.example", ("https://raw.example/public",)), x, x) for x in ("see /images/blog/a.webp", "/images/blog/thumbnails/a.webp", "/images/blog/a.pdf", "https://cdn.example/images/blog/a.webp", "https://raw.example/public/images/blog/a.webp", "", "/images/blog/a.webp\n")],
         (T.stem, "lavorazione", "lavor"),
         (N.fnv1a32, "hello", 1335831723),
         (P.faq_heading, "Come fare", True),
@@ -46,6 +64,12 @@ def test_text(spark, f, given, wanted):
 def test_cuts(spark):
     assert one(spark, T.truncated_units(F.col("x"), 2), x="a😀b") == "a"
     assert one(spark, T.truncated_units(F.col("x"), 3), x="a😀b") == "a😀"
+    for text in ("😀" * 40 + "ab", "a" + "😀" * 40, "ab😀", "\ue000é😀日本" * 9):
+        raw = text.encode("utf-16-be")
+        for most in (1, 2, 3, 7, 8, 80, 200):
+            assert one(spark, T.truncated_units(F.col("x"), most), x=text) == raw[: 2 * most].decode("utf-16-be", "ignore")
+    began = time.time()
+    assert one(spark, F.char_length(T.truncated_units(F.col("x"), 79_999)), x="a" * 80_000 + "😀") == 79_999 and time.time() - began < 3
     assert one(spark, T.slug_truncated(F.col("x"), 10), x="uno-due-tre-quattro") == "uno-due-tr"
     assert one(spark, T.slug_truncated(F.col("x"), 11), x="uno-due-tre-quattro") == "uno-due-tre"
     assert one(spark, T.description_boosted(F.col("x"), "en", 2026, 60), x="A text") == "A text Updated for 2026."

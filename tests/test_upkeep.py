@@ -113,6 +113,10 @@ def test_tables(spark):
     names = spark.createDataFrame([("a.js",), ("a-12345678.js",), ("b-12345678.js",)], "file string")
     got = upkeep.first_candidates(names, spark.createDataFrame([("a",), ("b",), ("c",)], "name string"))
     assert {r["name"]: r["file"] for r in got.collect()} == {"a": "a.js", "b": "b-12345678.js", "c": None}
+    names = ["vendor-carousel.js", "vendor-AB12.js", "app-AB12.js", "app-zz.js.map", "x-1.js", "x-0.js", "y.js", "y-1.js", "w-.js", "v-a.b.js", "a.b-c_d-e.js"]
+    listed = spark.createDataFrame(list(enumerate(names)), "i int, file string")
+    got = upkeep.first_candidates(listed, spark.createDataFrame([(x,) for x in ("vendor-carousel", "vendor", "app", "x", "y", "w", "v", "a.b", "z")], "name string"), "i")
+    assert {r["name"]: r["file"] for r in got.collect()} == {"vendor-carousel": "vendor-carousel.js", "vendor": "vendor-carousel.js", "app": "app-AB12.js", "x": "x-1.js", "y": "y.js", "w": None, "v": None, "a.b": "a.b-c_d-e.js", "z": None}
     hubs = upkeep.hub_slugs(spark.createDataFrame([("s", {"it": "a", "en": "b"})], "section string, index_slugs map<string,string>"))
     assert {r["slug"]: r["locale"] for r in hubs.collect()} == {"a": "it", "b": "en"}
 
