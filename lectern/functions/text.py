@@ -4,11 +4,14 @@ must not depend on the engine, classes are spelled out."""
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
+from functools import cache, lru_cache
 
 import pandas as pd
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 #: White space as the web platform's regular expressions have it.
 WS = r"[ \t\n\x0B\f\r\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
@@ -47,6 +50,7 @@ MARKERS = {
     "fr": r"comment|quoi|quand|où|pourquoi|qui|combien|je|tu|il|elle|nous|vous|ils|elles|le|la|les|un|une|des|et|ou|mais|avec|pour|sans|dans|sur|aux|mon|ma|mes|ton|ta|tes|son|sa|ses|c'est|j'ai|merci|s'il|svp",
     "it": r"come|quando|dove|perch[ée]|chi|cosa|quanto|qualcuno|consiglio|consigli|aiuto|domanda|sono|ho|hai|fa|si|no|e|o|ma|con|per|senza|in|su|del|della|delle|dei|degli|gli|grazie|prego|conoscete|sapete|secondo",
 }
+_STOPPED = frozenset(STOPWORDS)
 _EDGE = r"(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))"
 
 
@@ -247,43 +251,54 @@ def stem(c: Column) -> Column:
     return F.when(F.char_length(c) < 4, c).otherwise(out.otherwise(c))
 
 
-def ngrams(tokens: Column, n: int, shortest: int = 6) -> Column:
-    at = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1))).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.filter(F.transform(at, lambda i: F.array_join(F.slice(tokens, i, n), " ")), lambda g: F.char_length(g) >= shortest))
+_BETWEEN = regex.compile(rf"(?:{WS}|[\p{{P}}\p{{S}}])+")
+_TERMS = ["unigrams", "bigrams", "trigrams", "properNouns", "stems"]
 
 
-def proper_nouns(raw: Column, normal: Column) -> Column:
-    """Capitalised tokens after the first, and each run of two or more as a phrase, in text order."""
-    start = F.struct(F.array().cast("array<string>").alias("out"), F.array().cast("array<string>").alias("run"))
-    close = lambda acc: F.when(F.size(acc["run"]) >= 2, F.concat(acc["out"], F.array(F.array_join(acc["run"], " ")))).otherwise(acc["out"])
-    pairs = F.transform(F.arrays_zip(raw.alias("r"), normal.alias("n")), lambda p, i: F.struct(p["r"].alias("r"), p["n"].alias("n"), i.alias("i")))
+@cache
+def _capital(c: str) -> bool:
+    return unicodedata.category(c) == "Lu"
 
-    def step(acc, p):
-        cap = p["r"].rlike(r"^\p{Lu}") & (p["i"] > 0)
-        return F.struct(
-            F.when(cap, F.concat(acc["out"], F.array(p["n"]))).otherwise(close(acc)).alias("out"), F.when(cap, F.concat(acc["run"], F.array(p["n"]))).otherwise(F.array().cast("array<string>")).alias("run")
-        )
 
-    return F.array_distinct(F.aggregate(pairs, start, step, close))
+@lru_cache(200_000)
+def _plain_token(t: str) -> str:
+    return t.lower() if t.isascii() else "".join(c for c in unicodedata.normalize("NFD", t) if not unicodedata.category(c).startswith("M")).lower()
 
 
-def terms(c: Column, plain: Column) -> Column:
-    """unigrams, bigrams, trigrams, properNouns and stems, each distinct and in order. ``plain`` is
-    the text with marks stripped, in a column of its own."""
+@lru_cache(200_000)
+def _stemmed(t: str) -> str:
+    return t if len(t) < 4 else next((t[: -len(s)] for s in SUFFIXES if len(t) - len(s) >= 3 and t.endswith(s)), t)
 
-    def of(s):
-        return _terms(s["raw"], s["normal"])
 
-    both = F.struct(tokens_of(c).alias("raw"), F.transform(tokens_of(plain), F.lower).alias("normal"))
-    return F.get(F.transform(F.array(both), of), 0)
+def _phrases(raw: list[str], normal: list[str]) -> Iterator[str]:
+    """Capitalised tokens after the first one, and each run of two or more as a phrase when it ends."""
+    run: list[str] = []
+    for i, (r, n) in enumerate(zip(raw, normal, strict=True)):
+        if i and _capital(r[0]):
+            run.append(n)
+            yield n
+        else:
+            if len(run) > 1:
+                yield " ".join(run)
+            run = []
+    if len(run) > 1:
+        yield " ".join(run)
 
 
-def _terms(raw: Column, normal: Column) -> Column:
-    uni = F.filter(normal, lambda t: (F.char_length(t) >= 3) & ~t.isin(STOPWORDS))
-    return F.struct(
-        F.array_distinct(uni).alias("unigrams"), ngrams(normal, 2).alias("bigrams"), ngrams(normal, 3).alias("trigrams"), proper_nouns(raw, normal).alias("properNouns"),
-        F.array_distinct(F.transform(uni, stem)).alias("stems"),
-    )
+def terms_of(text: str | None) -> list[list[str]]:
+    """The lists of ``terms`` for one text, in one pass over its tokens."""
+    raw = [t for t in _BETWEEN.split(text or "") if t]
+    normal = [_plain_token(t) for t in raw]
+    uni = dict.fromkeys(t for t in normal if len(t) >= 3 and t not in _STOPPED)
+    grams = [dict.fromkeys(g for g in map(" ".join, zip(*[normal[k:] for k in range(n)], strict=False)) if len(g) >= 6) for n in (2, 3)]
+    return [list(x) for x in (uni, *grams, dict.fromkeys(_phrases(raw, normal)), dict.fromkeys(map(_stemmed, uni)))]
+
+
+@F.pandas_udf(StructType([StructField(n, ArrayType(StringType())) for n in _TERMS]))
+def terms(c: pd.Series) -> pd.DataFrame:
+    """unigrams, bigrams, trigrams, properNouns and stems, each distinct and in the order of the text. A text is gone
+    through once, in a Python worker: lists that grow inside an expression are copied at each step."""
+    return pd.DataFrame([terms_of(t) for t in c], columns=_TERMS)
 
 
 def by_first_letter(markers: str) -> str:

@@ -462,6 +462,15 @@ select doc_id, array_to_string(list_sort(list_distinct(u)), '|') unigrams, array
 array_to_string(list_sort(list_distinct({_grams(3)})), '|') trigrams, array_to_string(list_sort(list_distinct(list_transform(u, lambda x: {_STEM}))), '|') stems from u""")
 def sorted_terms(spark, d):
     """F26-F29 but for proper nouns, of each whole text, in order of the alphabet."""
-    texts = table(spark, d, "documents").select("doc_id", F.col("text").alias("title")).withColumn("plain", T.marks_stripped("title"))
-    terms = texts.select("doc_id", T.terms(F.col("title"), F.col("plain")).alias("t"))
+    terms = table(spark, d, "documents").select("doc_id", T.terms("text").alias("t"))
     return terms.select("doc_id", *[F.array_join(F.array_sort(f"t.{c}"), "|").alias(c) for c in ("unigrams", "bigrams", "trigrams", "stems")])
+
+
+@query(r"""with t as (select doc_id, list_filter(string_split_regex(text, '[\s\p{P}\p{S}]+'), lambda x: x <> '') w from documents),
+e as (select doc_id, unnest(w) r, generate_subscripts(w, 1) i from t), c as (select doc_id, lower(strip_accents(r)) n, i from e where i > 1 and regexp_matches(r, '^\p{Lu}')),
+s as (select doc_id, n, i, i - row_number() over (partition by doc_id order by i) run from c), p as (select doc_id, string_agg(n, ' ' order by i) n from s group by doc_id, run having count(*) > 1),
+u as (select doc_id, n from c union select doc_id, n from p), g as (select doc_id, string_agg(n, '|' order by n) nouns from u group by doc_id)
+select doc_id, coalesce(nouns, '') nouns from documents left join g using (doc_id)""")
+def proper_nouns(spark, d):
+    """capitalised tokens but the first of each whole text, and runs of them, in order of the alphabet."""
+    return table(spark, d, "documents").select("doc_id", F.array_join(F.array_sort(T.terms("text")["properNouns"]), "|").alias("nouns"))

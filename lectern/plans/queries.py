@@ -86,9 +86,8 @@ def similar_names_all(spark, d):
 @query()
 def document_terms(spark, d):
     """Terms of each whole text."""
-    titles = table(spark, d, "documents").select("doc_id", F.col("text").alias("title"))
-    titles = titles.withColumn("plain", T.marks_stripped("title"))
-    return titles.select("doc_id", T.terms(F.col("title"), F.col("plain")).alias("t")).select("doc_id", *[F.array_join(f"t.{c}", "|").alias(c) for c in ("unigrams", "bigrams", "trigrams", "properNouns", "stems")])
+    texts = table(spark, d, "documents").select("doc_id", T.terms("text").alias("t"))
+    return texts.select("doc_id", *[F.array_join(f"t.{c}", "|").alias(c) for c in ("unigrams", "bigrams", "trigrams", "properNouns", "stems")])
 
 
 @query("""with v as (select vec_id, embedding::double[] v from embeddings), s as (select q.vec_id query_id, o.vec_id other_id, round(list_dot_product(q.v, o.v), 6) cosine from v q, v o where q.vec_id % 20 = 0),

@@ -78,9 +78,16 @@ def test_cuts(spark):
 
 
 def test_terms(spark):
-    r = one(spark, T.terms(F.col("x"), F.col("y")), x="Nuovo accordo Banca Nazionale Svizzera", y="Nuovo accordo Banca Nazionale Svizzera")
+    r = one(spark, T.terms("x"), x="Nuovo accordo Banca Nazionale Svizzera")
     assert r["properNouns"] == ["banca", "nazionale", "svizzera", "banca nazionale svizzera"]
     assert r["bigrams"][0] == "nuovo accordo" and r["stems"][1] == "accord"
+    assert T.terms_of("Città di Lugano, Centro. È l'Éra nuova Roma") == [
+        ["citta", "lugano", "centro", "era", "nuova", "roma"], ["citta di", "di lugano", "lugano centro", "centro e", "era nuova", "nuova roma"],
+        ["citta di lugano", "di lugano centro", "lugano centro e", "centro e l", "e l era", "l era nuova", "era nuova roma"], ["lugano", "centro", "e", "lugano centro e", "era", "roma"], ["citt", "lug", "centr", "era", "nuov", "rom"],
+    ]
+    assert T.terms_of(None) == T.terms_of(" .,") == [[]] * 5
+    began = time.time()
+    assert len(T.terms_of(" ".join(f"Word{i} and{i}" for i in range(8000)))[3]) == 7999 and time.time() - began < 0.5
 
 
 def test_similarity(spark):
