@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
-from functools import cache, lru_cache
 
 import pandas as pd
 import regex
@@ -255,43 +254,51 @@ _BETWEEN = regex.compile(rf"(?:{WS}|[\p{{P}}\p{{S}}])+")
 _TERMS = ["unigrams", "bigrams", "trigrams", "properNouns", "stems"]
 
 
-@cache
-def _capital(c: str) -> bool:
-    return unicodedata.category(c) == "Lu"
+class _Known(dict):
+    """What a function gives for each token, asked once; emptied when it has grown large."""
+
+    def __init__(self, of, most: int = 300_000):
+        self.of, self.most = of, most
+
+    def __missing__(self, token: str):
+        if len(self) >= self.most:
+            self.clear()
+        value = self[token] = self.of(token)
+        return value
 
 
-@lru_cache(200_000)
 def _plain_token(t: str) -> str:
     return t.lower() if t.isascii() else "".join(c for c in unicodedata.normalize("NFD", t) if not unicodedata.category(c).startswith("M")).lower()
 
 
-@lru_cache(200_000)
 def _stemmed(t: str) -> str:
     return t if len(t) < 4 else next((t[: -len(s)] for s in SUFFIXES if len(t) - len(s) >= 3 and t.endswith(s)), t)
 
 
+_plain, _stem_of = _Known(_plain_token), _Known(_stemmed)
+_capital = _Known(lambda t: unicodedata.category(t[0]) == "Lu")
+_counts = _Known(lambda t: len(t) >= 3 and t not in _STOPPED)
+
+
 def _phrases(raw: list[str], normal: list[str]) -> Iterator[str]:
     """Capitalised tokens after the first one, and each run of two or more as a phrase when it ends."""
-    run: list[str] = []
-    for i, (r, n) in enumerate(zip(raw, normal, strict=True)):
-        if i and _capital(r[0]):
-            run.append(n)
-            yield n
-        else:
-            if len(run) > 1:
-                yield " ".join(run)
-            run = []
-    if len(run) > 1:
-        yield " ".join(run)
+    at = [i for i, capital in enumerate(map(_capital.__getitem__, raw)) if capital and i]
+    start = 0
+    for k, i in enumerate(at, 1):
+        yield normal[i]
+        if k == len(at) or at[k] != i + 1:
+            if k - start > 1:
+                yield " ".join(normal[at[start] : i + 1])
+            start = k
 
 
 def terms_of(text: str | None) -> list[list[str]]:
     """The lists of ``terms`` for one text, in one pass over its tokens."""
     raw = [t for t in _BETWEEN.split(text or "") if t]
-    normal = [_plain_token(t) for t in raw]
-    uni = dict.fromkeys(t for t in normal if len(t) >= 3 and t not in _STOPPED)
+    normal = list(map(_plain.__getitem__, raw))
+    uni = dict.fromkeys(filter(_counts.__getitem__, normal))
     grams = [dict.fromkeys(g for g in map(" ".join, zip(*[normal[k:] for k in range(n)], strict=False)) if len(g) >= 6) for n in (2, 3)]
-    return [list(x) for x in (uni, *grams, dict.fromkeys(_phrases(raw, normal)), dict.fromkeys(map(_stemmed, uni)))]
+    return [list(x) for x in (uni, *grams, dict.fromkeys(_phrases(raw, normal)), dict.fromkeys(map(_stem_of.__getitem__, uni)))]
 
 
 @F.pandas_udf(StructType([StructField(n, ArrayType(StringType())) for n in _TERMS]))
