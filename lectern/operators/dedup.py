@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lectern.functions.numeric import dot
+from lectern.operators.publish import numbered
+from lectern.storage import written
 
 
 def keep_first(df: DataFrame, key: Column, order: list[str]) -> DataFrame:
@@ -16,24 +18,66 @@ def keep_first(df: DataFrame, key: Column, order: list[str]) -> DataFrame:
     return packed.groupBy("_key").agg(F.min_by("_row", "_order").alias("_row")).select("_row.*")
 
 
+def _ranked_sets(sets: DataFrame, *keys: str) -> DataFrame:
+    """(keys, s) with each set's tokens as numbers, rarest first: a token's number is its place by how many sets hold it.
+    Frequencies are a written table, so that the join with a token which very many sets hold can be split."""
+    each = sets.filter(F.size("s") > 0).select(*keys, F.explode("s").alias("t"))
+    ranks = numbered(each.groupBy("t").agg(F.count("*").alias("n")), [F.col("n"), F.col("t")], "rank").select("t", "rank")
+    ranked = each.join(ranks, "t").groupBy(*keys).agg(F.sort_array(F.collect_list("rank")).alias("s"))  # a set's own tokens
+    return written(ranked, "sets")
+
+
+def _candidates(heads: DataFrame, other: DataFrame, threshold: float, apart: Column) -> DataFrame:
+    """(left_id, right_id) that share a token of both heads, of sizes within ``threshold``, and that enough tokens may follow in both
+    for the overlap which two sets of these sizes need."""
+    a = heads.select(F.col("id").alias("left_id"), F.col("n").alias("an"), F.col("at").alias("aat"), "t")
+    b = other.select(F.col("id").alias("right_id"), F.col("n").alias("bn"), F.col("at").alias("bat"), "t")
+    size = (F.col("bn") >= F.col("an") * threshold - 1e-9) & (F.col("an") >= F.col("bn") * threshold - 1e-9)
+    needed = F.ceil((F.col("an") + F.col("bn")) * (threshold / (1 + threshold)) - 1e-9)
+    left = F.least(F.col("an") - F.col("aat"), F.col("bn") - F.col("bat"))  # with the shared token itself, after a place from 0
+    # Each pair at its first shared token alone: the one with the least places.
+    return a.join(b, "t").filter(apart & size & (left >= needed)).select("left_id", "right_id").distinct()
+
+
+def _heads(sets: DataFrame, threshold: float) -> DataFrame:
+    n = F.size("s")
+    head = F.slice("s", 1, (n - F.ceil(n * threshold - 1e-9) + 1).cast("int"))
+    return sets.select("*", n.alias("n"), F.posexplode(head).alias("at", "t"))
+
+
+def _scored(pairs: DataFrame, left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """The survivors' sets are fetched by id, and compared whole."""
+    both = pairs.join(left.select(F.col("id").alias("left_id"), F.col("s").alias("a")), "left_id").join(right.select(F.col("id").alias("right_id"), F.col("s").alias("b")), "right_id")
+    same = F.size(F.array_intersect("a", "b"))
+    return both.select("left_id", "right_id", (same / (F.size("a") + F.size("b") - same)).alias("jaccard")).filter(F.col("jaccard") >= threshold)
+
+
 def similar_sets(left: DataFrame, right: DataFrame, threshold: float, id: str = "id", tokens: str = "tokens") -> DataFrame:
-    """(left_id, right_id, jaccard) for each pair of token sets at ``threshold`` or more; exact.
+    """(left_id, right_id, jaccard) for each pair of a left and a right token set at ``threshold`` or more; exact.
 
     Tokens are ordered by how many sets hold them, rarest first; two sets that reach the threshold
-    share one of their first |A| - ceil(t |A|) + 1 tokens, so just these are joined, and sizes must
-    be within t of each other. Frequencies are joined, not broadcast."""
+    share one of their first |A| - ceil(t |A|) + 1 tokens, so just these are joined, as numbers with their places; sizes must
+    be within t of each other, and enough tokens must follow the shared one. Sets are fetched for the pairs that are
+    left. Ids are taken to be unique on a side; null and empty sets are like nothing."""
     both = left.select(F.lit(0).alias("side"), F.col(id).alias("id"), F.array_distinct(tokens).alias("s")).unionByName(right.select(F.lit(1).alias("side"), F.col(id).alias("id"), F.array_distinct(tokens).alias("s")))
-    each = both.filter(F.size("s") > 0).select("side", "id", F.explode("s").alias("t"))
-    seen = each.groupBy("t").agg(F.count("*").alias("n"))
-    ranked = each.join(seen, "t").groupBy("side", "id").agg(F.sort_array(F.collect_list(F.struct("n", "t"))).alias("r")).select("side", "id", F.col("r.t").alias("s"))
-    n = F.size("s")
-    heads = ranked.select("side", "id", "s", F.explode(F.slice("s", 1, (n - F.ceil(n * threshold - 1e-9) + 1).cast("int"))).alias("t"))
-    a = heads.filter("side = 0").select(F.col("id").alias("left_id"), F.col("s").alias("a"), "t")
-    b = heads.filter("side = 1").select(F.col("id").alias("right_id"), F.col("s").alias("b"), "t")
-    near = a.join(b, "t").filter((F.size("b") >= F.size("a") * threshold - 1e-9) & (F.size("a") >= F.size("b") * threshold - 1e-9))
-    same = F.size(F.array_intersect("a", "b"))
-    score = same / (F.size("a") + F.size("b") - same)
-    return near.select("left_id", "right_id", score.alias("jaccard")).filter(F.col("jaccard") >= threshold).distinct()
+    ranked = _ranked_sets(both, "side", "id")
+    a, b = ranked.filter("side = 0"), ranked.filter("side = 1")
+    return _scored(_candidates(_heads(a, threshold), _heads(b, threshold), threshold, F.lit(True)), a, b, threshold)
+
+
+def similar_classes(sets: DataFrame, threshold: float, id: str = "id", tokens: str = "tokens") -> tuple[DataFrame, DataFrame]:
+    """J10, U04 within one table: (id, class_id) of every set with tokens, and (left_id, right_id, jaccard) of the classes' pairs
+    at ``threshold`` or more, each pair once, left_id below right_id.
+
+    Equal sets are one class, named by its smallest id, whatever their number: they are alike without being paired. A pair of sets is
+    alike if their classes are the same or a pair; so no link is lost, and copies make no pairs."""
+    own = sets.select(F.col(id).alias("id"), F.array_sort(F.array_distinct(tokens)).alias("s")).filter(F.size("s") > 0)
+    one, two = F.xxhash64("s"), F.xxhash64(F.lit(7), "s")
+    firsts = written(own.groupBy(one.alias("h1"), two.alias("h2")).agg(F.min("id").alias("class_id"), F.first("s").alias("s")), "classes")
+    members = own.select("id", one.alias("h1"), two.alias("h2")).join(firsts.drop("s"), ["h1", "h2"]).select("id", "class_id")
+    ranked = _ranked_sets(firsts.select(F.col("class_id").alias("id"), "s"), "id")
+    heads = _heads(ranked, threshold)
+    return members, _scored(_candidates(heads, heads, threshold, F.col("left_id") < F.col("right_id")), ranked, ranked, threshold)
 
 
 def near_any(candidates: DataFrame, existing: DataFrame, threshold: float = 0.7, id: str = "id", tokens: str = "tokens") -> DataFrame:
@@ -98,8 +142,9 @@ def archive_page_counts(ids: DataFrame) -> DataFrame:
 def sharing(df: DataFrame, item: str, key: str) -> DataFrame:
     """(key, item, n) for each item of a key that ``n`` > 1 items share: the collision graph by its keys, from
     which both directions of each link can be read. Rows stay as many as (key, item) pairs, no list is
-    gathered and no pair of items made, so a key that very many share is no burden."""
-    pairs = df.select(key, item).distinct()
+    gathered and no pair of items made, so a key that very many share is no burden. The pairs are written before they are
+    counted, so that the join with a hot key's count can be split."""
+    pairs = written(df.select(key, item).distinct(), "pairs")
     return pairs.join(pairs.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1"), key)
 
 
@@ -110,6 +155,19 @@ def members_sharing(df: DataFrame, item: str, key: str) -> DataFrame:
     return groups.filter("n > 1")
 
 
+def colliders(df: DataFrame, item: str, key: str, most: int = 1000) -> tuple[DataFrame, DataFrame]:
+    """The collision graph of items that share keys, whole, in two tables.
+
+    The first has (item, other, shared), the keys in order, for each two items that share a key of at most ``most`` items, in both
+    directions; the second (key, item, n) for each item of a key that more share: there, each two items collide.
+    A key makes no more than ``most`` rows of an item, and none is gathered in one row; the list of a pair holds keys alone.
+    Null items and keys, and what stands twice, count for nothing."""
+    shared = written(sharing(df.filter(F.col(item).isNotNull() & F.col(key).isNotNull()), item, key), "sharing")
+    few, many = shared.filter(F.col("n") <= most), shared.filter(F.col("n") > most)
+    pairs = few.select(key, F.col(item)).join(few.select(key, F.col(item).alias("other")), key).filter(F.col(item) != F.col("other"))
+    return pairs.groupBy(item, "other").agg(F.array_sort(F.collect_list(key)).alias("shared")), many.select(key, item, "n")
+
+
 def pages_needed(n: Column, page_size: int = 100) -> Column:
     """A01."""
     return F.greatest(F.lit(1), F.ceil(n / page_size)).cast("long")

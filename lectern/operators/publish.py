@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lectern.functions.text import xml_escaped
-from lectern.storage import commit
+from lectern.storage import commit, written
 
 LOCALES = ("it", "en", "de", "fr")
 
@@ -72,49 +72,39 @@ def newest(df: DataFrame, date: str, id: str, n: int = 5) -> DataFrame:
     return df.orderBy(F.desc(date), id).limit(n)
 
 
-def ranges(df: DataFrame, by: str, parts: int = 64) -> list[float]:
-    """Up to ``parts`` - 1 bounds that cut a numeric column into ranges of about equal size."""
-    found = df.agg(F.percentile_approx(by, [i / parts for i in range(1, parts)], 10_000).alias("b")).head()["b"]
-    return sorted(set(found or []))
+def numbered(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
+    """Rows numbered from 1 by the values of ``order``, ascending, nulls first; ties go by a hash of the row.
 
+    Rows are put in order by ranges, as many as the session's shuffle has partitions, and written with their place
+    in their range; a range begins where the counts of those before end. The hash is part of the ranges' bounds, so that a value
+    that very many rows have is cut as well; equal rows alone stay together. One exchange; after it a row for each range."""
+    tie = F.xxhash64(*df.columns)
+    keyed = df.select("*", *[c.alias(f"_by{i}") for i, c in enumerate([*order, tie])])
+    by = [f"_by{i}" for i in range(len(order) + 1)]
+    placed = keyed.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_place", F.monotonically_increasing_id()).drop(*by)
+    rows = written(placed, "numbered")
+    part, within = F.shiftrightunsigned("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
+    counts = rows.groupBy(part.alias("_part")).count()
+    before = counts.select("_part", (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_before"))
+    return rows.withColumn("_part", part).join(F.broadcast(before), "_part").withColumn(name, within + F.col("_before") + 1).select(*df.columns, name)
 
-def range_of(bounds: list[float], c: Column) -> Column:
-    """The number of the range that a value is in: how many bounds lie below it; nulls come first."""
-    return F.coalesce(sum([(c > F.lit(b)).cast("int") for b in bounds], F.lit(0)), F.lit(0))  # no lambda: Catalyst mixes those up in joins of a table with itself
 
-
-def group_medians(df: DataFrame, key: str, value: str, parts: int = 64) -> DataFrame:
-    """(key, p50), the exact median of each key's values. No group's values are held together: counts by range
-    say in which range the middle lies, and only that range's rows are counted by value and put in order. Null values
-    don't count, keys that have no others are left out, and a null key is a key."""
+def group_medians(df: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, p50), the exact median of each key's values, from their places in one order of all rows by key and
+    value, so no group's values are held or sorted together. Null values don't count, keys that have no others are left
+    out, and a null key is a key."""
     rows = df.select(F.col(key).alias("k"), F.col(value).cast("double").alias("v")).filter("v is not null")
-    rows = rows.withColumn("r", range_of(ranges(rows, "v", parts) or [0.0], F.col("v")))
-    of_key = Window.partitionBy("k")
-    sizes = rows.groupBy("k", "r").count().select("k", "r", F.sum("count").over(of_key.orderBy("r")).alias("upto"), "count", F.sum("count").over(of_key).alias("n"))
-    low, high = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
-    middle = sizes.filter((F.col("upto") >= low) & (F.col("upto") - F.col("count") < high))
-    middle = middle.select(F.col("k").alias(key), F.col("r").alias("at"), (F.col("upto") - F.col("count")).alias("before"), low.alias("low"), high.alias("high"))
-    near = rows.join(middle, F.col("k").eqNullSafe(F.col(key)) & (F.col("r") == F.col("at"))).groupBy(key, "at", "before", "low", "high", "v").count()
-    last = F.col("before") + F.sum("count").over(Window.partitionBy(key, "at").orderBy("v"))
-    ends = near.withColumn("last", last).withColumn("first", F.col("last") - F.col("count"))
-    holding = lambda place: F.max(F.when((F.col("first") < F.col(place)) & (F.col("last") >= F.col(place)), F.col("v")))
-    return ends.groupBy(key).agg((holding("low") * 0.5 + holding("high") * 0.5).alias("p50"))
-
-
-def numbered(df: DataFrame, group: Column, order: list, name: str = "position") -> DataFrame:
-    """Rows numbered from 1 over all groups, in order of ``group`` (an int) and within it of ``order``. Each group
-    is numbered in a task of its own and begins where the counts of those before end."""
-    rows = df.withColumn("_group", group)
-    sizes = rows.groupBy("_group").count()
-    before = sizes.select("_group", (F.sum("count").over(Window.orderBy("_group")) - F.col("count")).alias("_before"))  # a row for each group
-    own = F.row_number().over(Window.partitionBy("_group").orderBy(*order))
-    return rows.withColumn("_own", own).join(F.broadcast(before), "_group").withColumn(name, (F.col("_own") + F.col("_before")).cast("long")).drop("_own", "_before", "_group")
+    placed = numbered(rows, [F.col("k"), F.col("v")], "at")
+    ends = placed.groupBy("k").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    low, high = F.col("first") + F.floor((F.col("n") - 1) / 2), F.col("first") + F.floor(F.col("n") / 2)
+    middle = ends.select(F.col("k").alias("of"), F.explode(F.array(low, high)).alias("at"))  # one row or two equal ones for each key
+    return placed.join(middle, "at").groupBy(F.col("of").alias(key)).agg(F.avg("v").alias("p50"))
 
 
 def preferred_order(df: DataFrame, preferred: list[str], name: str, ordinal: str) -> DataFrame:
     """(position): preferred names first, in that order, then the rest as they came."""
     at = F.coalesce(F.array_position(F.array(*[F.lit(p) for p in preferred]), F.col(name)), F.lit(0))
-    return numbered(df, F.when(at > 0, 0).otherwise(range_of(ranges(df, ordinal), F.col(ordinal)) + 1), [at, ordinal])
+    return numbered(df, [F.when(at > 0, at).otherwise(len(preferred) + 1), F.col(ordinal)])
 
 
 #: The paths of a section's articles by locale.
@@ -133,7 +123,7 @@ URLSET = """<?xml version="1.0" encoding="UTF-8"?>
 def sitemap_documents(rows: DataFrame, ordinal: str = "ordinal", per_file: int = 50_000) -> DataFrame:
     """(file, count, xml): whole sitemaps of ``rows`` (ordinal, xml) in order, ``per_file`` URLs each at
     most, the most that the protocol allows; so no file outgrows a task."""
-    each = numbered(rows, range_of(ranges(rows, ordinal), F.col(ordinal)), [ordinal])
+    each = numbered(rows, [F.col(ordinal)])
     files = each.groupBy(F.expr(f"cast((position - 1) div {per_file} as int)").alias("file")).agg(F.count("*").alias("count"), F.sort_array(F.collect_list(F.struct("position", "xml"))).alias("urls"))
     return files.select("file", "count", F.concat(F.lit(URLSET), F.array_join("urls.xml", "\n"), F.lit("\n</urlset>\n")).alias("xml"))
 

@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from lectern.functions.numeric import age_hours, clamped_quota
 from lectern.functions.text import filename_words, html_to_text, publisher_host, trimmed
 from lectern.operators.dedup import keep_first
-from lectern.operators.publish import range_of, ranges
+from lectern.operators.publish import numbered
 
 _USAGE = "input_tokens long, cache_creation_input_tokens long, cache_read_input_tokens long, output_tokens long"
 
@@ -105,11 +105,12 @@ def changed_descriptions(current: DataFrame, wanted: DataFrame, verdicts: DataFr
     return both.filter(~F.col("_new").eqNullSafe(F.col("description"))).select("id", F.col("_new").alias("description"))
 
 
-def longest_runs(rows: DataFrame, key: str, order: str, failed: str) -> DataFrame:
-    """By key, the most failures in a row; a success ends a run. Rows are cut into ranges of ``order`` (a
-    number), each summed up by itself as the failures before its first success, after its last one and
+def longest_runs(rows: DataFrame, key: str, order: str, failed: str, block: int = 1_000_000) -> DataFrame:
+    """By key, the most failures in a row; a success ends a run. Rows are numbered by ``order`` and cut into blocks of
+    ``block`` rows, each summed up by itself as the failures before its first success, after its last one and
     its longest run; a key's few sums are put together in order."""
-    each = rows.select(F.col(key).alias("key"), F.col(order).alias("at"), F.coalesce(F.col(failed), F.lit(False)).alias("failed"), range_of(ranges(rows, order), F.col(order)).alias("part"))
+    plain = rows.select(F.col(key).alias("key"), F.col(order).alias("by"), F.coalesce(F.col(failed), F.lit(False)).alias("failed"))
+    each = numbered(plain, [F.col("by")], "at").withColumn("part", F.floor((F.col("at") - 1) / block))
     within = Window.partitionBy("key", "part").orderBy("at")
     run = each.withColumn("run", F.count_if(~F.col("failed")).over(within.rowsBetween(Window.unboundedPreceding, 0)))
     runs = run.groupBy("key", "part", "run").agg(F.count_if("failed").alias("n"))

@@ -83,6 +83,27 @@ def similar_names_all(spark, d):
     return dedup.similar_sets(sets, sets, 0.7)
 
 
+_FOLDED = """with t as (select p_partkey id, list_distinct(list_transform(list_filter(regexp_extract_all(strip_accents(lower(p_name)), '[a-z0-9]+'), lambda x: len(x) >= 3), lambda x: x[1:6])) s from part),
+c as (select id, min(id) over (partition by list_sort(s)) class_id, s from t where len(s) > 0)"""
+
+
+def _name_sets(spark, d):
+    return table(spark, d, "part").select(F.col("p_partkey").alias("id"), T.folded(T.similarity_tokens(F.col("p_name"))).alias("tokens"))
+
+
+@query(_FOLDED + """, f as (select id, s, unnest(s) t from c where id = class_id), p as (select a.id l, b.id r, count(*) n, any_value(len(a.s)) x, any_value(len(b.s)) y from f a join f b on a.t = b.t and a.id < b.id group by 1, 2)
+select l left_id, r right_id, n / (x + y - n)::double jaccard from p where n / (x + y - n)::double >= 0.7""")
+def similar_name_pairs(spark, d):
+    """F23-F25, J10, U04 over all names: pairs of classes of equal names, each once."""
+    return dedup.similar_classes(_name_sets(spark, d), 0.7)[1]
+
+
+@query(_FOLDED + " select id, class_id from c")
+def similar_name_classes(spark, d):
+    """The class of each name, to which the pairs refer."""
+    return dedup.similar_classes(_name_sets(spark, d), 0.7)[0]
+
+
 @query()
 def document_terms(spark, d):
     """Terms of each whole text."""
@@ -252,6 +273,22 @@ def shared_parts(spark, d):
     return dedup.members_sharing(table(spark, d, "lineitem"), "l_suppkey", "l_partkey")
 
 
+_SHARED = """with p as (select distinct l_partkey, l_suppkey from lineitem), n as (select l_partkey, count(*) n from p group by 1 having count(*) > 1), s as (select * from p join n using (l_partkey))"""
+
+
+@query(_SHARED + """ select a.l_suppkey, b.l_suppkey other, list_sort(list(l_partkey)) shared from s a join s b using (l_partkey) where a.n <= 40 and a.l_suppkey <> b.l_suppkey group by 1, 2""")
+def colliding_suppliers(spark, d):
+    """Suppliers that share parts, both ways, with the parts that they share; of parts with 40 suppliers at most."""
+    return dedup.colliders(table(spark, d, "lineitem"), "l_suppkey", "l_partkey", 40)[0]
+
+
+@query("""with p as (select distinct strftime(l_shipdate, '%Y-%m') k, l_suppkey from lineitem), n as (select k, count(*) n from p group by 1) select k, l_suppkey, n from p join n using (k) where n > 4""")
+def crowded_months(spark, d):
+    """What more than four suppliers share: rows of the key in place of all its pairs."""
+    months = table(spark, d, "lineitem").select("l_suppkey", F.date_format("l_shipdate", "yyyy-MM").alias("k"))
+    return dedup.colliders(months, "l_suppkey", "k", 4)[1]
+
+
 @query("""select o_orderkey, o_orderdate from orders order by o_orderdate desc, o_orderkey limit 5""")
 def newest_orders(spark, d):
     """O03."""

@@ -163,7 +163,7 @@ def test_runs_over_ranges(spark, seed):
         run[1] = run[1] + 1 if failed else 0
         run[0] = max(run)
     rng.shuffle(rows)
-    got = upkeep.longest_runs(spark.createDataFrame(rows, "k string, i long, failed boolean"), "k", "i", "failed").collect()
+    got = upkeep.longest_runs(spark.createDataFrame(rows, "k string, i long, failed boolean"), "k", "i", "failed", [7, 100, 1_000_000][seed % 3]).collect()
     assert {r["k"]: r["longest"] for r in got} == {k: v[0] for k, v in best.items()}
     assert upkeep.longest_runs(spark.createDataFrame([], "k string, i long, failed boolean"), "k", "i", "failed").count() == 0
 
