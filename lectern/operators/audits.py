@@ -38,12 +38,12 @@ def publishable(events: DataFrame, date: str) -> DataFrame:
     return events.crossJoin(F.broadcast(verdict.select(F.when(F.col("valid"), True).otherwise(refused).alias("_ok")))).filter("_ok").drop("_ok")  # one row
 
 
-def usage_totals(messages: DataFrame, ordinal: str = "ordinal") -> DataFrame:
-    """The last result record if there is one, else the sum of all."""
+def usage_totals(messages: DataFrame, ordinal: str = "ordinal", *keys: str) -> DataFrame:
+    """The last result record if there is one, else the sum of all; for each of ``keys``, as a log's file."""
     parts = ["input_tokens", "cache_creation_input_tokens", "cache_read_input_tokens", "output_tokens"]
     total = sum((F.coalesce(F.col(p), F.lit(0)) for p in parts), F.lit(0))
     last = F.max_by(F.when(F.col("type") == "result", total), F.when(F.col("type") == "result", F.col(ordinal)))
-    return messages.agg(F.coalesce(last, F.sum(total), F.lit(0)).cast("long").alias("total_tokens"))
+    return messages.groupBy(*keys).agg(F.coalesce(last, F.sum(total), F.lit(0)).cast("long").alias("total_tokens"))
 
 
 def shadow_alert(df: DataFrame, count: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -31,9 +31,10 @@ def post_headlines(posts: DataFrame, now: Column, max_days: int = 7, least: int
     return rows.filter((F.char_length("headline") >= least) & (F.col("url") != "") & recent)
 
 
-def log_messages(files: DataFrame, column: str = "value") -> DataFrame:
+def log_messages(files: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """(ordinal, type and token counts) of logs held whole in ``column``: an array, an object with
-    ``messages``, one object, or an object a line, of which bad ones are skipped."""
+    ``messages``, one object, or an object a line, of which bad ones are skipped. For logs of lines see
+    ``logged_messages``, which holds none of them whole. Columns named in ``keep`` stay."""
     text = trimmed(F.col(column))
     listed = F.from_json(text, f"array<struct<{_ddl()}>>")
     inner = F.from_json(text, f"struct<messages:array<struct<{_ddl()}>>>")["messages"]
@@ -44,8 +45,29 @@ def log_messages(files: DataFrame, column: str = "value") -> DataFrame:
     many = (F.size(heads) > 1) & F.try_parse_json(F.get(heads, 0)).isNotNull()  # the first line is whole by itself
     whole = F.startswith(text, F.lit("{")) & F.try_parse_json(text).isNotNull() & ~many
     found = F.when(F.startswith(text, F.lit("[")), listed).when(whole & inner.isNotNull(), inner).when(whole, one).otherwise(good)
-    use = lambda c: F.coalesce(F.col(f"m.message.usage.{c}"), F.col(f"m.usage.{c}")).alias(c)
-    return files.select(F.posexplode(found).alias("ordinal", "m")).select("ordinal", "m.type", *[use(c.split()[0]) for c in _USAGE.split(", ")])
+    return files.select(*keep, F.posexplode(found).alias("ordinal", "m")).select(*keep, "ordinal", "m.type", *_used())
+
+
+def _used() -> list[Column]:
+    names = [c.split()[0] for c in _USAGE.split(", ")]
+    return [F.coalesce(F.col(f"m.message.usage.{c}"), F.col(f"m.usage.{c}")).alias(c) for c in names]
+
+
+def logged_messages(spark: SparkSession, path: str) -> DataFrame:
+    """(file, ordinal, type and token counts) of the logs in a folder, of any number and size. Logs of an object a line
+    are read line by line, a long one by several tasks; their order is that of the places in the file. What begins as
+    an array, or as an object that its first line doesn't end, is JSON as a whole and is read so, file by file.
+    Lines that don't parse are skipped."""
+    at = F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("_metadata.file_path").alias("file"), at.alias("ordinal"), trimmed(F.col("value")).alias("value")).filter("value <> ''")
+    firsts = lines.groupBy("file").agg(F.min_by("value", "ordinal").alias("first"), F.count("*").alias("n"))
+    ends = F.try_parse_json("first").isNotNull()
+    whole = firsts.filter(F.startswith("first", F.lit("[")) | (F.startswith("first", F.lit("{")) & (~ends | (F.col("n") == 1)))).select("file")
+    parsed = lines.join(whole, "file", "left_anti").select("file", "ordinal", F.from_json("value", f"struct<{_ddl()},_bad:string>", {"columnNameOfCorruptRecord": "_bad"}).alias("m"))
+    single = parsed.filter("m._bad is null").select("file", "ordinal", "m.type", *_used())
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value").join(whole, "file", "left_semi")
+    listed = log_messages(files, keep=("file",)).withColumn("ordinal", F.struct(F.lit(0).cast("long").alias("start"), F.col("ordinal").cast("long").alias("at")))
+    return single.unionByName(listed)
 
 
 def _ddl() -> str:

@@ -12,6 +12,7 @@ from lectern.functions import text as T
 from lectern.operators import audits, dedup, publish, upkeep
 from lectern.plans.queries import NOW, query, table
 from lectern.sources import corpus
+from lectern.storage import new_path
 
 
 def now():
@@ -238,20 +239,20 @@ def hash_buckets(spark, d):
     return table(spark, d, "orders").select("o_orderkey", N.fnv1a32_mod(text, 97).alias("bucket"), N.fnv1a32(text).alias("h"))
 
 
-@query("""select sum(event_id % 7 + event_id % 5 + event_id % 3 + 1)::bigint total_tokens from events where event_id <= 500""")
+@query("""select sum(event_id % 7 + event_id % 5 + event_id % 3 + 1)::bigint total_tokens from events""")
 def usage_total(spark, d):
-    """A log of lines, bad ones among them, in which no result stands."""
-    k = F.col("event_id")
+    """Logs of lines, bad ones among them, in which no result stands."""
+    k, path = F.col("event_id"), new_path(spark, "logs")
     line = F.to_json(F.struct(F.lit("assistant").alias("type"), F.struct(F.struct((k % 7).alias("input_tokens"), (k % 5).alias("cache_creation_input_tokens"), (k % 3).alias("cache_read_input_tokens"), F.lit(1).alias("output_tokens")).alias("usage")).alias("message")))
-    log = table(spark, d, "events").filter(k <= 500).agg(F.array_join(F.collect_list(F.concat(line, F.when(k % 50 == 0, "\n{bad").otherwise(""))), "\n").alias("value"))
-    return audits.usage_totals(upkeep.log_messages(log))
+    table(spark, d, "events").select(F.concat(line, F.when(k % 50 == 0, "\n{bad").otherwise("")).alias("value")).write.text(path)
+    return audits.usage_totals(upkeep.logged_messages(spark, path))
 
 
-@query("""select user_id % 50 as u, coalesce(arg_max(value::bigint, event_id) filter (event_type = 'error'), sum(value::bigint))::bigint total_tokens from events where user_id % 50 = 7 group by 1""")
+@query("""select user_id % 50 as u, coalesce(arg_max(round(value)::bigint, event_id) filter (event_type = 'error'), sum(round(value)::bigint))::bigint total_tokens from events group by 1""")
 def usage_of_results(spark, d):
-    """The last result record wins over the sum; errors stand in for results."""
-    own = table(spark, d, "events").filter("user_id % 50 = 7").select(F.col("event_id").alias("ordinal"), F.when(F.col("event_type") == "error", "result").otherwise("assistant").alias("type"), F.round("value").cast("long").alias("input_tokens"), *[F.lit(None).cast("long").alias(c) for c in ("cache_creation_input_tokens", "cache_read_input_tokens", "output_tokens")])
-    return audits.usage_totals(own).select(F.lit(7).cast("long").alias("u"), "total_tokens")
+    """The last result record wins over the sum, for each of fifty users' logs; errors stand in for results."""
+    own = table(spark, d, "events").select((F.col("user_id") % 50).alias("u"), F.col("event_id").alias("ordinal"), F.when(F.col("event_type") == "error", "result").otherwise("assistant").alias("type"), F.round("value").cast("long").alias("input_tokens"), *[F.lit(None).cast("long").alias(c) for c in ("cache_creation_input_tokens", "cache_read_input_tokens", "output_tokens")])
+    return audits.usage_totals(own, "ordinal", "u")
 
 
 @query("""select h as "key", count(*) n from (select sha256(text) h from documents) group by 1 having count(*) > 1""")

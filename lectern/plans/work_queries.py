@@ -5,8 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lectern import storage
 from lectern.functions import text as T
-from lectern.operators import publish, upkeep
+from lectern.operators import audits, publish, upkeep
 from lectern.plans.queries import query, table
 from lectern.sources import corpus
 from lectern.storage import new_path
@@ -114,3 +115,75 @@ def unit_cuts(spark, d):
     """whole texts between two characters of two units each, cut after 101 and after 100,000 units."""
     t = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("t")).withColumn("u", F.concat(F.lit("😀"), "t", F.lit("😀")))
     return t.select("doc_id", F.char_length("t").cast("long").alias("n"), F.sha2(T.truncated_units(F.col("u"), 101), 256).alias("short"), F.sha2(T.truncated_units(F.col("u"), 100_000), 256).alias("long_"))
+
+
+@query("""with e as (select user_id % 40 log, event_id, event_id % 1000 n, event_type from events)
+select log, case log % 4 when 1 then sum(n) else coalesce(arg_max(n, event_id) filter (event_type = 'error'), sum(n)) end::bigint total_tokens from e group by 1""")
+def usage_by_log(spark, d):
+    """Logs of forty kinds of users in files: lines, lines after a bad one, an array over several lines, and one
+    object with messages. Errors stand in for results; every fourth log has none."""
+    k, path = F.col("event_id"), new_path(spark, "logs")
+    log = F.col("user_id") % 40
+    e = table(spark, d, "events").select(log.alias("log"), "event_id", F.to_json(F.struct(F.when((F.col("event_type") == "error") & (log % 4 != 1), "result").otherwise("assistant").alias("type"), F.struct((k % 1000).alias("input_tokens")).alias("usage"))).alias("line"))
+    e.filter("log % 4 < 2").select("log", "event_id", F.concat(F.when(k % 30 == 0, "not json\n").otherwise(""), "line").alias("value")).repartition("log").sortWithinPartitions("log", "event_id").select("log", "value").write.partitionBy("log").text(path)
+    whole = e.filter("log % 4 > 1").groupBy("log").agg(F.sort_array(F.collect_list(F.struct("event_id", "line"))).alias("l"))  # JSON as a whole is a file's one value
+    listed = F.concat(F.lit("[\n"), F.array_join("l.line", ",\n"), F.lit("\n]"))
+    whole.select("log", F.when(F.col("log") % 4 == 2, listed).otherwise(F.concat(F.lit('{"messages": '), listed, F.lit("}"))).alias("value")).write.mode("append").partitionBy("log").text(path)
+    found = upkeep.logged_messages(spark, path).withColumn("log", F.regexp_extract("file", r"log=(\d+)", 1).cast("long"))
+    return audits.usage_totals(found, "ordinal", "log")
+
+
+def _image(key: int) -> bytes:
+    """A header of one of four formats, of a size that the key gives, and some bytes after it."""
+    w, h, kind = key % 900 + 1, key % 700 + 2, key % 5
+    if kind == 0:
+        own = b"GIF89a" + w.to_bytes(2, "little") + h.to_bytes(2, "little")
+    elif kind == 1:
+        own = b"\x89PNG\r\n\x1a\n\x00\x00\x00\rIHDR" + w.to_bytes(4, "big") + h.to_bytes(4, "big")
+    elif kind == 2:
+        own = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xc0\x00\x11\x08" + h.to_bytes(2, "big") + w.to_bytes(2, "big") + b"\x03"
+    elif kind == 3:
+        own = b"RIFF\0\0\0\0WEBPVP8X\x0a\0\0\0\0\0\0\0" + (w - 1).to_bytes(3, "little") + (h - 1).to_bytes(3, "little")
+    else:
+        own = b"no image"
+    return own + bytes(64 + key % 300_000)
+
+
+@query("""select s_suppkey, case when s_suppkey % 5 < 4 then s_suppkey % 900 + 1 end::int width, case when s_suppkey % 5 < 4 then s_suppkey % 700 + 2 end::int height from supplier""")
+def image_headers(spark, d):
+    """A file for each supplier, written by tasks; of each the first bytes are read."""
+    path = new_path(spark, "images")
+
+    def write(frames):
+        for f in frames:
+            for key in f["s_suppkey"].tolist():
+                system, inside = corpus.opened(f"{path}/{key % 7}/image {key}%20.bin")
+                system.create_dir(inside.rpartition("/")[0])
+                with system.open_output_stream(inside) as out:
+                    out.write(_image(key))
+            yield f
+
+    table(spark, d, "supplier").select("s_suppkey").mapInPandas(write, "s_suppkey long").write.format("noop").mode("overwrite").save()
+    return corpus.image_sizes(spark, path).select(F.regexp_extract("path", r"image (\d+)", 1).cast("long").alias("s_suppkey"), "width", "height")
+
+
+@query("""select 'doc/' || doc_id path, sha256(case when doc_id % 5 = 1 then text || ' anew' else text end) sha256, case doc_id % 5 when 0 then 'new' when 1 then 'changed' end change from documents where doc_id % 5 <> 2""")
+def incremental_sink(spark, d):
+    """A target that lacks a fifth of the documents, has another fifth as it was and a third one that is gone; what
+    it holds after the changed rows are written, and what became of each."""
+    target, k = new_path(spark, "target"), F.col("doc_id")
+    docs = table(spark, d, "documents").select("doc_id", F.concat(F.lit("doc/"), k).alias("path"), F.col("text").alias("content"))
+    storage.write_changed(docs.filter(k % 5 != 0), target)
+    changes = storage.write_changed(docs.filter(k % 5 != 2).withColumn("content", F.when(k % 5 == 1, F.concat("content", F.lit(" anew"))).otherwise(F.col("content"))), target)
+    return storage.held_rows(spark, target, storage.HELD).select("path", "sha256").join(changes, "path", "left")
+
+
+@query("""select c_custkey, round(c_acctbal, 2) + 1 bal from customer""")
+def replaced_rows(spark, d):
+    """Rows committed twice to one target; a third commit fails, and readers keep the second."""
+    target = new_path(spark, "state")
+    rows = table(spark, d, "customer").select("c_custkey", F.round("c_acctbal", 2).alias("bal"))
+    publish.replace_json(rows, target)
+    publish.replace_json(storage.current(spark, target, "c_custkey long, bal double").withColumn("bal", F.col("bal") + 1), target)
+    publish.replace_json(rows.withColumn("bal", F.when(F.col("c_custkey") > 5, F.raise_error(F.lit("refused")).cast("double")).otherwise(0.0)), target)
+    return storage.current(spark, target, "c_custkey long, bal double")

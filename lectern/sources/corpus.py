@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -159,7 +162,32 @@ def image_size(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([size_of_image(b) for b in content], columns=["width", "height"]).astype("Int32")
 
 
-def image_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """(path, width, height); just the first 64 KiB are looked at."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", image_size(F.substring("content", 1, 65536)).alias("s")).select("path", "s.width", "s.height")
+def opened(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path as Spark lists it, and the path in it. The path is taken as it is, not as an URI."""
+    scheme, _, rest = path.rpartition(":") if path.startswith("file:") else path.partition("://")
+    if path.startswith("file:") or not rest:
+        return fs.LocalFileSystem(), "/" + (path.removeprefix("file:")).lstrip("/")
+    authority, _, inside = rest.partition("/")
+    system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return system, f"{base.rstrip('/')}/{inside}"
+
+
+def image_sizes(spark: SparkSession, path: str, head: int = 65_536) -> DataFrame:
+    """(path, width, height) of the files under ``path``. Spark lists them, with no content; tasks read the first
+    ``head`` bytes of each, however long it is. The file system must be one that pyarrow opens: local, HDFS, S3 or GCS.
+    A file that is gone by then, or no image, has no size."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            sizes = []
+            for name in f["path"]:
+                system, inside = opened(name)
+                try:
+                    with system.open_input_file(inside) as file:
+                        sizes.append(size_of_image(file.read(head)))
+                except FileNotFoundError:
+                    sizes.append((None, None))
+            yield pd.concat([f, pd.DataFrame(sizes, columns=["width", "height"], index=f.index).astype("Int32")], axis=1)
+
+    return listed.mapInPandas(read, "path string, width int, height int")

@@ -45,8 +45,13 @@ def test_image_header(content, size):
 
 def test_image_files(spark, tmp_path):
     (tmp_path / "a.jpg").write_bytes(IMAGES[9][0] + b"\0" * 100_000)
-    got = corpus.image_sizes(spark, str(tmp_path)).collect()
-    assert [(r["width"], r["height"]) for r in got] == [(7, 5)]
+    (tmp_path / "b é %41.jpg").write_bytes(IMAGES[9][0])
+    with open(tmp_path / "c.jpg", "wb") as f:  # a gigabyte, of which the head alone is read
+        f.write(IMAGES[9][0])
+        f.truncate(1 << 30)
+    (tmp_path / "late.jpg").write_bytes(b"\xff\xd8" + b"\0" * 70_000 + IMAGES[9][0][2:])
+    got = {r["path"].rpartition("/")[2]: (r["width"], r["height"]) for r in corpus.image_sizes(spark, str(tmp_path)).collect()}
+    assert got == {"a.jpg": (7, 5), "b é %41.jpg": (7, 5), "c.jpg": (7, 5), "late.jpg": (None, None)}
 
 
 def test_first_overrides(spark, tmp_path):
