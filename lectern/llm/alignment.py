@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.bpe import Encoder, Memo
+from lectern.llm.bpe import Encoder, Memo, byte_characters
 from lectern.llm.common import materialise, replacing, set_aside
 
 BATCH_CHARS = 500_000
@@ -40,21 +40,13 @@ class Vocabulary:
         return self.flat[np.repeat(self.starts[ids] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
 
 
-def byte_level() -> dict[str, int]:
-    """The byte that each character of a byte-level vocabulary stands for: printable Latin-1 for itself,
-    the others in order from U+0100."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class ByteTokens(Encoder):
     """A byte-level tokenizers file; strings of special tokens are plain text."""
 
     def __init__(self, path: str):
         super().__init__(path)
         self.tokenizer.encode_special_tokens = True
-        table = byte_level()
+        table = {c: b for b, c in byte_characters().items()}
         self.vocabulary = Vocabulary([bytes(table[c] for c in t) if t and all(c in table for c in t) else (t or "").encode() for t in map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))])
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:

@@ -9,6 +9,7 @@ agrees leaves the whole text to be encoded in one go.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -29,6 +30,8 @@ SPACE = r"[ \t\n\x0b\x0c\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\
 MARK = "\x01"
 #: A piece as marked that holds no white space but what comes before it.
 PLAIN = re.compile(rf"{MARK}?[^\s{MARK}]+").fullmatch
+#: A piece of Latin letters, the same in all versions of Unicode in use.
+LETTERS = re.compile(rf"{MARK}?[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
 CHUNK_MASK = 127
 BATCH_CHARS = 1_000_000
 
@@ -74,6 +77,22 @@ class Encoder:
         #: What stands between pieces that are encoded in one go, and its one id.
         self.between = next((x for x in ("\n", "\n~\n", "\n_\n") if len(self.whole([x])[0]) == self.dtype.itemsize), None)
         self.between_id = None if self.between is None else np.frombuffer(self.whole([self.between])[0], self.dtype)[0]
+        #: Of a byte-level file that splits by the usual pattern, the characters that stand for bytes: its model takes words of letters directly.
+        self.level = byte_characters() if self.is_byte_level() else None
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+
+    def is_byte_level(self) -> bool:
+        parts = json.loads(self.tokenizer.to_str())
+        split, model = parts["pre_tokenizer"] or {}, parts["model"]
+        plain = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+        return bool(plain and parts["normalizer"] is None and model["type"] == "BPE" and not model.get("dropout") and not any(a["content"].isalpha() for a in parts["added_tokens"]))
+
+    def letters(self, keys: list[str]) -> list[bytes]:
+        """Ids of pieces of nothing but Latin letters, with or without the space before: the pattern leaves those whole, so
+        the model alone is asked."""
+        tokenize, code, space = self.tokenizer.model.tokenize, self.code, self.level[32]
+        spelled = [(k[1:] if k[0] == MARK else space + k) if k.isascii() else piece_of(k).encode().decode("latin-1").translate(self.level) for k in keys]
+        return [array(code, [t.id for t in tokenize(x)]).tobytes() for x in spelled]
 
     def whole(self, texts: list[str]) -> list[bytes]:
         code = "H" if self.dtype.itemsize == 2 else "I"
@@ -131,7 +150,15 @@ class Encoder:
         return out
 
     def make(self, keys: list[str]) -> list[bytes]:
-        """Ids of pieces as marked. Those that hold white space after their start go one by one."""
+        """Ids of pieces as marked. Words of letters are asked of the model alone where it can be; those that
+        hold white space after their start go one by one."""
+        if self.level is not None and (words := [k for k in keys if LETTERS(k)]):
+            rest = [k for k in keys if not LETTERS(k)]
+            known = dict(zip(words, self.letters(words), strict=True)) | dict(zip(rest, self.split(rest), strict=True))
+            return [known[k] for k in keys]
+        return self.split(keys)
+
+    def split(self, keys: list[str]) -> list[bytes]:
         plain = [k for k in keys if PLAIN(k)]
         if len(plain) == len(keys):
             return self.each(keys)
@@ -168,6 +195,14 @@ class Encoder:
         return self.tokenizer.decode(np.frombuffer(ids, self.dtype).tolist(), skip_special_tokens=False)
 
 
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable Latin-1 for itself, the others
+    in order from U+0100."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 def piece_of(key: str) -> str:
     """The piece that a key stands for: marked ones have no space before them."""
     return key[1:] if key[:1] == MARK else f" {key}"

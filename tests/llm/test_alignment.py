@@ -8,7 +8,7 @@ import public_tokenizers
 import sentencepiece
 from tokenizers import Tokenizer
 
-from lectern.llm import alignment, queries
+from lectern.llm import alignment, bpe, queries
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 TEXTS = [
@@ -30,7 +30,7 @@ def plain_tokens(models, text):
     own, model = models
     if not text:
         return [], [], [], []
-    table = alignment.byte_level()
+    table = {c: b for b, c in bpe.byte_characters().items()}
     a, b = own.encode(f" {text}", add_special_tokens=False).ids, model.encode(text)
     bytes_a = [bytes(table[c] for c in own.id_to_token(i)) for i in a]
     bytes_b = [bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace("▁", " ").encode() for i in b]
@@ -111,3 +111,13 @@ def test_query(spark, models):
     got = queries.op13_token_alignment(spark, d)
     assert got.columns == COLUMNS
     assert sorted(map(tuple, got.collect())) == sorted(plain_rows(models, rows))
+
+
+def test_letters_as_the_library_has_them():
+    """Words of letters by the model alone, against whole encodings, in both kinds of file."""
+    words = ["a", "the", "Straße", "naïve", "ǅǆɏ", "ª", "µm", "º", "Übergrößenträger", "don", "s", "THE", "endoftext", "x" * 70, "éèêë" * 30]
+    own = bpe.Encoder(A)
+    assert own.level is not None and bpe.Encoder(public_tokenizers.path("word_bpe_49k.json")).level is None
+    keys = [*words, *(bpe.MARK + w for w in words), "3rd", "a_b", bpe.MARK + "\n", "日本"]
+    assert own.make(keys) == own.whole([bpe.piece_of(k) for k in keys])
+    assert all(bpe.LETTERS(w) for w in words) and not any(bpe.LETTERS(w) for w in ("3rd", "a_b", "×", "÷", "", "日本", "a\n", "\n"))
