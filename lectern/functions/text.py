@@ -251,7 +251,7 @@ def stem(c: Column) -> Column:
 
 
 _BETWEEN = regex.compile(rf"(?:{WS}|[\p{{P}}\p{{S}}])+")
-_TERMS = ["unigrams", "bigrams", "trigrams", "properNouns", "stems"]
+TERMS = ["unigrams", "bigrams", "trigrams", "properNouns", "stems"]
 
 
 class _Known(dict):
@@ -301,11 +301,12 @@ def terms_of(text: str | None) -> list[list[str]]:
     return [list(x) for x in (uni, *grams, dict.fromkeys(_phrases(raw, normal)), dict.fromkeys(map(_stem_of.__getitem__, uni)))]
 
 
-@F.pandas_udf(StructType([StructField(n, ArrayType(StringType())) for n in _TERMS]))
+@F.pandas_udf(StructType([StructField(n, ArrayType(StringType())) for n in TERMS]))
 def terms(c: pd.Series) -> pd.DataFrame:
     """unigrams, bigrams, trigrams, properNouns and stems, each distinct and in the order of the text. A text is gone
-    through once, in a Python worker: lists that grow inside an expression are copied at each step."""
-    return pd.DataFrame([terms_of(t) for t in c], columns=_TERMS)
+    through once, in a Python worker: lists that grow inside an expression are copied at each step. For headlines; whole
+    texts are better given to ``operators.terms.text_terms``, which holds less at once."""
+    return pd.DataFrame([terms_of(t) for t in c], columns=TERMS)
 
 
 def by_first_letter(markers: str) -> str:

@@ -8,6 +8,7 @@ from lectern.functions import numeric as N
 from lectern.functions import predicates as P
 from lectern.functions import text as T
 from lectern.operators import audits, dedup, publish
+from lectern.operators.terms import text_terms
 from lectern.sources import corpus
 
 
@@ -86,6 +87,9 @@ def test_terms(spark):
         ["citta di lugano", "di lugano centro", "lugano centro e", "centro e l", "e l era", "l era nuova", "era nuova roma"], ["lugano", "centro", "e", "lugano centro e", "era", "roma"], ["citt", "lug", "centr", "era", "nuov", "rom"],
     ]
     assert T.terms_of(None) == T.terms_of(" .,") == [[]] * 5
+    rows = [(i, t, "kept") for i, t in enumerate([None, "", "Una Prova Lunga", "b " * 200_000, "Ultima Riga"])]
+    got = text_terms(spark.createDataFrame(rows, "id int, text string, `stems` string").withColumnRenamed("stems", "o.k")).collect()
+    assert {r["id"]: [r[n] for n in T.TERMS] for r in got} == {i: T.terms_of(t) for i, t, _ in rows} and {r["o.k"] for r in got} == {"kept"}
     began = time.time()
     assert len(T.terms_of(" ".join(f"Word{i} and{i}" for i in range(8000)))[3]) == 7999 and time.time() - began < 0.5
 
