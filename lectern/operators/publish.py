@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lectern.functions.text import xml_escaped
-from lectern.storage import commit, written
+from lectern.storage import commit, current, written
 
 LOCALES = ("it", "en", "de", "fr")
 
@@ -145,3 +145,13 @@ def replace_json(df: DataFrame, target: str) -> bool:
         return True
     except (PySparkException, Py4JError):
         return False
+
+
+def replace_guarded(df: DataFrame, target: str, schema: str) -> bool:
+    """Commits ``df`` unless it has fewer than half the rows that ``target`` holds; False where it was refused."""
+    rows = written(df, "guarded")
+    try:
+        shrink_guard(rows.count(), current(df.sparkSession, target, schema).count())
+    except ValueError:
+        return False
+    return replace_json(rows, target)

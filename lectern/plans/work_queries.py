@@ -187,3 +187,40 @@ def replaced_rows(spark, d):
     publish.replace_json(storage.current(spark, target, "c_custkey long, bal double").withColumn("bal", F.col("bal") + 1), target)
     publish.replace_json(rows.withColumn("bal", F.when(F.col("c_custkey") > 5, F.raise_error(F.lit("refused")).cast("double")).otherwise(0.0)), target)
     return storage.current(spark, target, "c_custkey long, bal double")
+
+
+@query("""with a as (select doc_id, ['frontaliere', 'svizzera'][doc_id % 2 + 1] section, lang locale, 'd' || doc_id article_id, coalesce(text, '') || ' it''s `so` \\ ' || doc_id t from documents)
+select section, locale, article_id, 'body' || f as field, sha256(case f when 1 then t else replace(t, '`', '') end) value from a, (values (1), (2)) v(f) union all
+select section, locale, article_id, 'faq', sha256('[{"q":"Q' || doc_id || '?","a":"A \\"x\\""}]') from a where doc_id % 3 = 0""")
+def article_files(spark, d):
+    """An article file for each document, written by tasks, with values in quotes and in back-ticks, read back."""
+    path = new_path(spark, "articles")
+
+    def escaped(value: str, mark: str) -> str:
+        value = value.replace("\\", "\\\\").replace(mark, "\\" + mark)
+        return mark + (value.replace("\r", "\\r").replace("\n", "\\n") if mark == "'" else value) + mark
+
+    def write(frames):
+        for f in frames:
+            for key, lang, text in zip(f["doc_id"].tolist(), f["lang"].tolist(), f["text"].tolist(), strict=True):
+                whole = f"{text or ''} it's `so` \\ {key}"
+                fields = {"body1": escaped(whole, "'"), "body2": escaped(whole.replace("`", ""), "`")} | ({"faq": escaped(f'[{{"q":"Q{key}?","a":"A \\"x\\""}}]', "'")} if key % 3 == 0 else {})
+                lines = "".join(f"  'blog.article.d{key}.{name}': {value},\n" for name, value in fields.items())
+                system, inside = corpus.opened(f"{path}/{('frontaliere', 'svizzera')[key % 2]}/{lang}/d{key}.ts")
+                system.create_dir(inside.rpartition("/")[0])
+                with system.open_output_stream(inside) as out:
+                    out.write(f"export default {{\n{lines}}};\n".encode())
+            yield f[["doc_id"]]
+
+    table(spark, d, "documents").select("doc_id", "lang", "text").mapInPandas(write, "doc_id long").write.format("noop").mode("overwrite").save()
+    return corpus.article_bodies(spark, path).select("section", "locale", "article_id", "field", F.sha2("value", 256).alias("value"))
+
+
+@query("""select o_orderkey, o_orderstatus from orders""")
+def guarded_rows(spark, d):
+    """A set of fewer than half the rows is refused, and readers keep the rows of before."""
+    target, schema = new_path(spark, "guarded"), "o_orderkey long, o_orderstatus string"
+    rows = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    publish.replace_guarded(rows, target, schema)
+    publish.replace_guarded(rows.filter("o_orderkey % 3 = 0"), target, schema)
+    return storage.current(spark, target, schema)

@@ -21,7 +21,8 @@ def article_bodies(spark: SparkSession, path: str) -> DataFrame:
     """(section, locale, article_id, field, value) of files <section>/<locale>/<id>.ts, whose
     values stand in single quotes or back-ticks."""
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.ts").select("value", F.col("_metadata.file_path").alias("path"))
-    entry = r"""'blog\.article\.([^']+)\.(\w+)'\s*:\s*(?:'((?:[^'\\]|\\.)*)'|`((?:[^`\\]|\\.)*)`)"""
+    # Possessive loops: others go as deep as a value is long.
+    entry = r"""'blog\.article\.([^']+)\.(\w+)'\s*:\s*(?:'((?:[^'\\]++|\\.)*+)'|`((?:[^`\\]++|\\.)*+)`)"""
     found = files.select("path", F.explode(F.regexp_extract_all("value", F.lit(f"(?s)({entry})"), F.lit(1))).alias("e"))
     part = lambda i: F.regexp_extract("e", f"(?s){entry}", i)
     steps = F.split("path", "/")
