@@ -195,6 +195,15 @@ def crossing_slug(c: Column, overrides: dict[str, str] | None = None) -> Column:
     return plain
 
 
+#: What a heading equal to its title gets, by locale; others get the first.
+HEADING_TAGS = {"it": "guida frontaliere", "en": "cross-border guide", "de": "Grenzgänger-Leitfaden", "fr": "guide frontalier"}
+
+
+def heading_tag(locale: Column) -> Column:
+    known = F.create_map(*[F.lit(x) for pair in HEADING_TAGS.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, F.coalesce(locale, F.lit(""))), F.lit(HEADING_TAGS["it"]))
+
+
 def heading_apart(h1: Column, title: Column, tag: Column | str, brand: str) -> Column:
     """a heading equal to the title (brand suffix apart) gets a tag."""
     h, t = squashed(F.coalesce(h1, F.lit(""))), squashed(F.coalesce(title, F.lit("")))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern import storage
 from lectern.functions import text as T
-from lectern.operators import audits, publish, upkeep
+from lectern.operators import audits, dedup, publish, upkeep
 from lectern.plans.queries import query, table
 from lectern.sources import corpus
 from lectern.storage import new_path
@@ -35,6 +35,9 @@ def _pick(values, by, key):
     return F.replace(F.element_at(F.array(*[F.lit(v) for v in values]), (by % len(values) + 1).cast("int")), F.lit("#"), key.cast("string"))
 
 
+_FOLDED_NAMES = "with s as (select p_partkey id, list_distinct(list_transform(list_filter(regexp_extract_all(strip_accents(lower(p_name)), '[a-z0-9]+'), lambda x: len(x) >= 3), lambda x: x[1:6])) s from part)"
+
+
 @query(f"""with p as (select page_id, coalesce(html, '') || {_sql_pick([a for a, _ in _IMAGES], 'page_id', 'page_id')} h from pages),
 a as (select page_id, h, replace(h, '{_SITE}/images/blog/', chr(1)) x from p), b as (select page_id, h, regexp_replace(x, chr(1) || '([^"''\\s/?)]+?\\.(?:webp|png|jpe?g|avif))', '{_CDN}\\1', 'g') x from a),
 c as (select page_id, h, replace(x, chr(1), '{_SITE}/images/blog/') x from b)
@@ -224,3 +227,41 @@ def guarded_rows(spark, d):
     publish.replace_guarded(rows, target, schema)
     publish.replace_guarded(rows.filter("o_orderkey % 3 = 0"), target, schema)
     return storage.current(spark, target, schema)
+
+
+@query("""with t as (select doc_id, lang, trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g')) h, case doc_id % 3 when 0 then replace(coalesce(text, ''), 'e', 'E') when 1 then coalesce(text, '') else 'Other ' || coalesce(text, '') end || ' ·  Site' title from documents),
+n as (select *, trim(regexp_replace(trim(regexp_replace(title, '\\s+', ' ', 'g')), '(?i)\\s*[|·]\\s*site$', '')) t from t)
+select doc_id, sha256(case when h = '' or t = '' or lower(h) <> lower(t) then h else h || ' (' || case lang when 'en' then 'cross-border guide' when 'de' then 'Grenzgänger-Leitfaden' when 'fr' then 'guide frontalier' else 'guida frontaliere' end || ')' end) h1 from n""")
+def localised_headings(spark, d):
+    """whole texts as headings, against titles with a brand; tags by language."""
+    text = F.coalesce("text", F.lit(""))
+    title = F.concat(F.when(F.col("doc_id") % 3 == 0, F.replace(text, F.lit("e"), F.lit("E"))).when(F.col("doc_id") % 3 == 1, text).otherwise(F.concat(F.lit("Other "), text)), F.lit(" ·  Site"))
+    return table(spark, d, "documents").select("doc_id", F.sha2(T.heading_apart(text, title, T.heading_tag(F.col("lang")), "Site"), 256).alias("h1"))
+
+
+@query(_FOLDED_NAMES + """ select a.id from s a where a.id % 2 = 0 and exists (select 1 from s b where b.id % 2 = 1 and len(list_intersect(a.s, b.s)) >= 0.7 * (len(a.s) + len(b.s) - len(list_intersect(a.s, b.s))))""")
+def names_near_others(spark, d):
+    """Names of one half of the parts that are like some name of the other half."""
+    sets = table(spark, d, "part").select(F.col("p_partkey").alias("id"), T.folded(T.similarity_tokens(F.col("p_name"))).alias("tokens"))
+    return dedup.near_any(sets.filter("id % 2 = 0"), sets.filter("id % 2 = 1")).select("id")
+
+
+@query("""with s as (select s_suppkey::varchar id, 'Nuovo-' || s_suppkey slug from supplier where s_suppkey % 9 <> 4)
+select id, slug, concat_ws(chr(10), '  <url>', '    <loc>https://example.org/articoli-svizzera/' || slug || '/</loc>',
+ case id::int % 3 when 0 then concat_ws(chr(10), '    <image:image>', '      <image:loc>https://cdn.example/a&amp;b.webp</image:loc>', '      <image:title>T &lt;' || id || '&gt;</image:title>', '      <image:caption>&quot;alt&quot;</image:caption>', '    </image:image>') end,
+ '    <xhtml:link rel="alternate" hreflang="it" href="https://example.org/articoli-svizzera/' || slug || '/" />',
+ case when id::int % 2 = 0 then '    <xhtml:link rel="alternate" hreflang="en" href="https://example.org/en/swiss-articles/e' || id || '/" />' end,
+ '    <xhtml:link rel="alternate" hreflang="fr" href="https://example.org/fr/articles-suisse/f' || id || '/" />',
+ '    <xhtml:link rel="alternate" hreflang="x-default" href="https://example.org/articoli-svizzera/' || slug || '/" />',
+ '    <lastmod>' || case when id::int % 4 = 0 then '2024-02-02' else '2024-01-01' end || '</lastmod>', '    <changefreq>monthly</changefreq>', '    <priority>0.7</priority>', '  </url>') xml from s where id::int % 5 <> 3""")
+def section_sitemap(spark, d):
+    """A section's own paths, three locales, images by address, captions, dates; some articles have no slug and
+    some are shadowed."""
+    k = F.col("s_suppkey")
+    s = table(spark, d, "supplier").select(k, k.cast("string").alias("id"))
+    text = lambda prefix: F.concat(F.lit(prefix), "id")
+    slugs = s.filter(k % 9 != 4).select("id", F.lit("it").alias("locale"), text("Nuovo-").alias("slug")).unionByName(s.filter(k % 2 == 0).select("id", F.lit("en").alias("locale"), text("e").alias("slug")))
+    slugs = slugs.unionByName(s.select("id", F.lit("fr").alias("locale"), text("f").alias("slug"))).unionByName(s.select("id", F.lit("de").alias("locale"), F.lit("").alias("slug")))
+    registry = s.select("id", F.when(k % 3 == 0, "https://cdn.example/a&b.webp").alias("image"), F.when(k % 4 == 0, "2024-02-02").otherwise("").alias("updatedAt"), F.lit("2024-01-01").alias("date"))
+    meta = s.select("id", F.lit("title").alias("field"), F.concat(F.lit("T <"), "id", F.lit(">")).alias("value")).unionByName(s.select("id", F.lit("imageAlt").alias("field"), F.lit('"alt"').alias("value")))
+    return publish.sitemap_rows(registry, slugs, meta, s.filter(k % 5 == 3).select(text("Nuovo-").alias("slug")), "https://example.org", publish.SECTION_PATHS["svizzera"])
