@@ -142,7 +142,7 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None, templa
     not overlap itself). The method adds the label of each notice of which some text block (a line, or a
     window of words across line ends) holds at least ``threshold`` of the distinct words; a block that holds the
     words of two notices (as the Affero one holds the General one's) gets both labels. Null texts are empty. Rows
-    are documents: null and repeated ids stay apart, equal rows get equal results. Returns the
+    are documents: null and repeated ids stay apart, equal rows get equal results, an empty table gives an empty one. Returns the
     columns of ``docs`` but the text (names below are replaced) and ``n_words``, ``n_base``,
     ``first_word``, ``last_word`` (null without a place), ``base_labels``, ``labels`` (sorted,
     comma-joined, maybe empty), ``score`` (the largest containment found, 0 without).

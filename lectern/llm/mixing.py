@@ -69,7 +69,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
 
     No step groups more than a shard's documents, or one row for each source or shard. Null texts
     have size 0 and take part with 0 words; null ids are dealt like any other; equal rows may differ
-    in ``taken``. With no words at all, targets are 0. Returns the columns of ``docs`` without the
+    in ``taken``. With no words at all, targets are 0; an empty table gives an empty one. Returns the columns of ``docs`` without the
     text (names below are replaced) and ``size``, ``source_size``, ``target``, ``taken``.
     """
     base = replacing(docs, "size", "source_size", "target", "taken")

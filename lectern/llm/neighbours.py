@@ -187,7 +187,8 @@ def nearest(
     travels once for each chunk of its own part, not of all queries.
 
     Vectors that are null, zero, of another length than most, or hold null or non-finite components
-    take no part, nor do rows with null ids; of several rows with one id the least vector counts.
+    take no part, nor do rows with null ids; of several rows with one id the least vector counts. Equal
+    vectors under several ids are candidates each. Extra columns are left out; an empty table gives an empty one.
     """
     rows = vectors.select(F.col(f"`{id}`").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v"), F.coalesce(is_query if is_query is not None else F.lit(True), F.lit(False)).alias("asks")).filter("id is not null and v is not null")
     common = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).head()

@@ -150,6 +150,7 @@ def near_duplicates(docs: DataFrame, distance: int = 2, shingle: int = 3, id: st
     Null and empty texts have fingerprint 0 and link like any other. Rows with one fingerprint
     are one node, so copies cost a row each and no pairs. Null ids are never a component's id
     unless all of its ids are null. Equal rows get equal results. Texts are read once and don't move.
+    An empty table gives an empty one; any other column keeps its name.
     """
     base = replacing(docs, *[n for n in ("fingerprint", "component_id", "component_root") if n not in (id, text)])
     inner, back = set_aside(base, text, own_id=id)

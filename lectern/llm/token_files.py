@@ -47,7 +47,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, end_i
     """Encodes whole texts, appends ``end_id`` to each, and writes them in ascending order of id
     (long; null first, equal ids by text). Returns the folder.
 
-    Null texts are empty and have the end id alone. Extra columns are left out. The texts move
+    Null and empty texts have the end id alone; equal rows are written each, and an empty table gives a folder without
+    blocks' rows. Extra columns are left out, whatever their names. The texts move
     once, to be put in order; they are encoded where they are written. Equal ids stay in one shard.
     """
     spark = docs.sparkSession
@@ -120,7 +121,8 @@ def starts(blocks: DataFrame) -> DataFrame:
 
 
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, and with ``with_ids`` ids) of each document in the files."""
+    """(doc_id, start, n_tokens, ids_crc32, and with ``with_ids`` ids) of each document in the files, null and repeated ids as they
+    were written; nothing of a folder that was written from an empty table."""
     unpack_with = dictionary_of(spark, path)
     blocks = spark.read.parquet(f"{path}/blocks")
 
@@ -141,7 +143,8 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
 
 
 def read_document(spark: SparkSession, path: str, doc_id: int) -> list[int] | None:
-    """One document's ids. The blocks' id ranges leave one block to read, and the offset index one frame."""
+    """One document's ids, of several with this id the first one's; None where there is none. The blocks' id ranges leave one
+    block to read, and the offset index one frame."""
     unpack = _unpacker(*dictionary_of(spark, path))
     near = spark.read.parquet(f"{path}/blocks").filter((F.col("first_id").isNull() | (F.col("first_id") <= doc_id)) & (F.col("last_id") >= doc_id))
     for row in near.collect():
