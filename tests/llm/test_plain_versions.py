@@ -182,4 +182,4 @@ def test_run_of_the_pipeline(spark, tmp_path):
 
 
 def test_queries_are_registered():
-    assert sorted(queries.QUERIES, key=lambda n: int(re.findall(r"\d+", n)[0]))[0] == "op1_warc_archive" and len(queries.QUERIES) == 10
+    assert sorted(queries.QUERIES, key=lambda n: int(re.findall(r"\d+", n)[0]))[0] == "op1_warc_archive" and len(queries.QUERIES) == 13
