@@ -78,15 +78,17 @@ def numbered(df: DataFrame, order: list[Column], name: str = "position") -> Data
     Rows are put in order by ranges, as many as the session's shuffle has partitions, and written with their place
     in their range; a range begins where the counts of those before end. The hash is part of the ranges' bounds, so that a value
     that very many rows have is cut as well; equal rows alone stay together. One exchange; after it a row for each range."""
-    tie = F.xxhash64(*df.columns)
-    keyed = df.select("*", *[c.alias(f"_by{i}") for i, c in enumerate([*order, tie])])
-    by = [f"_by{i}" for i in range(len(order) + 1)]
-    placed = keyed.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_place", F.monotonically_increasing_id()).drop(*by)
-    rows = written(placed, "numbered")
-    part, within = F.shiftrightunsigned("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
-    counts = rows.groupBy(part.alias("_part")).count()
-    before = counts.select("_part", (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_before"))
-    return rows.withColumn("_part", part).join(F.broadcast(before), "_part").withColumn(name, within + F.col("_before") + 1).select(*df.columns, name)
+    own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)]  # any name may be among the caller's
+    back = [F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)]
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    keyed = df.select(*own, *[c.alias(f"by{i}") for i, c in enumerate([*order, tie])])
+    by = [f"by{i}" for i in range(len(order) + 1)]
+    placed = keyed.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("place", F.monotonically_increasing_id()).drop(*by)
+    rows = written(placed, "numbered").withColumn("part", F.shiftrightunsigned("place", 33))
+    counts = rows.groupBy("part").count()
+    before = counts.select("part", (F.sum("count").over(Window.orderBy("part")) - F.col("count")).alias("before"))
+    number = F.col("place").bitwiseAND((1 << 33) - 1) + F.col("before") + 1
+    return rows.join(F.broadcast(before), "part").select(*back, number.alias(name))
 
 
 def group_medians(df: DataFrame, key: str, value: str) -> DataFrame:

@@ -129,3 +129,14 @@ def write_changed(rows: DataFrame, target: str, buckets: int = 64) -> DataFrame:
         kept = [(r["bucket"], r["folder"]) for r in current(spark, f"{target}/manifest", _BUCKETS).collect() if r["bucket"] not in touched]
         commit(spark.createDataFrame(kept + [(b, folder) for b in touched], _BUCKETS).coalesce(1), f"{target}/manifest")
     return changes
+
+
+def sweep(spark: SparkSession, target: str) -> list[str]:
+    """Removes the row folders of a ``write_changed`` target that no manifest still kept names, and returns them. Not for a time at
+    which something is being written to it: what a run has begun isn't named yet."""
+    named = {r["folder"] for v in versions(spark, f"{target}/manifest") for r in spark.read.schema(_BUCKETS).json(f"{target}/manifest/{v}").select("folder").distinct().collect()}
+    files = Files(spark, target)
+    gone = [n for n in files.names(target) if n.startswith("rows-") and n not in named]
+    for n in gone:
+        files.remove(f"{target}/{n}")
+    return gone

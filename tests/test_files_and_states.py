@@ -133,6 +133,7 @@ def test_changed_rows_alone_are_written(spark, tmp_path, monkeypatch):
             storage.write_changed(rows(), path, 8)
     assert held() == before, "a run that dies leaves the rows of the one before"
     assert sorted(tuple(r) for r in storage.write_changed(rows(), path, 8).collect()) == [("new", "new"), ("p3", "removed")] and held() == texts
+    assert len(storage.sweep(spark, path)) == 1 and held() == texts, "the folder of the run that died"
 
 
 def test_catalog_grows_by_what_it_lacks(spark, tmp_path):
