@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lectern.functions.numeric import dot
 from lectern.operators.publish import numbered
 from lectern.storage import written
 
@@ -88,7 +87,7 @@ def near_any(candidates: DataFrame, existing: DataFrame, threshold: float = 0.7,
     return candidates.join(found, id, "left_semi")
 
 
-BLOCK_ROWS = 20_000
+BLOCK_ROWS, QUERY_ROWS = 20_000, 4096
 
 
 def spread_out(vectors: np.ndarray, n: int) -> np.ndarray:
@@ -152,12 +151,34 @@ class _Blocks:
         rows = queries.filter(F.size("q") == self.pivots.shape[1]).filter(F.forall("q", lambda x: x.isNotNull() & ~F.isnan(x)))
         return written(rows.select("query_id", "q", bounded("q").alias("b")).select("query_id", "q", "b.*"), "asked")
 
-    def scored(self, pairs: DataFrame) -> DataFrame:
-        """(query_id, other_id, cosine) of ``pairs`` (query_id, q, block): a query meets each part of a block in a group of its own."""
+    def best(self, pairs: DataFrame, k: int) -> DataFrame:
+        """(query_id, other_id, cosine): for each group in which some of a block's queries meet some of its vectors, the ``k`` best of
+        each query. ``pairs`` (query_id, q, block); groups are no larger than QUERY_ROWS by BLOCK_ROWS or so."""
+        asks = {r["block"]: r["n"] for r in pairs.groupBy("block").agg(F.count("*").alias("n")).collect()}  # a row for each pivot
+        chunks = F.element_at(F.create_map(*[F.lit(x) for b, n in asks.items() for x in (b, -(-n // QUERY_ROWS))]), F.col("block")) if asks else F.lit(1)
         parts = self.part_of(F.col("block"))
-        each = pairs.select("query_id", "q", "block", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-        held = self.rows.select(F.col("id").alias("other_id"), "v", "block", F.pmod("spread", parts).cast("int").alias("part"))
-        return each.join(held, ["block", "part"]).select("query_id", "other_id", F.round(dot(F.col("q"), F.col("v")), 6).alias("cosine"))
+        own = pairs.select("query_id", "q", "block", F.pmod(F.xxhash64(F.lit(5), "query_id"), chunks).cast("int").alias("chunk"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+        met = self.rows.filter(F.col("block").isin(list(asks)))
+        held = met.select(F.col("id").alias("other_id"), "v", "block", F.pmod("spread", parts).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), chunks - 1).cast("array<int>")).alias("chunk"))
+        kinds = {f.name: f.dataType.simpleString() for f in [*own.schema, *held.schema]}
+
+        def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            if not len(left) or not len(right):
+                return pd.DataFrame({"query_id": [], "other_id": [], "cosine": []})
+            right = right.sort_values("other_id")
+            v, names = np.array(right["v"].tolist(), float), right["other_id"].to_numpy()
+            out = []
+            for start in range(0, len(left), 256):
+                some = left.iloc[start : start + 256]
+                scores = np.round(np.array(some["q"].tolist(), float) @ v.T, 6)
+                for query, row in zip(some["query_id"].tolist(), scores, strict=True):
+                    near = np.flatnonzero(row >= np.partition(row, len(row) - k)[len(row) - k]) if len(row) > k else np.arange(len(row))
+                    near = near[np.argsort(-row[near], kind="stable")][:k]  # names ascend, so ties go to the smaller
+                    out.append(pd.DataFrame({"query_id": query, "other_id": names[near], "cosine": row[near]}))
+            return pd.concat(out, ignore_index=True)
+
+        keys = ["block", "part", "chunk"]
+        return own.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(meet, f"query_id {kinds['query_id']}, other_id {kinds['other_id']}, cosine double")
 
 
 def _best(scored: DataFrame, k: int) -> DataFrame:
@@ -169,13 +190,13 @@ def _search(queries: DataFrame, vectors: DataFrame, k: int, id: str, vector: str
     """The k best of each query, and the (query_id, block) that were scored for them."""
     blocks = _Blocks(vectors.select(F.col(id).alias("id"), F.col(vector).cast("array<double>").alias("v")), pivots)
     asked = blocks.asked(queries.select(F.col(id).alias("query_id"), F.col(vector).cast("array<double>").alias("q")))
-    first = written(_best(blocks.scored(asked.select("query_id", "q", F.col("home").alias("block"))), k), "first")
+    first = written(_best(blocks.best(asked.select("query_id", "q", F.col("home").alias("block")), k), k), "first")
     # A query whose own block gave k keeps the score of the last as what others must reach, half a unit of the last place apart.
     floor = first.filter(F.col("rank") == k).select("query_id", (F.col("cosine") - 1e-6).alias("floor"))
     numbers = F.array(*[F.lit(s[0]) for s in blocks.stats]).cast("array<int>")
     each = asked.join(floor, "query_id", "left").select("query_id", "q", "home", "floor", F.explode(F.arrays_zip(numbers.alias("block"), F.col("bounds").alias("bound"))).alias("b"))
-    open_ = each.filter((F.col("b.block") != F.col("home")) & (F.col("floor").isNull() | (F.col("b.bound") >= F.col("floor")))).select("query_id", "q", F.col("b.block").alias("block"))
-    rest = blocks.scored(open_)
+    open_ = written(each.filter((F.col("b.block") != F.col("home")) & (F.col("floor").isNull() | (F.col("b.bound") >= F.col("floor")))).select("query_id", "q", F.col("b.block").alias("block")), "open")
+    rest = blocks.best(open_, k)
     return _best(first.drop("rank").unionByName(rest), k), asked.select("query_id", F.col("home").alias("block")).unionByName(open_.select("query_id", "block")), blocks
 
 
