@@ -241,10 +241,22 @@ def fragments(rows: DataFrame, block_rows: int, block_chars: int, with_turns: bo
         part, done, own, first_key = TaskContext.get().partitionId(), [], None, None
         group, known, before = None, set(), None
 
-        def ready(force: bool = False):
-            if done and (force or len(done) >= 256 or sum(len(r[-1] or ()) for r in done) > block_rows):
+        waiting = 0
+
+        def close(fragment: Fragment, whole: bool):
+            """Takes a fragment's row; rows leave once they are many, or their turns are long."""
+            nonlocal waiting
+            done.append(fragment.row(part, whole, with_turns))
+            waiting += fragment.size if done[-1][-1] is not None else 0
+            if len(done) >= 256 or waiting > block_chars:
+                yield from flushed()
+
+        def flushed():
+            nonlocal waiting
+            if done:
                 out = pd.DataFrame(done, columns=_NAMES).astype({n: object for n in ("first_turn", "last_turn", "cost")})
                 done.clear()
+                waiting = 0
                 yield out
 
         for f in frames:
@@ -253,8 +265,7 @@ def fragments(rows: DataFrame, block_rows: int, block_chars: int, with_turns: bo
                 if own is None or own.key != key:
                     if own is not None:
                         # The first and the last conversation of a range may go on in another one.
-                        done.append(own.row(part, own.block == 0 and own.key != first_key, with_turns))
-                        yield from ready()
+                        yield from close(own, own.block == 0 and own.key != first_key)
                     else:
                         first_key = key
                     own, group, before = Fragment(key, 0), None, None
@@ -264,14 +275,13 @@ def fragments(rows: DataFrame, block_rows: int, block_chars: int, with_turns: bo
                     known.add((h1, h2))
                 elif not gone:
                     if len(own.turns) >= block_rows or own.size > block_chars:
-                        done.append(own.row(part, False, with_turns))
+                        yield from close(own, False)
                         own = Fragment(key, own.block + 1)
-                        yield from ready()
                     own.add(role, text, code, (h1, h2) in known or before == (h1, h2), turn if numbered else None)
                     before = (h1, h2)
         if own is not None:
-            done.append(own.row(part, False, with_turns))
-        yield from ready(True)
+            yield from close(own, False)
+        yield from flushed()
 
     return materialise(ordered.mapInPandas(cut, _FRAGMENT), "turns")
 

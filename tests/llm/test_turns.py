@@ -156,7 +156,8 @@ def test_fragments_of_any_size(spark):
     for block in (4096, 3):
         got = {r[0]: tuple(r)[1:] for r in turns.repair_conversations(turns.damaged(frame), block).collect()}
         assert got == want
-    made = turns.repaired_turns(turns.damaged(frame), 3).orderBy("part", "block", "position").collect()
+    assert {r[0]: tuple(r)[1:] for r in turns.repair_conversations(turns.damaged(frame), 4096, 60).collect()} == want
+    made = turns.repaired_turns(turns.damaged(frame), 3, 50).orderBy("part", "block", "position").collect()
     for k in want:
         assert hashlib.sha256("\n".join(f"{r['role']}:{r['text']}" for r in made if r["conv_id"] == k).encode()).hexdigest() == want[k][-1]
     assert turns.repair_conversations(turns.damaged(frame.limit(0))).count() == 0
