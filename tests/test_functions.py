@@ -122,6 +122,22 @@ def test_score_errors_and_slots(spark):
     assert [one(spark, N.clamped_quota(F.lit(x))) for x in (59, 96)] == [60, 95]
 
 
+def test_terms_joined_in_the_worker(spark):
+    from lectern.operators.terms import joined_terms
+
+    text = "Città di Lugano, Centro. È l'Éra nuova Roma 😀 \uff21bc Zeta zeta"
+    df = spark.createDataFrame([(1, text), (2, None), (3, "Roma")], "id int, text string")
+    names = ["stems", "trigrams", "properNouns"]
+    own = {i: dict(zip(T.TERMS, T.terms_of(t), strict=True)) for i, t in ((1, text), (2, None), (3, "Roma"))}
+    for alphabetical in (True, False):
+        got = joined_terms(df, names=names, alphabetical=alphabetical)
+        assert got.columns == ["id", *names]
+        want = {i: ["|".join(sorted(x[n]) if alphabetical else x[n]) for n in names] for i, x in own.items()}
+        assert {r["id"]: [r[n] for n in names] for r in got.collect()} == want
+    lists = text_terms(df).select("id", *[F.array_join(F.array_sort(n), "|").alias(n) for n in names])
+    assert lists.exceptAll(joined_terms(df, names=names)).count() == 0
+
+
 def test_similar_sets_against_all_pairs(spark):
     import random
 
