@@ -44,7 +44,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, that with the smallest id: texts with a
     five-word shingle Jaccard of 0.8 or more, and chains of them. Texts without words are copies of one another; of equal
-    rows one stays."""
+    rows one stays. Candidates are op6's SimHash links and MinHash bands'; exact sets decide."""
     ship(spark)
     return one_of_each_similar(docs.select(*COLUMNS))
 

@@ -1,4 +1,4 @@
-"""Near copies by exact shingle Jaccard: MinHash bands find candidates, whole shingle sets decide."""
+"""Near copies by exact shingle Jaccard: op6's SimHash links and MinHash bands find candidates, whole shingle sets decide."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.common import materialise, row_keys, set_aside
-from lectern.llm.simhash import components
+from lectern.llm.simhash import components, fingerprints, links
 
 #: 32 bands of 8 minima: a pair at Jaccard 0.8 meets in some band with a chance of 0.997, at 0.9 of 1 - 2e-8, at 0.5 of 0.12.
 BANDS, ROWS = 32, 8
@@ -88,17 +88,27 @@ def spanning(sets: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
     return out
 
 
-def similar(docs: DataFrame, nodes: DataFrame, threshold: float, size: int, text: str) -> DataFrame:
-    """(a, b): verified links between ``nodes`` (node, bands, _k1, _k2), which join all candidates that
+def simhash_candidates(prints: DataFrame, distance: int) -> DataFrame:
+    """(a, b) of nodes by their ``prints`` (node, fp), of which a node may have several: those of one fingerprint with their least, and the least of fingerprints that op6's anchors
+    link at ``distance`` bits or less."""
+    fps = materialise(prints.groupBy("fp").agg(F.min("node").alias("lead")), "near-fingerprints")
+    same = prints.join(fps, "fp").filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
+    lead = lambda c: fps.select(F.col("fp").alias(c), F.col("lead").alias(f"of_{c}"))
+    return same.unionByName(links(fps, distance).join(lead("a"), "a").join(lead("b"), "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+
+
+def similar(docs: DataFrame, nodes: DataFrame, prints: DataFrame, threshold: float, size: int, text: str, distance: int = 2) -> DataFrame:
+    """(a, b): verified links between ``nodes`` (node, bands, _k1, _k2) with their fingerprints ``prints`` (node, fp), which join all candidates that
     reach the threshold.
 
-    Nodes that share a band, or a chain of them, are one block. Each node's whole set goes to its
+    Nodes whose fingerprints link, or that share a band, or a chain of these, are one block. Each node's whole set goes to its
     block's task; a block of more than ``CHUNK`` is dealt into chunks, and each two chunks meet in a
     task of their own. All pairs there are compared by their exact Jaccard; out go the links of a
     spanning forest, so a large family makes no pairs."""
     keys = nodes.select("node", F.explode("bands").alias("key"))
     shared = materialise(keys.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("n")).filter("n > 1"), "near-shared")  # so that Spark can split the join of a hot band
-    candidates = keys.join(shared, "key").filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    banded = keys.join(shared, "key").filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
+    candidates = simhash_candidates(prints, distance).unionByName(banded).distinct()
     blocks = components(candidates, "near-blocks")
     sizes = blocks.groupBy("root").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("q"))
     members = blocks.join(sizes, "root").join(nodes.drop("bands"), "node")
@@ -120,13 +130,15 @@ def one_of_each_similar(docs: DataFrame, threshold: float = 0.8, shingle: int =
     several with that id that with the least hash, of equal rows one. Texts without words (null and
     empty ones too) are copies of one another. An empty table gives an empty one; columns keep any name.
 
-    Every link is verified on whole sets; candidates are those that MinHash bands find (see ``BANDS``)."""
+    Every link is verified on whole sets. Candidates are what op6 links, SimHash fingerprints of three-word shingles at two bits or less by its
+    anchors, and beside them what MinHash bands find (see ``BANDS``), as at 0.8 fingerprints often differ in more bits."""
     base = docs.select(F.col(f"`{id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    rows = materialise(base.select(*row_keys("doc_id", "text"), "doc_id", sketches("text", shingle).alias("x")).select("_k1", "_k2", "doc_id", "x.*"), "near-sketches")
+    rows = materialise(base.select(*row_keys("doc_id", "text"), "doc_id", sketches("text", shingle).alias("x"), fingerprints("text").alias("fp")).select("_k1", "_k2", "doc_id", "x.*", "fp"), "near-sketches")
     own = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_k1", "_k2")
     nodes = materialise(rows.groupBy("node").agg(F.min(own).alias("best"), F.any_value("bands").alias("bands")), "near-nodes")
-    links = similar(base, nodes.select("node", "bands", "best._k1", "best._k2"), threshold, shingle, "text")
-    roots = components(links, "near-copies")
+    prints = materialise(rows.filter(F.size("bands") > 0).select("node", "fp").distinct(), "near-prints")
+    verified = similar(base, nodes.select("node", "bands", "best._k1", "best._k2"), prints, threshold, shingle, "text")
+    roots = components(verified, "near-copies")
     classed = nodes.select("node", "best").join(roots, "node", "left").select("best", F.coalesce("root", "node").alias("root"))
     best = classed.groupBy("root").agg(F.min("best").alias("best")).select("best._k1", "best._k2")
     inner, back = set_aside(docs)

@@ -57,6 +57,24 @@ def test_stage_drops_planted_near_copies(spark):
     assert sorted(got) == sorted(want) and len(want) < len(data) - 25
 
 
+def test_simhash_links_are_candidates(spark):
+    """Texts that share no band, but are op6's near duplicates; one that shares a fingerprint alone isn't linked."""
+    from lectern.llm.common import row_keys
+    from lectern.llm.simhash import fingerprint
+
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(3000)]
+    texts = [" ".join(base)] + [" ".join(base[:at] + ["other"] + base[at + 1 :]) for at in range(50, 2950, 100)] + ["quite another text of some words"]
+    fps = [fingerprint(t) for t in texts[:-1]] + [fingerprint(texts[0])]
+    near = [i for i in range(len(texts) - 1) if ((fps[i] ^ fps[0]) & (2**64 - 1)).bit_count() <= 2]
+    keep = [*near, len(texts) - 1]
+    docs = spark.createDataFrame([(i, texts[i]) for i in keep], "doc_id long, text string")
+    nodes = docs.selectExpr("doc_id", "text", "doc_id node", "array(doc_id) bands").select("node", "bands", *row_keys("doc_id", "text"))
+    prints = spark.createDataFrame([(i, fps[i]) for i in keep], "node long, fp long")
+    joined = {n for r in near_copies.similar(docs, nodes, prints, 0.8, 5, "text").collect() for n in r}
+    assert len(near) > 2 and joined == set(near)
+
+
 def test_large_block_is_dealt_into_chunks(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "CHUNK", 4)
     data = planted()
