@@ -204,13 +204,17 @@ def article_files(spark, d):
         return mark + (value.replace("\r", "\\r").replace("\n", "\\n") if mark == "'" else value) + mark
 
     def write(frames):
+        made = {}  # a task opens and makes each folder once
         for f in frames:
             for key, lang, text in zip(f["doc_id"].tolist(), f["lang"].tolist(), f["text"].tolist(), strict=True):
                 whole = f"{text or ''} it's `so` \\ {key}"
                 fields = {"body1": escaped(whole, "'"), "body2": escaped(whole.replace("`", ""), "`")} | ({"faq": escaped(f'[{{"q":"Q{key}?","a":"A \\"x\\""}}]', "'")} if key % 3 == 0 else {})
                 lines = "".join(f"  'blog.article.d{key}.{name}': {value},\n" for name, value in fields.items())
-                system, inside = corpus.opened(f"{path}/{('frontaliere', 'svizzera')[key % 2]}/{lang}/d{key}.ts")
-                system.create_dir(inside.rpartition("/")[0])
+                folder = f"{path}/{('frontaliere', 'svizzera')[key % 2]}/{lang}"
+                if folder not in made:
+                    made[folder] = corpus.opened(folder)
+                    made[folder][0].create_dir(made[folder][1])
+                system, inside = made[folder][0], f"{made[folder][1]}/d{key}.ts"
                 with system.open_output_stream(inside) as out:
                     out.write(f"export default {{\n{lines}}};\n".encode())
             yield f[["doc_id"]]

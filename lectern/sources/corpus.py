@@ -24,9 +24,11 @@ def article_bodies(spark: SparkSession, path: str) -> DataFrame:
     # Possessive loops: others go as deep as a value is long.
     entry = r"""'blog\.article\.([^']+)\.(\w+)'\s*:\s*(?:'((?:[^'\\]++|\\.)*+)'|`((?:[^`\\]++|\\.)*+)`)"""
     found = files.select("path", F.explode(F.regexp_extract_all("value", F.lit(f"(?s)({entry})"), F.lit(1))).alias("e"))
-    part = lambda i: F.regexp_extract("e", f"(?s){entry}", i)
+    # An entry's key ends before its value, which is the rest but for two marks, so long values are matched once.
+    key = lambda i: F.regexp_extract("e", r"^'blog\.article\.([^']+)\.(\w+)'\s*:\s*", i)
+    named = found.select("path", "e", key(1).alias("article_id"), key(2).alias("field"), F.char_length(key(0)).alias("n"))
     steps = F.split("path", "/")
-    return found.select(F.element_at(steps, -3).alias("section"), F.element_at(steps, -2).alias("locale"), part(1).alias("article_id"), part(2).alias("field"), ts_unescaped(F.concat(part(3), part(4))).alias("value"))
+    return named.select(F.element_at(steps, -3).alias("section"), F.element_at(steps, -2).alias("locale"), "article_id", "field", ts_unescaped(F.substring("e", F.col("n") + 2, F.char_length("e") - F.col("n") - 2)).alias("value"))
 
 
 def faq_items(bodies: DataFrame) -> DataFrame:
