@@ -110,7 +110,7 @@ def links(fps: DataFrame, distance: int = 2) -> DataFrame:
     home = fps.select("fp").mapInPandas(homes, "piece int, anchor long, a long")
     copy = fps.select("fp").mapInPandas(copies, "piece int, anchor long, b long")
     near = (F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
-    met = home.join(copy, ["piece", "anchor"]).filter(near)
+    met = home.join(copy.hint("merge"), ["piece", "anchor"]).filter(near)  # Spark sizes the copies as if they were a row each, and would broadcast them
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 

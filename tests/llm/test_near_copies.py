@@ -81,3 +81,16 @@ def test_large_block_is_dealt_into_chunks(spark, monkeypatch):
     got = {r["doc_id"] for r in near_copies.one_of_each_similar(spark.createDataFrame(data, SCHEMA)).collect()}
     assert got == first_of_each(data)
     assert near_copies.one_of_each_similar(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_anchor_copies_are_not_broadcast(spark, tmp_path):
+    """Spark sizes the copies of a fingerprint, some thirty, as a row; they meet their homes by an exchange however small it takes them for."""
+    from pyspark.sql import functions as F
+
+    from lectern.llm.simhash import links
+
+    spark.range(300).select(F.xxhash64("id").alias("fp")).union(spark.range(300).select((F.xxhash64("id").bitwiseXOR(F.lit(5))).alias("fp"))).distinct().write.parquet(f"{tmp_path}/fps")
+    found = links(spark.read.parquet(f"{tmp_path}/fps"))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, plan
+    assert found.count() == 300
