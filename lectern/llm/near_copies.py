@@ -105,9 +105,9 @@ def similar(docs: DataFrame, nodes: DataFrame, prints: DataFrame, threshold: flo
     block's task; a block of more than ``CHUNK`` is dealt into chunks, and each two chunks meet in a
     task of their own. All pairs there are compared by their exact Jaccard; out go the links of a
     spanning forest, so a large family makes no pairs."""
-    keys = nodes.select("node", F.explode("bands").alias("key"))
+    keys = nodes.select("node", F.explode("bands").alias("key"))  # 32 rows of one, which Spark sizes as one: never to be broadcast
     shared = materialise(keys.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("n")).filter("n > 1"), "near-shared")  # so that Spark can split the join of a hot band
-    banded = keys.join(shared, "key").filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
+    banded = keys.hint("merge").join(shared, "key").filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
     candidates = simhash_candidates(prints, distance).unionByName(banded).distinct()
     blocks = components(candidates, "near-blocks")
     sizes = blocks.groupBy("root").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("q"))

@@ -83,6 +83,26 @@ def test_large_block_is_dealt_into_chunks(spark, monkeypatch):
     assert near_copies.one_of_each_similar(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_banded_keys_are_not_broadcast(spark, monkeypatch):
+    """Spark takes the exploded keys for a row each; here they are the side that it sizes lower."""
+    from pyspark.sql import functions as F
+
+    seen, materialise = [], near_copies.materialise
+
+    def wide(df, name):  # shared bands with a wide column, so that Spark sizes them above the keys
+        return materialise(df, name).withColumn("pad", F.sequence(F.lit(0), F.lit(3))) if name == "near-shared" else materialise(df, name)
+
+    monkeypatch.setattr(near_copies, "materialise", wide)
+    monkeypatch.setattr(near_copies, "components", lambda edges, name: seen.append(edges) or edges.select(F.col("a").alias("node"), F.col("b").alias("root")))
+    nodes = spark.range(40).select(F.col("id").alias("node"), F.array((F.col("id") / 2).cast("long")).alias("bands"), F.col("id").alias("_k1"), F.col("id").alias("_k2"))
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    near_copies.similar(docs, nodes, spark.range(40).select(F.col("id").alias("node"), F.col("id").alias("fp")), 0.8, 5, "text")
+    plan = seen[0]._jdf.queryExecution().sparkPlan().toString()
+    assert {tuple(r) for r in seen[0].filter("b % 2 = 1 and a = b - 1").collect()} >= {(i, i + 1) for i in range(0, 40, 2)}
+    banded = [line for line in plan.splitlines() if "Join [key" in line or "Join [coalesce(key" in line]
+    assert len(banded) == 1 and "SortMergeJoin" in banded[0], plan
+
+
 def test_anchor_copies_are_not_broadcast(spark, tmp_path):
     """Spark sizes the copies of a fingerprint, some thirty, as a row; they meet their homes by an exchange however small it takes them for."""
     from pyspark.sql import functions as F
