@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyarrow import fs
@@ -15,12 +16,77 @@ from lectern.functions.numeric import trend_score
 from lectern.functions.predicates import articleable
 from lectern.functions.text import trimmed, ts_unescaped
 from lectern.operators.dedup import keep_first
+from lectern.storage import Files, written
+
+#: Files that one task reads. Their number is known by then, so tasks grow with it and each has few names.
+FILES_A_TASK = 2048
+
+
+def visible(name: str) -> bool:
+    """Whether Spark's readers take a file or folder of this name."""
+    return not (name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_"))
+
+
+def listed_files(spark: SparkSession, path: str, suffix: str = "") -> DataFrame | None:
+    """(path) of the files at any depth under ``path`` whose names end so, those that Spark's readers pass over left out. Tasks list
+    the folders, level by level, and write what they find, so the driver holds no names; one folder is listed by one task. None where
+    pyarrow doesn't open the file system: it does local ones, HDFS, S3 and GCS."""
+    files = Files(spark, path)
+    root = files.fs.makeQualified(files.path_of(path)).toString()
+    try:
+        system, inside = opened(root)
+    except (ValueError, OSError, NotImplementedError):
+        return None
+    if not files.fs.exists(files.path_of(root)):
+        raise FileNotFoundError(root)
+
+    def listed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for folder in f["path"]:
+                system, inside = opened(folder)
+                found = system.get_file_info(fs.FileSelector(inside))
+                for at in range(0, len(found), 8192):
+                    own = [(f"{folder}/{x.base_name}", x.type == fs.FileType.Directory) for x in found[at : at + 8192] if visible(x.base_name) and (x.type == fs.FileType.Directory or x.base_name.endswith(suffix))]
+                    yield pd.DataFrame(own, columns=["path", "folder"]).astype({"path": object, "folder": bool})
+
+    if system.get_file_info(inside).type == fs.FileType.File:
+        return spark.createDataFrame([(root,)], "path string")
+    folders, n, out = spark.createDataFrame([(root,)], "path string"), 1, None
+    while n:
+        level = written(folders.repartition(min(n, 4096)).mapInPandas(listed, "path string, folder boolean"), "listed")
+        own, folders = level.filter("not folder").select("path"), level.filter("folder").select("path")
+        out, n = own if out is None else out.unionByName(own), folders.count()
+    return out
+
+
+def whole_files(spark: SparkSession, path: str, suffix: str) -> DataFrame:
+    """(path, value) of the files under ``path`` whose names end so, listed and read by tasks. On a file system that pyarrow doesn't open
+    Spark reads them, and the driver holds their names."""
+    files = listed_files(spark, path, suffix)
+    if files is None:
+        return spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}").select(F.col("_metadata.file_path").alias("path"), "value")
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            own, held = [], 0
+            for name in f["path"]:
+                system, inside = opened(name)
+                with system.open_input_file(inside) as file:
+                    own.append((name, file.read()))
+                held += len(own[-1][1])
+                if held > 1 << 22:
+                    yield pd.DataFrame(own, columns=["path", "value"])
+                    own, held = [], 0
+            yield pd.DataFrame(own, columns=["path", "value"], dtype=object)
+
+    tasks = max(1, -(-files.count() // FILES_A_TASK))
+    return files.repartition(tasks, "path").mapInPandas(read, "path string, value binary").select("path", F.col("value").cast("string").alias("value"))
 
 
 def article_bodies(spark: SparkSession, path: str) -> DataFrame:
     """(section, locale, article_id, field, value) of files <section>/<locale>/<id>.ts, whose
-    values stand in single quotes or back-ticks."""
-    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.ts").select("value", F.col("_metadata.file_path").alias("path"))
+    values stand in single quotes or back-ticks. Tasks list and read the files."""
+    files = whole_files(spark, path, ".ts")
     # Possessive loops: others go as deep as a value is long.
     entry = r"""'blog\.article\.([^']+)\.(\w+)'\s*:\s*(?:'((?:[^'\\]++|\\.)*+)'|`((?:[^`\\]++|\\.)*+)`)"""
     found = files.select("path", F.explode(F.regexp_extract_all("value", F.lit(f"(?s)({entry})"), F.lit(1))).alias("e"))
@@ -165,21 +231,29 @@ def image_size(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([size_of_image(b) for b in content], columns=["width", "height"]).astype("Int32")
 
 
+@lru_cache(64)
+def _system(root: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(root)
+
+
 def opened(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path as Spark lists it, and the path in it. The path is taken as it is, not as an URI."""
     scheme, _, rest = path.rpartition(":") if path.startswith("file:") else path.partition("://")
     if path.startswith("file:") or not rest:
         return fs.LocalFileSystem(), "/" + (path.removeprefix("file:")).lstrip("/")
     authority, _, inside = rest.partition("/")
-    system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    system, base = _system(f"{scheme}://{authority}/")
     return system, f"{base.rstrip('/')}/{inside}"
 
 
 def image_sizes(spark: SparkSession, path: str, head: int = 65_536) -> DataFrame:
-    """(path, width, height) of the files under ``path``. Spark lists them, with no content; tasks read the first
+    """(path, width, height) of the files under ``path``. Tasks list them (see ``listed_files``) and read the first
     ``head`` bytes of each, however long it is. The file system must be one that pyarrow opens: local, HDFS, S3 or GCS.
     A file that is gone by then, or no image, has no size."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    listed = listed_files(spark, path)
+    if listed is None:
+        raise ValueError(f"pyarrow doesn't open the file system of {path}")
+    listed = listed.repartition(max(1, -(-listed.count() // FILES_A_TASK)), "path")
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:

@@ -183,3 +183,46 @@ def test_preferred_order_with_nulls(spark):
 def test_meta_escapes(spark):
     got = spark.range(1).select(T.meta_unescaped(F.lit("a\\'b\\\\'c\\\"d\\ne")).alias("x")).head()["x"]
     assert got == "a'b\\'c\"d\\ne"
+
+
+def article_tree(root):
+    """Files that Spark's readers take and others that they pass over, at several depths."""
+    text = lambda k: f"export default {{\n  'blog.article.{k}.body1': 'uno {k}',\n  'blog.article.{k}.body2': `due é😀`,\n}};\n"
+    names = ["s/it/a.ts", "s/it/b c%20d.ts", "s/de/a.ts", "t/x/y/z/deep.ts", "s/it/.hidden.ts", "s/it/_left.ts", "s/it/_k=1.ts", "_tmp/it/a.ts", ".git/it/a.ts", "s/it/note.txt", "top.ts"]
+    for k, name in enumerate(names):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text(text(f"d{k}"), encoding="utf-8")
+    (root / "s/it/empty.ts").write_text("")
+    (root / "empty/folder").mkdir(parents=True)
+
+
+def test_article_files_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """The driver's plan names none of the files; what is found is what Spark's own reader finds, of many tasks too."""
+    article_tree(tmp_path)
+    want = {(r["section"], r["locale"], r["article_id"], r["field"], r["value"]) for r in plain_bodies(spark, str(tmp_path))}
+    for files in (2048, 2):
+        monkeypatch.setattr(corpus, "FILES_A_TASK", files, raising=False)
+        bodies = corpus.article_bodies(spark, str(tmp_path))
+        assert not [f for f in bodies.inputFiles() if f.endswith(".ts")]
+        got = bodies.collect()
+        assert {tuple(r) for r in got} == want and len(got) == len(want) == 12
+    assert {tuple(r)[2:] for r in corpus.article_bodies(spark, str(tmp_path / "s/it/a.ts")).collect()} == {("d0", "body1", "uno d0"), ("d0", "body2", "due é😀")}
+    assert corpus.article_bodies(spark, str(tmp_path / "empty")).collect() == []
+    with pytest.raises(FileNotFoundError):
+        corpus.article_bodies(spark, str(tmp_path / "nowhere"))
+
+
+def plain_bodies(spark, path):
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.ts").select("value", F.col("_metadata.file_path").alias("path"))
+    steps = F.split("path", "/")
+    each = files.select(F.element_at(steps, -3).alias("section"), F.element_at(steps, -2).alias("locale"), F.explode(F.expr("regexp_extract_all(value, \"(?s)'blog.article.d[0-9]+.body[12]': .*?[^,]*\", 0)")).alias("e"))
+    return each.select("section", "locale", F.regexp_extract("e", "article[.](d[0-9]+)[.]", 1).alias("article_id"), F.regexp_extract("e", "(body[12])", 1).alias("field"), F.regexp_extract("e", ": .(.*).$", 1).alias("value")).collect()
+
+
+def test_article_files_where_only_spark_reads(spark, tmp_path):
+    """A file system that pyarrow doesn't open."""
+    article_tree(tmp_path)
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.arts.link./in", f"file://{tmp_path}")
+    (tmp_path / "top.ts").unlink()  # its section and locale are the path's own
+    want = corpus.article_bodies(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, corpus.article_bodies(spark, "viewfs://arts/in").collect())) == sorted(map(tuple, want)) and len(want) == 10
